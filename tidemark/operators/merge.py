@@ -8,7 +8,9 @@ single group holding every column.
 The rule is an ordering of candidate rows, so a merge is one aggregate over the
 stored rows and any number of pending batches. A union of inputs that are hash
 partitioned on the key keeps that partitioning, hence a stored table bucketed
-on the key is merged without being shuffled.
+on the key is merged without being shuffled. Spark recognises this only if no
+column is computed between the scan and the union, which is why a stored table
+carries its `_seq` mark in a column of its own (see mark_stored).
 """
 
 from __future__ import annotations
@@ -26,6 +28,16 @@ SEQUENCE = "_seq"
 _STORED = -1
 
 
+def mark_stored(df: DataFrame) -> DataFrame:
+    """Rows as they are to be stored: marked as older than any batch still to come."""
+    return df.withColumn(SEQUENCE, F.lit(_STORED))
+
+
+def number_batch(df: DataFrame) -> DataFrame:
+    """Incoming rows with a batch number, 0 if they have none."""
+    return df if SEQUENCE in df.columns else df.withColumn(SEQUENCE, F.lit(0))
+
+
 def _precedence(clock: str) -> Column:
     """Greater clock first; on equal clocks the earlier batch, on NULL clocks the later."""
     seq = F.col(SEQUENCE)
@@ -42,11 +54,10 @@ def merge_latest(
     applied at once. Without a stored table the result is the first version of it.
     """
     outputs = [key, *[c for g in groups for c in g.outputs]]
-    if SEQUENCE not in incoming.columns:
-        incoming = incoming.withColumn(SEQUENCE, F.lit(0))
-    rows = incoming.where(F.col(key).isNotNull()).select(*outputs, SEQUENCE)
+    rows = number_batch(incoming).where(F.col(key).isNotNull()).select(*outputs, SEQUENCE)
     if stored is not None:
-        rows = stored.select(*outputs, F.lit(_STORED).alias(SEQUENCE)).unionByName(rows)
+        marked = stored if SEQUENCE in stored.columns else mark_stored(stored)
+        rows = marked.select(*outputs, SEQUENCE).unionByName(rows)
     merged = rows.groupBy(key).agg(
         *[
             F.max_by(F.struct(*g.outputs), _precedence(g.clock)).alias(f"_g{i}")

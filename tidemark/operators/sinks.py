@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.contracts import ColumnGroup
+from tidemark.operators.merge import mark_stored, merge_latest, merge_sql, number_batch
 from tidemark.sources import files
 
 BATCH_KEY = "batch_key"
@@ -92,7 +94,8 @@ class VersionedTable:
 
     Versions are bucketed on the key, so merging into the table does not shuffle
     it, and one writing task leaves one file per bucket. Readers take the highest
-    version whose write has finished. One writer at a time.
+    version whose write has finished. One writer at a time. Columns whose name
+    starts with an underscore are for the writer and are not shown by read().
     """
 
     _FOLDER = re.compile(r"v=(\d+)-buckets=(\d+)$")
@@ -125,6 +128,11 @@ class VersionedTable:
 
     def read(self) -> DataFrame | None:
         """The current version, or None before the first one."""
+        stored = self.read_stored()
+        return None if stored is None else stored.drop(*[c for c in stored.columns if c.startswith("_")])
+
+    def read_stored(self) -> DataFrame | None:
+        """The current version with all its columns."""
         versions = self.versions()
         return self.read_version(versions[-1]) if versions else None
 
@@ -178,6 +186,13 @@ class VersionedTable:
         return dropped
 
 
+def upsert_table(table: VersionedTable, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> Version:
+    """Merge incoming rows into a versioned table; only the incoming rows are shuffled."""
+    aligned = table.align(number_batch(incoming))
+    merged = merge_latest(table.read_stored(), aligned, table.key, groups)
+    return table.replace(mark_stored(merged))
+
+
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
 
@@ -226,13 +241,17 @@ def replace_batch(df: DataFrame, name: str, batch_id: int) -> None:
     )
 
 
-def merge_table(df: DataFrame, name: str, key: str, groups, view: str = "tidemark_merge_source") -> None:
+def merge_table(
+    df: DataFrame,
+    name: str,
+    key: str,
+    groups: Sequence[ColumnGroup],
+    view: str = "tidemark_merge_source",
+) -> None:
     """Run the generated MERGE against a catalog table that supports row-level operations.
 
     The source is registered globally because a micro-batch frame belongs to a
     session of its own.
     """
-    from tidemark.operators.merge import merge_sql
-
     df.createOrReplaceGlobalTempView(view)
     df.sparkSession.sql(merge_sql(name, f"global_temp.{view}", key, groups))

@@ -22,8 +22,8 @@ from tidemark.operators.latest import (
     latest_per_key,
     latest_valid,
 )
-from tidemark.operators.merge import fold_batches, merge_by_join, merge_latest, merge_pending
-from tidemark.operators.sinks import VersionedTable, append_batch, file_schema
+from tidemark.operators.merge import fold_batches, merge_by_join, merge_pending
+from tidemark.operators.sinks import VersionedTable, append_batch, file_schema, upsert_table
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.plans.device_view import RENAME_MAP, device_rows, load_table
 from tidemark.session import configure, configure_state_store, shared_dir
@@ -249,8 +249,7 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batches merged into a bucketed table, one version after the other."""
     table = VersionedTable(spark, shared_dir(spark, "silver"), KEY)
     for batch in batches(numbered_rows(spark, sf_dir)):
-        incoming = table.align(combine_one_pass(batch, KEY, LATEST_VALID_GROUPS))
-        table.replace(merge_latest(table.read(), incoming, KEY, LATEST_VALID_GROUPS))
+        upsert_table(table, combine_one_pass(batch, KEY, LATEST_VALID_GROUPS), LATEST_VALID_GROUPS)
     return plain_times(table.read())
 
 

@@ -14,8 +14,15 @@ from tidemark.operators.bronze import PARTITIONS, bronze_to_events, to_bronze, w
 from tidemark.operators.decode import BAD_REASON, good_rows, refused_rows
 from tidemark.operators.latest import newest_structs
 from tidemark.operators.maintenance import OLDER_THAN_HOURS, RETAIN_LAST, expire_versions
-from tidemark.operators.merge import SEQUENCE, merge_latest
-from tidemark.operators.sinks import BATCH_KEY, VersionedTable, append_batch, file_schema, sized_files
+from tidemark.operators.merge import SEQUENCE
+from tidemark.operators.sinks import (
+    BATCH_KEY,
+    VersionedTable,
+    append_batch,
+    file_schema,
+    sized_files,
+    upsert_table,
+)
 from tidemark.sources import files
 
 logger = logging.getLogger("tidemark")
@@ -123,9 +130,7 @@ class Lake:
             (self.latest_valid, valid_columns, self.valid_groups),
             (self.latest, ["row.*"], self.latest_groups),
         ):
-            table = table.bound(session)
-            incoming = table.align(structs.select(key, *columns, *order))
-            table.replace(merge_latest(table.read(), incoming, key, groups))
+            upsert_table(table.bound(session), structs.select(key, *columns, *order), groups)
 
     def upsert_decoded(self, decoded: DataFrame) -> None:
         """Merge the rows of one decoded batch directly."""
