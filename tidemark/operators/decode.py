@@ -28,9 +28,8 @@ def decode_json(
     schema = T.StructType([*contract.schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     payload = F.col(value).cast("string")
-    data = F.from_json(payload, schema, options).alias("_data")
-    parsed = df.select(*keep, payload.alias("_payload"), data).select(*keep, "_payload", "_data.*")
-    return _with_verdict(parsed, contract, keep, F.col(_CORRUPT).isNotNull())
+    data = F.from_json(payload, schema, options)
+    return _with_verdict(_unpacked(df, payload, data, keep), contract, keep, F.col(_CORRUPT).isNotNull())
 
 
 def decode_avro(
@@ -41,10 +40,9 @@ def decode_avro(
         raise ValueError("an Avro payload needs the contract's Avro text")
     from pyspark.sql.avro.functions import from_avro
 
-    data = from_avro(F.col(value), contract.avro_text, {"mode": "PERMISSIVE"}).alias("_data")
-    payload = F.base64(F.col(value)).alias("_payload")
-    parsed = df.select(*keep, payload, data).select(*keep, "_payload", "_data.*")
-    return _with_verdict(parsed, contract, keep, F.lit(False))
+    data = from_avro(F.col(value), contract.avro_text, {"mode": "PERMISSIVE"})
+    payload = F.base64(F.col(value))
+    return _with_verdict(_unpacked(df, payload, data, keep), contract, keep, F.lit(False))
 
 
 DECODERS = {"json": decode_json, "avro": decode_avro}
@@ -60,6 +58,12 @@ def decode(
     return DECODERS[payload_format](df, contract, value, keep)
 
 
+def _unpacked(df: DataFrame, payload: Column, data: Column, keep: Sequence[str]) -> DataFrame:
+    """Payload and decoded columns. Decoding inside a generator happens once per row;
+    as a plain projection it would be repeated in every filter pushed below it."""
+    return df.select(*keep, payload.alias("_payload"), F.inline(F.array(data)))
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
