@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
-import zlib
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
@@ -124,7 +124,7 @@ class VersionedTable:
         return sorted(found)
 
     def _table_name(self, version: Version) -> str:
-        return f"tidemark_{zlib.crc32(version.path.encode()):08x}_v{version.number}"
+        return f"tidemark_{hashlib.sha1(version.path.encode()).hexdigest()[:16]}_v{version.number}"
 
     def read(self) -> DataFrame | None:
         """The current version, or None before the first one."""

@@ -30,10 +30,9 @@ def entries(spark: SparkSession, path: str) -> list[Entry]:
     fs, location = _locate(spark, path)
     if not fs.exists(location):
         return []
-    return [
-        Entry(s.getPath().getName(), s.getPath().toString(), s.getModificationTime(), s.isDirectory())
-        for s in fs.listStatus(location)
-    ]
+    base = path.rstrip("/")
+    found = [(s, s.getPath().getName()) for s in fs.listStatus(location)]
+    return [Entry(n, f"{base}/{n}", s.getModificationTime(), s.isDirectory()) for s, n in found]
 
 
 def ensure_folder(spark: SparkSession, path: str) -> None:
