@@ -1,0 +1,160 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows
+from tidemark.operators.maintenance import (
+    expirable_snapshots,
+    expire_call,
+    hours_before,
+    probe_expiry,
+    probe_statements,
+    projected_retention,
+    schedule,
+    snapshot_growth,
+)
+from tidemark.operators.opslog import (
+    batch_gaps,
+    classify_exits,
+    error_summary,
+    lag_trend,
+    parse_batches,
+    read_lines,
+)
+from tidemark.operators.parity import column_diff, row_diff
+from tidemark.sources.tables import list_tables, table_history, table_inventory
+
+T0 = datetime(2024, 1, 1)
+
+
+def history(spark, *counts):
+    data = [(f"t{i}", n, T0 + timedelta(minutes=n)) for i, count in enumerate(counts) for n in range(count)]
+    return spark.createDataFrame(data, "table string, snapshot_id long, committed_at timestamp")
+
+
+def test_expiry_keeps_the_newest_and_the_young(spark):
+    snapshots = history(spark, 30, 20, 3)
+    late = F.lit(T0 + timedelta(days=1))
+    assert rows(expirable_snapshots(snapshots, late), "table", "snapshot_id") == [("t0", n) for n in range(10)]
+    early = F.lit(T0 + timedelta(minutes=4))
+    assert rows(expirable_snapshots(snapshots, early), "snapshot_id") == [(n,) for n in range(4)]
+    assert expirable_snapshots(snapshots, late, retain_last=100).count() == 0
+
+
+def test_expiry_with_equal_commit_times(spark):
+    same = spark.createDataFrame([("t", n, T0) for n in range(5)], "table string, snapshot_id long, committed_at timestamp")
+    late = hours_before(F.lit(T0 + timedelta(hours=7)))
+    assert rows(expirable_snapshots(same, late, retain_last=2), "snapshot_id") == [(0,), (1,), (2,)]
+
+
+def test_expiry_never_ranks_a_whole_table(spark):
+    plan = plan_of(expirable_snapshots(history(spark, 3), F.lit(T0)))
+    assert "WindowGroupLimit" in plan.split("Exchange hash")[-1]
+
+
+def test_schedule(spark):
+    out = schedule(spark.range(130).withColumnRenamed("id", "batch_id"))
+    assert rows(out.where("runs_expiry"), "batch_id", "silver_run") == [(60, 6), (120, 12)]
+    assert out.where("runs_silver").count() == 13
+
+
+def test_growth_and_projection(spark):
+    data = [("t", d * 10 + n, T0 + timedelta(days=d, hours=n)) for d in (0, 1, 2, 9) for n in range(2)]
+    commits = spark.createDataFrame(data, "table string, snapshot_id long, committed_at timestamp")
+    assert rows(snapshot_growth(commits, 3), "commits", "retained") == [(2, 2), (2, 2), (2, 4), (2, 6)]
+    assert (projected_retention(2880, 5), projected_retention(288, 5)) == (14_400, 1_440)
+
+
+def test_probe_reports_what_the_catalog_cannot_do(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    report = {r.step: r for r in probe_expiry(spark, "spark_catalog", "silver", ["latest"]).collect()}
+    assert report["list tables"].ok
+    assert not report["expire latest"].ok and report["expire latest"].error
+    spark._jsparkSession.sessionState().sqlParser().parsePlan(expire_call("c", "silver.latest", 6, 20))
+    assert rows(probe_statements(spark, [("a", "SELECT 1"), ("b", "SELEC 1")]), "step", "ok") == [
+        ("a", True), ("b", False)]
+
+
+def test_listing_inventory_and_history(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    spark.range(4).write.mode("overwrite").saveAsTable("bronze.iot")
+    assert rows(list_tables(spark, "bronze"), "tableName") == [("iot",)]
+    counts = table_inventory({"b": spark.table("bronze.iot"), "a": spark.range(2).selectExpr("id", "id AS x")})
+    assert rows(counts) == [("a", 2, 2), ("b", 4, 1)]
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND|SINGLE_PART_NAMESPACE"):
+        table_history(spark, "bronze.iot").collect()  # no metadata tables in this catalog
+    spark.sql("DROP TABLE bronze.iot")
+
+
+LINES = [
+    "1778766850536 2026-05-14T13:54:10.536Z 2026-05-14 13:54:10,536 - ERROR - [Silver] Batch 80 FAILED (bronze succeeded): x",
+    "2026-05-14 13:50:00,000 - INFO - [Bronze] Batch 3: written (4 files)",
+    "  [Silver] Batch 10 upserted          <- silver fires again",
+    "  [Bronze] Batch 0  written (4 files)",
+    "2026-05-14 13:50:01,000 - WARNING - [Silver] Batch 4: transient commit conflict - skipping",
+    "2026-05-14 13:50:02,250 - INFO - Batch 5: empty, skipping.",
+    "2026-05-14 13:50:03,000 - INFO - [Expire] Batch 60: expire_snapshots OK on t",
+    "2026-05-14 13:50:03,000 - INFO - SparkSession ready.",
+    "at org.example.Thing(Thing.scala:1)",
+]
+
+
+def test_batch_lines(spark, tmp_path):
+    (tmp_path / "driver.log").write_text("\n".join(LINES))
+    parsed = parse_batches(read_lines(spark, str(tmp_path)))
+    assert rows(parsed, "batch_id", "stage", "outcome", "level") == [
+        (0, "Bronze", "written", None), (3, "Bronze", "written", "INFO"), (4, "Silver", "conflict", "WARNING"),
+        (5, None, "empty", "INFO"), (10, "Silver", "upserted", None), (60, "Expire", "expired", "INFO"),
+        (80, "Silver", "failed", "ERROR")]
+    assert parsed.where("batch_id = 5").first().logged_at == datetime(2026, 5, 14, 13, 50, 2, 250_000)
+
+
+def test_errors_by_class(spark):
+    lines = spark.createDataFrame([(t,) for t in (
+        "py4j.protocol.Py4JJavaError: x", ": java.lang.IllegalStateException: y", "a java.lang.IllegalStateException",
+        "Failed to send", "FAILED", "fine")], "text string")
+    assert rows(error_summary(lines)) == [
+        ("Failed", 1), ("java.lang.IllegalStateException", 2), ("py4j.protocol.Py4JJavaError", 1)]
+
+
+def test_exit_codes(spark):
+    codes = spark.createDataFrame([(c,) for c in (0, 137, 143, 11, 1)], "code int")
+    assert rows(classify_exits(codes), "code", "reason") == [
+        (0, "Completed"), (1, None), (11, "Error"), (137, "OOMKilled"), (143, "Error")]
+
+
+def test_gaps_across_empty_buckets_and_a_dominant_series(spark):
+    data = spark.range(600).select(
+        F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("job"),
+        (F.col("id") * F.col("id") * 37 % 90_000).alias("ms"), "id")
+    out = batch_gaps(data, "job", "ms", "id", bucket_ms=1_000)
+    window = Window.partitionBy("job").orderBy("ms", "id")
+    assert rows(out) == rows(data.withColumn("gap_ms", F.col("ms") - F.lag("ms").over(window)))
+    # the rows themselves are only ever grouped by series and bucket
+    grouped = [line for line in plan_of(out).splitlines() if "Window [lag(ms" in line]
+    assert grouped and all("_bucket" in line for line in grouped)
+
+
+def test_trend(spark):
+    gaps = spark.createDataFrame(
+        [("j", 0, None), ("j", 10, 10), ("j", 20, 30_001), ("j", 110, 50_000), ("j", 310, 40_000)],
+        "job string, ms long, gap_ms long")
+    out = lag_trend(gaps, "job", "ms", period_ms=100, trailing=2)
+    assert rows(out, "period", "n_batches", "n_behind", "max_gap_ms", "avg_gap_ms", "trailing_gap_ms", "creeping") == [
+        (0, 2, 1, 30_001, 15_005.5, 15_005.5, False),
+        (1, 1, 1, 50_000, 50_000.0, 80_011 / 3, True),
+        (3, 1, 1, 40_000, 40_000.0, 45_000.0, False)]
+
+
+def test_parity(spark):
+    left = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (5, "d", 1.0), (5, "d", 1.0)], "k int, s string, x double")
+    right = spark.createDataFrame([(1.0, 1, "a"), (None, 2, "B"), (3.5, 3, "c"), (4.0, 4, "n"), (1.0, 5, "d")], "x double, k int, s string")
+    assert rows(row_diff(left, right)) == [
+        (2, "B", None, 0, 1), (2, "b", None, 1, 0), (3, "c", 3.0, 1, 0), (3, "c", 3.5, 0, 1), (4, "n", 4.0, 0, 1),
+        (5, "d", 1.0, 1, 0)]
+    assert dict(rows(column_diff(left, right, ["k"]))) == {
+        "(left only)": 0, "(right only)": 1, "(repeated key)": 1, "s": 1, "x": 1}
+    assert row_diff(left, left).count() == 0
+    assert plan_of(row_diff(left, right)).count("Exchange") == 1
