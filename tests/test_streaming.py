@@ -1,5 +1,8 @@
 import json
 import logging
+import os
+import time
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,9 +41,6 @@ class Landing:
         self.path.mkdir()
 
     def add(self, *texts):
-        import os
-        import time
-
         n = len(list(self.path.iterdir()))
         file = self.path / f"{n:04d}.txt"
         file.write_text("\n".join(texts) + "\n")
@@ -174,30 +174,52 @@ def test_chain_of_two_queries(lake, landing):
     landing.add(payload(1, 1), payload(2, 1, lon=-1.0))
     ingest(lake, landing, every=None)
     run(start_silver(lake, ONCE))
+    assert lake.latest_valid.read().count() == 2
     landing.add(payload(2, 2), payload(1, 0), payload(3, 5, voltage=None))
+    landing.add(payload(3, 6), payload(2, 1))
     ingest(lake, landing, every=None)
-    assert lake.latest_valid.read().count() == 2
     run(start_silver(lake, ONCE))
-    flat = lake.latest_valid.read().withColumn("alarms", F.to_json("alarms"))
-    plain = [tuple(None if v is None else v for v in r) for r in landing.expected()]
-    got = rows(flat)
+    assert rows(lake.latest_valid.read()) == landing.expected()
+    assert rows(lake.latest.read(), KEY, "alarms") == [(1, '{"k": 1}'), (2, '{"k": 2}'), (3, '{"k": 6}')]
+
+
+def test_silver_from_a_filled_bronze_table(lake, landing):
+    landing.add(payload(1, 1), payload(2, 1, lon=-1.0))
+    landing.add(payload(2, 2), payload(1, 0), payload(3, 5, voltage=None))
+    ingest(lake, landing, every=None, pending=False)
+    run(start_silver(lake, ONCE, source="bronze", max_files_per_trigger=1))
+    flat = lake.latest_valid.read()
     drop = flat.columns.index("alarms")
-    assert [r[:drop] + r[drop + 1:] for r in got] == [r[:drop] + r[drop + 1:] for r in plain]
-    assert got[0][drop] == '{"alarmK":"1"}'
 
+    def without_alarms(data):
+        return [r[:drop] + r[drop + 1:] for r in data]
 
-def test_failed_silver_batch_comes_again(lake, landing, monkeypatch):
+    assert without_alarms(rows(flat.withColumn("alarms", F.to_json("alarms")))) == without_alarms(landing.expected())
+    assert rows(flat, KEY, "alarms.alarmK") == [(1, "1"), (2, "2"), (3, None)]
+
+
+@pytest.mark.parametrize("source,method", [("pending", "upsert"), ("bronze", "upsert_bronze")])
+def test_failed_silver_batch_comes_again(lake, landing, monkeypatch, source, method):
     landing.add(payload(1, 1))
     ingest(lake, landing, every=None)
-    real = Lake.upsert_bronze
-    monkeypatch.setattr(Lake, "upsert_bronze", lambda *a: 1 / 0)
-    with pytest.raises(Exception):
-        run(start_silver(lake, ONCE))
-    monkeypatch.setattr(Lake, "upsert_bronze", real)
-    run(start_silver(lake, ONCE))
+    real = getattr(Lake, method)
+    monkeypatch.setattr(Lake, method, lambda *a: 1 / 0)
+    with pytest.raises(Exception, match="division by zero"):
+        run(start_silver(lake, ONCE, source=source))
+    monkeypatch.setattr(Lake, method, real)
+    run(start_silver(lake, ONCE, source=source))
     assert lake.latest_valid.read().count() == 1
 
 
+def test_bronze_days_are_read_from_their_folders(lake, landing):
+    landing.add(payload(1, 0), payload(1, 1440), payload(1, 2 * 1440))
+    ingest(lake, landing, every=None, pending=False)
+    day = date(2024, 1, 2)
+    assert lake.read_bronze(day, day).select("day").distinct().count() == 1
+    assert lake.read_bronze(day, day + timedelta(7)).count() == 2
+    assert lake.read_bronze(date(2020, 1, 1), date(2020, 1, 2)).count() == 0
+
+
 def test_stateful_latest(spark, lake, landing):
     configure_state_store(spark)
     for minute in range(3):
@@ -240,8 +262,6 @@ def test_batch_times_are_collected(spark, lake, landing):
     try:
         landing.add(payload(1, 1))
         ingest(lake, landing)
-        import time
-
         for _ in range(50):
             if times.recent:
                 break

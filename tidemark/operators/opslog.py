@@ -134,5 +134,6 @@ def classify_exits(exits: DataFrame, code: str = "code") -> DataFrame:
 
     The dimension has four rows, so broadcasting it is safe at any input size.
     """
-    known = exits.sparkSession.createDataFrame(EXIT_CODES, f"`{code}` int, reason string, meaning string")
+    values = ", ".join(f"({c}, '{reason}', '{meaning}')" for c, reason, meaning in EXIT_CODES)
+    known = exits.sparkSession.sql(f"SELECT * FROM VALUES {values} AS d(`{code}`, reason, meaning)")
     return exits.join(F.broadcast(known), code, "left")

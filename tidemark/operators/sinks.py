@@ -45,7 +45,11 @@ def sized_files(df: DataFrame, columns: Sequence[str] = (), n_files: int | None
 
     By default Spark rebalances the rows by partition columns to files of the
     advisory size, splitting a partition that is too large and merging small ones.
+    That shuffles the batch once; 0 files means to write the partitions as they
+    are, for bulk loads whose partitions already have a good size.
     """
+    if n_files == 0:
+        return df
     if n_files is not None:
         return df.repartition(n_files)
     return df.hint("rebalance", *columns)

@@ -152,7 +152,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_bronze": _BRONZE,
         "stream_silver_valid": _COMBINED,
         "stream_silver_latest": _LATEST,
-        "stream_chain_valid": _COMBINED_FLAT,
+        "stream_chain_valid": _COMBINED,
+        "stream_bronze_valid": _COMBINED_FLAT,
         "stream_stateful_valid": _COMBINED,
         "snapshot_expire_select": """
             SELECT "table", snapshot_id, committed_at FROM (

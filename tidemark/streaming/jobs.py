@@ -14,7 +14,7 @@ from tidemark.operators.bronze import with_local_clocks
 from tidemark.operators.decode import decode, good_rows
 from tidemark.operators.maintenance import SILVER_EVERY
 from tidemark.sources.files import ensure_folder
-from tidemark.sources.streams import file_stream
+from tidemark.sources.streams import file_options, file_stream
 from tidemark.streaming.lake import Lake
 from tidemark.streaming.policy import expiry_due, is_transient, silver_due
 
@@ -41,13 +41,15 @@ def _start(
     )
 
 
-def ingest_batch(lake: Lake, silver_every: int | None) -> Callable[[DataFrame, int], None]:
-    """One decoded micro-batch to bronze and, unless silver is separate, on to silver.
+def ingest_batch(
+    lake: Lake, silver_every: int | None, pending: bool = True
+) -> Callable[[DataFrame, int], None]:
+    """One decoded micro-batch to bronze and, if silver is wanted, on to silver.
 
-    Bronze goes first and its failure ends the query. Silver runs on every nth
-    batch over all batches since it last succeeded; between runs a batch leaves
-    only its newest row per key behind. A lost commit race leaves them for the
-    next run, any other failure ends the query.
+    Bronze goes first and its failure ends the query. The batch then leaves its
+    newest row per key behind as pending. With silver_every, silver runs on every
+    nth batch over all that is pending, so no batch is lost between two runs. A
+    lost commit race leaves it for the next run, any other failure ends the query.
     """
 
     def process(decoded: DataFrame, batch_id: int) -> None:
@@ -57,9 +59,10 @@ def ingest_batch(lake: Lake, silver_every: int | None) -> Callable[[DataFrame, i
                 logger.info("Batch %d: empty, skipping.", batch_id)
                 return
             lake.write_bronze(decoded, batch_id)
+            if pending:
+                lake.add_pending(decoded, batch_id)
             if silver_every is None:
                 return
-            lake.add_pending(decoded, batch_id)
             if not silver_due(batch_id, silver_every):
                 logger.info("[Silver] Batch %d: skipped (cadence 1-in-%d)", batch_id, silver_every)
                 return
@@ -75,7 +78,7 @@ def ingest_batch(lake: Lake, silver_every: int | None) -> Callable[[DataFrame, i
 def merge_silver(lake: Lake, decoded: DataFrame, batch_id: int) -> None:
     try:
         merged = lake.merge_pending(decoded.sparkSession)
-        logger.info("[Silver] Batch %d: upserted (%d batches)", batch_id, merged)
+        logger.info("[Silver] Batch %d: upserted (%d pending files)", batch_id, merged)
     except Exception as e:
         if not is_transient(e):
             logger.error("[Silver] Batch %d FAILED (bronze succeeded): %s", batch_id, e)
@@ -98,35 +101,64 @@ def start_ingest(
     silver_every: int | None = SILVER_EVERY,
     trigger: Mapping = INGEST_TRIGGER,
     checkpoint: str = "combined",
+    pending: bool = True,
 ) -> StreamingQuery:
-    """Payload stream to bronze and, with silver_every, to both silver tables."""
+    """Payload stream to bronze and, with silver_every, to both silver tables.
+
+    Without silver_every the pending rows are left to start_silver.
+    """
+    if silver_every is not None and not pending:
+        raise ValueError("silver is merged from pending rows")
     check_drift(lake.contract.schema, lake.contract)
     decoded = decode(raw, lake.contract, payload_format)
-    return _start(
-        decoded, ingest_batch(lake, silver_every), lake.checkpoint(checkpoint), trigger, f"tidemark-{checkpoint}"
-    )
+    callback = ingest_batch(lake, silver_every, pending)
+    return _start(decoded, callback, lake.checkpoint(checkpoint), trigger, f"tidemark-{checkpoint}")
 
 
 def start_silver(
-    lake: Lake, trigger: Mapping = SILVER_TRIGGER, checkpoint: str = "silver", **limits
+    lake: Lake,
+    trigger: Mapping = SILVER_TRIGGER,
+    checkpoint: str = "silver",
+    source: str = "pending",
+    **limits,
 ) -> StreamingQuery:
-    """Second query of a chain: the bronze table as a stream, merged into silver.
+    """Second query of a chain, merging into silver on its own trigger.
 
     A slow trigger makes larger silver batches; the checkpoint, not the batch
     number, decides what is still to be merged. A failed batch is not committed
     there and comes again when the query restarts.
+
+    The source "pending" reads the rows the first query keeps and deletes them
+    once merged, so that listing it stays cheap. The source "bronze" reads the
+    bronze table from its beginning, for a table that was filled without this
+    query; its files are listed at every trigger.
     """
-    ensure_folder(lake.spark, lake.bronze_path)
-    bronze = file_stream(lake.spark, lake.bronze_path, lake.bronze_schema(), **limits)
+    if source == "pending":
+        ensure_folder(lake.spark, lake.pending_path)
+        options = {"cleanSource": "delete", **file_options(**limits)}
+        stream = (
+            lake.spark.readStream.schema(lake.pending_schema()).options(**options).parquet(lake.pending_path)
+        )
+        upsert = lake.upsert
+    else:
+        ensure_folder(lake.spark, lake.bronze_path)
+        stream = file_stream(lake.spark, lake.bronze_path, lake.bronze_schema(), **limits)
+        upsert = lake.upsert_bronze
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            logger.info("Batch %d: empty, skipping.", batch_id)
-            return
-        lake.upsert_bronze(batch)
-        logger.info("[Silver] Batch %d: upserted", batch_id)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                logger.info("Batch %d: empty, skipping.", batch_id)
+                return
+            upsert(batch)
+            logger.info("[Silver] Batch %d: upserted", batch_id)
+            if expiry_due(batch_id, 1):
+                expire_silver(lake, batch_id)
+        finally:
+            batch.unpersist()
 
-    return _start(bronze, process, lake.checkpoint(checkpoint), trigger, f"tidemark-{checkpoint}")
+    return _start(stream, process, lake.checkpoint(checkpoint), trigger, f"tidemark-{checkpoint}")
 
 
 def start_stateful(

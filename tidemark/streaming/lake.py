@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contracts import LATEST_VALID_GROUPS, ColumnGroup, Contract, whole_row_group
 from tidemark.operators.bronze import PARTITIONS, bronze_to_events, to_bronze, with_local_clocks
@@ -16,7 +18,6 @@ from tidemark.operators.latest import newest_structs
 from tidemark.operators.maintenance import OLDER_THAN_HOURS, RETAIN_LAST, expire_versions
 from tidemark.operators.merge import SEQUENCE
 from tidemark.operators.sinks import (
-    BATCH_KEY,
     VersionedTable,
     append_batch,
     file_schema,
@@ -79,15 +80,28 @@ class Lake:
 
     # ---- bronze
 
-    def bronze_schema(self):
+    def bronze_schema(self) -> T.StructType:
         rows = self.spark.createDataFrame([], self.contract.schema)
         stored = to_bronze(rows, self.contract).select(
             "*", F.lit(0).cast("long").alias("batch_id"), F.current_timestamp().alias("ingest_ts")
         )
         return file_schema(stored.schema, PARTITIONS)
 
-    def read_bronze(self) -> DataFrame:
-        return self.spark.read.schema(self.bronze_schema()).parquet(self.bronze_path)
+    def read_bronze(self, first_day: date | None = None, last_day: date | None = None) -> DataFrame:
+        """Bronze rows, of all time or of a range of local days.
+
+        A range is read from its own folders, so the cost of listing does not
+        grow with the age of the table.
+        """
+        reader = self.spark.read.schema(self.bronze_schema()).option("basePath", self.bronze_path)
+        if first_day is None or last_day is None:
+            return reader.parquet(self.bronze_path)
+        days = [first_day + timedelta(n) for n in range((last_day - first_day).days + 1)]
+        folders = [f"{self.bronze_path}/year={d.year}/month={d.month}/day={d.day}" for d in days]
+        present = [f for f in folders if files.exists(self.spark, f)]
+        if not present:
+            return self.spark.createDataFrame([], self.bronze_schema())
+        return reader.parquet(*present)
 
     def write_bronze(self, decoded: DataFrame, batch_id: int) -> dict[str, int]:
         """Append a decoded micro-batch; refused payloads go to quarantine.
@@ -141,38 +155,33 @@ class Lake:
         rows = bronze_to_events(bronze, self.contract)
         self.upsert(self.newest(rows))
 
+    def pending_schema(self) -> T.StructType:
+        rows = with_local_clocks(self.spark.createDataFrame([], self.contract.schema), self.contract)
+        schema = self.newest(rows).schema
+        return T.StructType([T.StructField(f.name, f.dataType) for f in schema]).add(SEQUENCE, T.LongType())
+
     def add_pending(self, decoded: DataFrame, batch_id: int) -> None:
-        """Keep a batch's newest rows, one per key, until the next silver run."""
+        """Keep a batch's newest rows, one per key, until silver merges them.
+
+        The folder is flat and holds only what is not merged yet. A batch kept
+        twice after a restart is harmless: merging rows again changes nothing.
+        """
         structs = self.newest(with_local_clocks(good_rows(decoded), self.contract))
-        path = f"{self.pending_path}/{BATCH_KEY}={batch_key(decoded.sparkSession, batch_id)}"
-        sized_files(structs).write.mode("overwrite").parquet(path)
+        numbered = structs.withColumn(SEQUENCE, F.lit(batch_id).cast("long"))
+        sized_files(numbered).write.mode("append").parquet(self.pending_path)
 
     def merge_pending(self, spark: SparkSession | None = None) -> int:
-        """Merge everything kept since the last successful silver run; returns the batch count.
+        """Merge everything kept since the last successful run; returns the number of files.
 
         Kept rows are removed only after both tables are written. A failure in
-        between merges them again, which changes nothing.
+        between merges them again.
         """
         spark = spark or self.spark
-        waiting = sorted(
-            (e for e in files.entries(spark, self.pending_path)
-             if files.exists(spark, f"{e.path}/_SUCCESS")),
-            key=lambda e: (e.modified_ms, e.name),
-        )
-        if not waiting:
-            return 0
-        position = F.create_map(
-            *[F.lit(x) for i, e in enumerate(waiting) for x in (e.name.split("=", 1)[1], i)]
-        )
-        structs = (
-            spark.read.option("basePath", self.pending_path)
-            .parquet(*[e.path for e in waiting])
-            .withColumn(SEQUENCE, position[F.col(BATCH_KEY)])
-            .drop(BATCH_KEY)
-        )
-        self.upsert(structs)
-        for entry in waiting:
-            files.delete(spark, entry.path)
+        waiting = [e.path for e in files.entries(spark, self.pending_path) if e.name.endswith(".parquet")]
+        if waiting:
+            self.upsert(spark.read.schema(self.pending_schema()).parquet(*waiting))
+            for path in waiting:
+                files.delete(spark, path)
         return len(waiting)
 
     def expire(self) -> int:
