@@ -12,13 +12,14 @@ from tidemark.contracts import LATEST_VALID_GROUPS
 from tidemark.operators.bronze import with_local_clocks
 from tidemark.operators.decode import decode, good_rows
 from tidemark.operators.latest import combine_one_pass
+from tidemark.operators.merge import merge_sql
 from tidemark.operators.opslog import parse_batches
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.session import configure_state_store
 from tidemark.sources.streams import file_options, file_stream, kafka_options
 from tidemark.streaming import app
-from tidemark.streaming.jobs import start_ingest, start_silver, start_stateful
-from tidemark.streaming.lake import Lake
+from tidemark.streaming.jobs import expire_silver, start_ingest, start_silver, start_stateful
+from tidemark.streaming.lake import CatalogLake, Lake
 from tidemark.streaming.policy import BatchTimes, expiry_due, is_transient, silver_due, supervise
 
 ONCE = {"availableNow": True}
@@ -211,6 +212,15 @@ def test_failed_silver_batch_comes_again(lake, landing, monkeypatch, source, met
     assert lake.latest_valid.read().count() == 1
 
 
+def test_batch_of_refused_payloads_only(spark, lake, landing):
+    landing.add("broken {", "")
+    landing.add(payload(1, 1))
+    ingest(lake, landing, every=1)
+    assert spark.read.parquet(lake.quarantine_path).count() == 2
+    assert lake.read_bronze().count() == 1
+    assert rows(lake.latest_valid.read()) == landing.expected()
+
+
 def test_bronze_days_are_read_from_their_folders(lake, landing):
     landing.add(payload(1, 0), payload(1, 1440), payload(1, 2 * 1440))
     ingest(lake, landing, every=None, pending=False)
@@ -235,6 +245,45 @@ def test_stateful_latest(spark, lake, landing):
     assert rows(lake.latest_valid.read()) == landing.expected()
 
 
+def test_catalog_tables(spark, landing, tmp_path, monkeypatch):
+    """Creation and append run here; MERGE and conditional overwrite need a table format
+    this session lacks, so they are recorded instead of run."""
+    from tidemark.streaming import lake as module
+
+    lake = CatalogLake(
+        spark, str(tmp_path / "lake"), CONTRACT, bronze_namespace="b", silver_namespace="s", provider="parquet",
+        replayable=False)
+    lake.prepare()
+    merged = []
+    monkeypatch.setattr(
+        module, "merge_table",
+        lambda df, name, key, groups, view: merged.append((name, view, rows(df, KEY, "ts"), merge_sql(name, view, key, groups))))
+    landing.add(payload(1, 1), payload(2, 1))
+    ingest(lake, landing, every=1)
+    landing.add(payload(2, 2), payload(3, 2), payload(3, 1))
+    ingest(lake, landing, every=1)
+    assert lake.read_bronze().count() == 5
+    assert lake.read_bronze(date(2024, 1, 1), date(2024, 1, 1)).count() == 5
+    assert spark.sql("SHOW PARTITIONS b.iot").first()[0] == "year=2024/month=1/day=1"
+    assert spark.table("s.iot_events_latest_valid").columns[:3] == [KEY, "ts", "bmsLastTs"]
+    assert [m[0] for m in merged] == [
+        "`spark_catalog`.s.iot_events_latest_valid", "`spark_catalog`.s.iot_events_latest"]
+    assert [k for k, _ in merged[0][2]] == [2, 3]  # one row per key
+    for statement in merged:
+        spark._jsparkSession.sessionState().sqlParser().parsePlan(statement[3])
+    with pytest.raises(Exception):
+        lake.expire()  # this catalog has no such procedure
+    expire_silver(lake, 60)  # which never ends a stream
+    replayed = []
+    monkeypatch.setattr(module, "replace_batch", lambda df, name, key: replayed.append((name, key)))
+    lake.replayable = True
+    landing.add(payload(4, 1))
+    ingest(lake, landing, every=1)
+    assert replayed[0][0] == "`spark_catalog`.b.iot" and replayed[0][1].endswith("-000000002")
+    spark.sql("DROP DATABASE b CASCADE")
+    spark.sql("DROP DATABASE s CASCADE")
+
+
 def test_empty_batch_is_skipped(spark, lake, landing, caplog):
     caplog.set_level(logging.INFO, "tidemark")
     from tidemark.streaming.jobs import ingest_batch

@@ -120,6 +120,8 @@ def test_catalog_tables(spark):
     described = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED telemetry.iot").collect()}
     assert "commit.retry.num-retries=10" in described["Table Properties"]
     assert spark.sql("SHOW PARTITIONS telemetry.iot").first()[0] == "year=2024"
+    append_table(data.select("year", "id"), "telemetry.iot", ["year"], provider="parquet")
+    assert rows(spark.table("telemetry.iot"), "id", "year") == [(n, 2024) for n in (0, 0, 1, 1, 2, 2)]
     append_table(data, "telemetry.fresh", properties={"owner-note": "x"}, provider="parquet")
     assert spark.table("telemetry.fresh").count() == 3
     with pytest.raises(Exception, match="(?i)parse"):

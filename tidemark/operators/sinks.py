@@ -231,18 +231,24 @@ def append_table(
     properties: Mapping[str, str] | None = None,
     provider: str | None = None,
 ) -> None:
-    """Append to a catalog table, creating it the first time."""
+    """Append to a catalog table by column name, creating it the first time."""
     if not table_exists(df.sparkSession, name):
         create_table(df, name, partitions, properties, provider)
-    else:
-        df.writeTo(name).append()
+        return
+    writer = df.write.mode("append")
+    if provider:
+        writer = writer.format(provider)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.saveAsTable(name)
 
 
-def replace_batch(df: DataFrame, name: str, batch_id: int) -> None:
-    """Append one batch to a catalog table so that writing it again replaces it."""
-    df.withColumn("batch_id", F.lit(batch_id).cast("long")).writeTo(name).overwrite(
-        F.col("batch_id") == F.lit(batch_id).cast("long")
-    )
+def replace_batch(df: DataFrame, name: str, batch_key: str) -> None:
+    """Append one batch to a catalog table so that writing it again replaces it.
+
+    Needs a table format that can overwrite the rows matching a condition.
+    """
+    df.writeTo(name).overwrite(F.col(BATCH_KEY) == batch_key)
 
 
 def merge_table(

@@ -10,7 +10,7 @@ from tidemark.operators.maintenance import SILVER_EVERY
 from tidemark.session import build_session
 from tidemark.sources.streams import MAX_OFFSETS_PER_TRIGGER, STARTING_OFFSETS, file_stream, kafka_stream
 from tidemark.streaming.jobs import INGEST_TRIGGER, SILVER_TRIGGER, start_ingest, start_silver
-from tidemark.streaming.lake import Lake
+from tidemark.streaming.lake import CatalogLake, Lake
 from tidemark.streaming.policy import BatchTimes, supervise
 
 
@@ -30,6 +30,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--topology", choices=["combined", "chain"], default="chain")
     p.add_argument("--silver-every", type=int, default=SILVER_EVERY)
     p.add_argument("--buckets", type=int, default=8)
+    p.add_argument("--catalog", help="write bronze and silver to this catalog instead of folders below root")
+    p.add_argument("--bronze-namespace", default="bronze")
+    p.add_argument("--silver-namespace", default="silver")
     p.add_argument("--zone", default="Asia/Kolkata")
     p.add_argument("--checkpoint", default="ingest", help="name; change it when the topology changes")
     p.add_argument("--until-caught-up", action="store_true", help="process what is there, then stop")
@@ -42,7 +45,18 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("tidemark")
     spark.streams.addListener(BatchTimes())
     contract = load_contract(spark, args.contract, args.rename_map, zone=args.zone)
-    lake = Lake(spark, args.root, contract, buckets=args.buckets)
+    if args.catalog:
+        lake = CatalogLake(
+            spark,
+            args.root,
+            contract,
+            catalog=args.catalog,
+            bronze_namespace=args.bronze_namespace,
+            silver_namespace=args.silver_namespace,
+        )
+        lake.prepare()
+    else:
+        lake = Lake(spark, args.root, contract, buckets=args.buckets)
     if args.topic:
         raw = kafka_stream(
             spark,

@@ -55,10 +55,11 @@ def ingest_batch(
     def process(decoded: DataFrame, batch_id: int) -> None:
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if decoded.isEmpty():
+            counts = lake.count_batch(decoded)
+            if not counts["rows"]:
                 logger.info("Batch %d: empty, skipping.", batch_id)
                 return
-            lake.write_bronze(decoded, batch_id)
+            lake.write_bronze(decoded, batch_id, counts)
             if pending:
                 lake.add_pending(decoded, batch_id)
             if silver_every is None:

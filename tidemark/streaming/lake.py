@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +15,27 @@ from tidemark.contracts import LATEST_VALID_GROUPS, ColumnGroup, Contract, whole
 from tidemark.operators.bronze import PARTITIONS, bronze_to_events, to_bronze, with_local_clocks
 from tidemark.operators.decode import BAD_REASON, good_rows, refused_rows
 from tidemark.operators.latest import newest_structs
-from tidemark.operators.maintenance import OLDER_THAN_HOURS, RETAIN_LAST, expire_versions
-from tidemark.operators.merge import SEQUENCE
+from tidemark.operators.maintenance import (
+    OLDER_THAN_HOURS,
+    RETAIN_LAST,
+    expire_call,
+    expire_versions,
+)
+from tidemark.operators.merge import SEQUENCE, merge_latest
 from tidemark.operators.sinks import (
+    BATCH_KEY,
+    BRONZE_PROPERTIES,
+    SILVER_PROPERTIES,
     VersionedTable,
     append_batch,
+    append_table,
+    create_table,
+    ensure_namespace,
     file_schema,
+    merge_table,
+    replace_batch,
     sized_files,
+    table_exists,
     upsert_table,
 )
 from tidemark.sources import files
@@ -103,29 +117,29 @@ class Lake:
             return self.spark.createDataFrame([], self.bronze_schema())
         return reader.parquet(*present)
 
-    def write_bronze(self, decoded: DataFrame, batch_id: int) -> dict[str, int]:
-        """Append a decoded micro-batch; refused payloads go to quarantine.
+    def count_batch(self, decoded: DataFrame) -> dict[str, int]:
+        """Rows, refused payloads and rows without a key; fills the cache of a persisted batch."""
+        refused = F.col(BAD_REASON).isNotNull()
+        return decoded.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(refused).alias("refused"),
+            F.count_if(~refused & F.col(self.contract.key).isNull()).alias("without_key"),
+        ).first().asDict()
 
-        The counts are taken by the write itself, so quarantine costs a second
-        job only in batches that have something to put there.
-        """
+    def write_bronze(self, decoded: DataFrame, batch_id: int, counts: dict[str, int]) -> None:
+        """Append a decoded micro-batch; refused payloads go to quarantine."""
         key = batch_key(decoded.sparkSession, batch_id)
-        seen = Observation()
-        counted = decoded.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(BAD_REASON).isNotNull()).alias("refused"),
-            F.count_if(F.col(BAD_REASON).isNull() & F.col(self.contract.key).isNull()).alias("without_key"),
-        )
-        stored = to_bronze(good_rows(counted), self.contract).select(
+        stored = to_bronze(good_rows(decoded), self.contract).select(
             "*", F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("ingest_ts")
         )
-        append_batch(stored, self.bronze_path, key, PARTITIONS, self.bronze_files)
-        counts = seen.get
+        if counts["rows"] > counts["refused"]:
+            self._store_bronze(stored, key)
         if counts["refused"]:
             append_batch(refused_rows(decoded), self.quarantine_path, key)
         logger.info("[Bronze] Batch %d: written (%s)", batch_id, counts)
-        return counts
+
+    def _store_bronze(self, rows: DataFrame, key: str) -> None:
+        append_batch(rows, self.bronze_path, key, PARTITIONS, self.bronze_files)
 
     # ---- silver
 
@@ -137,14 +151,17 @@ class Lake:
 
     def upsert(self, structs: DataFrame) -> None:
         """Merge newest structs (one row per key and `_seq`) into both silver tables."""
-        key, session = self.contract.key, structs.sparkSession
         order = [SEQUENCE] if SEQUENCE in structs.columns else []
         valid_columns = [f"g{i}.*" for i in range(len(self.valid_groups))]
         for table, columns, groups in (
-            (self.latest_valid, valid_columns, self.valid_groups),
-            (self.latest, ["row.*"], self.latest_groups),
+            ("latest_valid", valid_columns, self.valid_groups),
+            ("latest", ["row.*"], self.latest_groups),
         ):
-            upsert_table(table.bound(session), structs.select(key, *columns, *order), groups)
+            self._store_silver(table, structs.select(self.contract.key, *columns, *order), groups)
+
+    def _store_silver(self, table: str, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> None:
+        stored: VersionedTable = getattr(self, table)
+        upsert_table(stored.bound(incoming.sparkSession), incoming, groups)
 
     def upsert_decoded(self, decoded: DataFrame) -> None:
         """Merge the rows of one decoded batch directly."""
@@ -190,3 +207,72 @@ class Lake:
             expire_versions(t, self.retain_last, self.older_than_hours)
             for t in (self.latest, self.latest_valid)
         )
+
+
+@dataclass
+class CatalogLake(Lake):
+    """The same steps on tables of a catalog whose format has transactions and MERGE.
+
+    root still holds checkpoints, quarantine and pending rows. replayable makes a
+    bronze batch replace itself when it is written again; without it a batch
+    that is replayed after a failure appears twice, as in a plain append.
+    """
+
+    catalog: str = "spark_catalog"
+    bronze_namespace: str = "bronze"
+    silver_namespace: str = "silver"
+    provider: str | None = None
+    replayable: bool = True
+
+    def _name(self, namespace: str, table: str) -> str:
+        return f"`{self.catalog}`.{namespace}.{table}"
+
+    @property
+    def bronze_table(self) -> str:
+        return self._name(self.bronze_namespace, "iot")
+
+    def silver_table(self, table: str) -> str:
+        return self._name(self.silver_namespace, f"iot_events_{table}")
+
+    def prepare(self) -> None:
+        """Create both namespaces; once per start, not per batch."""
+        for namespace in (self.bronze_namespace, self.silver_namespace):
+            ensure_namespace(self.spark, f"`{self.catalog}`.{namespace}")
+
+    def read_bronze(self, first_day: date | None = None, last_day: date | None = None) -> DataFrame:
+        rows = self.spark.table(self.bronze_table)
+        if first_day is None or last_day is None:
+            return rows
+        on_day = F.make_date("year", "month", "day")
+        months = F.col("year") * 12 + F.col("month")
+        return rows.where(
+            on_day.between(first_day, last_day)
+            & months.between(first_day.year * 12 + first_day.month, last_day.year * 12 + last_day.month)
+            & F.col("year").between(first_day.year, last_day.year)
+        )
+
+    def _store_bronze(self, rows: DataFrame, key: str) -> None:
+        keyed = sized_files(rows.withColumn(BATCH_KEY, F.lit(key)), PARTITIONS, self.bronze_files)
+        if self.replayable and table_exists(rows.sparkSession, self.bronze_table):
+            replace_batch(keyed, self.bronze_table, key)
+        else:
+            append_table(keyed, self.bronze_table, PARTITIONS, BRONZE_PROPERTIES, self.provider)
+
+    def _store_silver(self, table: str, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> None:
+        name, key = self.silver_table(table), self.contract.key
+        folded = merge_latest(None, incoming, key, groups)  # one row per key, over all batches
+        if table_exists(incoming.sparkSession, name):
+            merge_table(folded, name, key, groups, f"tidemark_{table}_source")
+        else:
+            create_table(folded, name, properties=SILVER_PROPERTIES, provider=self.provider)
+
+    def expire(self) -> int:
+        for table in ("latest", "latest_valid"):
+            call = expire_call(
+                self.catalog,
+                f"{self.silver_namespace}.iot_events_{table}",
+                self.older_than_hours,
+                self.retain_last,
+            )
+            self.spark.sql(call).collect()
+        return 2
