@@ -77,22 +77,27 @@ def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_local_clocks(contract_rows(spark, sf_dir), CONTRACT)
 
 
-def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Device rows with the number of the batch they arrive in, in event order."""
-    rows = device_rows(spark, sf_dir)
-    first, last = rows.agg(F.min("event_id"), F.max("event_id")).first()
+def event_ranges(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """Event id ranges that split all events into batches, in event order."""
+    first, last = load_table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
     width = (last - first + N_BATCHES) // N_BATCHES
-    return rows.withColumn("batch", F.floor((F.col("event_id") - first) / width))
+    return [(first + n * width, first + (n + 1) * width - 1) for n in range(N_BATCHES)]
 
 
-def batches(rows: DataFrame) -> list[DataFrame]:
-    """All rows, split by batch number, clocks converted for silver."""
+def arriving(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All device rows, split into batches; each range reaches the scan as a filter."""
+    rows = device_rows(spark, sf_dir)
     return [
-        with_local_clocks(rows.where(F.col("batch") == n).select(*CONTRACT.columns), CONTRACT)
-        for n in range(N_BATCHES)
+        rows.where(F.col("event_id").between(low, high)).select(*CONTRACT.columns)
+        for low, high in event_ranges(spark, sf_dir)
     ]
 
 
+def batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The arriving rows with their clocks converted for silver."""
+    return [with_local_clocks(rows, CONTRACT) for rows in arriving(spark, sf_dir)]
+
+
 # ---- decode
 
 def with_payload(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
@@ -177,11 +182,13 @@ def bronze_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze appended batch by batch, the second batch twice, read back from the table."""
     path = shared_dir(spark, "bronze")
-    rows = numbered_rows(spark, sf_dir)
+    stored = [
+        to_bronze(rows, CONTRACT).withColumn("batch_id", F.lit(n).cast("long"))
+        for n, rows in enumerate(arriving(spark, sf_dir))
+    ]
     for n in [*range(N_BATCHES), 1]:
-        batch = to_bronze(rows.where(F.col("batch") == n).select(*CONTRACT.columns), CONTRACT)
-        append_batch(batch.withColumn("batch_id", F.lit(n).cast("long")), path, f"b{n}", PARTITIONS)
-    schema = file_schema(batch.withColumn("batch_id", F.lit(0).cast("long")).schema, PARTITIONS)
+        append_batch(stored[n], path, f"b{n}", PARTITIONS)
+    schema = file_schema(stored[0].schema, PARTITIONS)
     return plain_times(flat_alarms(spark.read.schema(schema).parquet(path).drop("batch_key")))
 
 
@@ -220,18 +227,18 @@ def silver_combined_onepass(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- merge
 
 def silver_merge_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = batches(numbered_rows(spark, sf_dir))
+    parts = batches(spark, sf_dir)
     return plain_times(fold_batches(parts, KEY, LATEST_VALID_GROUPS))
 
 
 def silver_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = batches(numbered_rows(spark, sf_dir))
+    parts = batches(spark, sf_dir)
     return plain_times(fold_batches(parts, KEY, LATEST_GROUPS))
 
 
 def silver_merge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, *rest = [
-        combine_one_pass(b, KEY, LATEST_VALID_GROUPS) for b in batches(numbered_rows(spark, sf_dir))
+        combine_one_pass(b, KEY, LATEST_VALID_GROUPS) for b in batches(spark, sf_dir)
     ]
     for incoming in rest:
         first = merge_by_join(first, incoming, KEY, LATEST_VALID_GROUPS)
@@ -240,7 +247,7 @@ def silver_merge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cadence_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first batch creates the table, all later ones wait and are merged together."""
-    first, *waiting = batches(numbered_rows(spark, sf_dir))
+    first, *waiting = batches(spark, sf_dir)
     stored = fold_batches([first], KEY, LATEST_VALID_GROUPS)
     return plain_times(merge_pending(stored, waiting, KEY, LATEST_VALID_GROUPS))
 
@@ -248,7 +255,7 @@ def cadence_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batches merged into a bucketed table, one version after the other."""
     table = VersionedTable(spark, shared_dir(spark, "silver"), KEY)
-    for batch in batches(numbered_rows(spark, sf_dir)):
+    for batch in batches(spark, sf_dir):
         upsert_table(table, combine_one_pass(batch, KEY, LATEST_VALID_GROUPS), LATEST_VALID_GROUPS)
     return plain_times(table.read())
 
@@ -260,15 +267,20 @@ def silver_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- streams
 
-def _lake(spark: SparkSession) -> Lake:
+def new_lake(spark: SparkSession) -> Lake:
+    """Empty tables in a fresh shared folder."""
     return Lake(spark, shared_dir(spark, "lake"), CONTRACT)
 
 
-def _payload_stream(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
+def payload_stream(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
     """All events as payload files, read back as a stream of a few micro-batches."""
     landing = f"{lake.root}/landing"
-    rows = numbered_rows(spark, sf_dir).select("batch", F.to_json(F.struct(*CONTRACT.columns)).alias("value"))
-    rows.write.partitionBy("batch").parquet(landing)
+    ranges = event_ranges(spark, sf_dir)
+    number = F.coalesce(*[
+        F.when(F.col("event_id") <= high, F.lit(n)) for n, (_, high) in enumerate(ranges)
+    ])
+    payloads = with_payload(spark, sf_dir).select(number.alias("batch"), "value")
+    payloads.write.partitionBy("batch").parquet(landing)
     n_files = len(spark.read.parquet(landing).inputFiles())
     per_batch = -(-n_files // (N_BATCHES // 2 + 1))
     return file_stream(spark, landing, "value string", max_files_per_trigger=per_batch)
@@ -285,16 +297,16 @@ ONCE = {"availableNow": True}
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _lake(spark)
-    payloads = _payload_stream(spark, sf_dir, lake)
+    lake = new_lake(spark)
+    payloads = payload_stream(spark, sf_dir, lake)
     _run(start_ingest(lake, payloads, silver_every=None, trigger=ONCE, pending=False))
     stored = lake.read_bronze().drop("batch_key", "batch_id", "ingest_ts")
     return plain_times(flat_alarms(stored))
 
 
 def _combined(spark: SparkSession, sf_dir: str) -> Lake:
-    lake = _lake(spark)
-    _run(start_ingest(lake, _payload_stream(spark, sf_dir, lake), silver_every=2, trigger=ONCE))
+    lake = new_lake(spark)
+    _run(start_ingest(lake, payload_stream(spark, sf_dir, lake), silver_every=2, trigger=ONCE))
     lake.merge_pending()
     return lake
 
@@ -308,16 +320,16 @@ def stream_silver_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_chain_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _lake(spark)
-    _run(start_ingest(lake, _payload_stream(spark, sf_dir, lake), silver_every=None, trigger=ONCE))
+    lake = new_lake(spark)
+    _run(start_ingest(lake, payload_stream(spark, sf_dir, lake), silver_every=None, trigger=ONCE))
     _run(start_silver(lake, trigger=ONCE))
     return plain_times(lake.latest_valid.read())
 
 
 def stream_bronze_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver from a bronze table that was filled beforehand."""
-    lake = _lake(spark)
-    payloads = _payload_stream(spark, sf_dir, lake)
+    lake = new_lake(spark)
+    payloads = payload_stream(spark, sf_dir, lake)
     _run(start_ingest(lake, payloads, silver_every=None, trigger=ONCE, pending=False))
     _run(start_silver(lake, trigger=ONCE, source="bronze"))
     return plain_times(flat_alarms(lake.latest_valid.read()))
@@ -325,13 +337,13 @@ def stream_bronze_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_stateful_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_state_store(spark)
-    lake = _lake(spark)
+    lake = new_lake(spark)
     table = lake.latest_valid
 
     def publish(changed: DataFrame, batch_id: int) -> None:
         lake.upsert(changed)
 
-    _run(start_stateful(lake, _payload_stream(spark, sf_dir, lake), publish, trigger=ONCE))
+    _run(start_stateful(lake, payload_stream(spark, sf_dir, lake), publish, trigger=ONCE))
     return plain_times(table.read())
 
 
