@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ LINE_LEVEL = r" - (DEBUG|INFO|WARNING|ERROR|CRITICAL) - "
 LINE_STAGE = r"\[(Bronze|Silver|Expire)\] Batch [0-9]+"
 LINE_BATCH = r"Batch ([0-9]+)"
 LINE_DETAIL = r"Batch [0-9]+[: ]\s*(.*)$"
-ERROR_LINE = r"(Error|Exception|Fail)"
+ERROR_WORDS = ("Error", "Exception", "Fail")
 ERROR_CLASS = r"([A-Za-z0-9_.$]*(?:Error|Exception|Fail)[A-Za-z]*)"
 
 EXIT_CODES = (
@@ -39,7 +41,9 @@ def parse_batches(lines: DataFrame) -> DataFrame:
         return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
     detail = F.col("detail")
-    parsed = lines.where(text.rlike(LINE_BATCH)).select(
+    # the plain search drops most lines of a log before any pattern is tried
+    progress = lines.where(text.contains("Batch ") & text.rlike(LINE_BATCH))
+    parsed = progress.select(
         F.to_timestamp(part(LINE_TIME), "yyyy-MM-dd HH:mm:ss,SSS").alias("logged_at"),
         part(LINE_LEVEL).alias("level"),
         part(LINE_STAGE).alias("stage"),
@@ -122,8 +126,10 @@ def lag_trend(
 
 def error_summary(lines: DataFrame) -> DataFrame:
     """Lines matching the error filter, counted by the class they name."""
+    text = F.col("text")
+    matching = reduce(lambda a, b: a | b, [text.contains(word) for word in ERROR_WORDS])
     return (
-        lines.where(F.col("text").rlike(ERROR_LINE))
+        lines.where(matching)
         .groupBy(F.regexp_extract("text", ERROR_CLASS, 1).alias("error_class"))
         .agg(F.count("*").alias("n_lines"))
     )
