@@ -212,6 +212,15 @@ def test_failed_silver_batch_comes_again(lake, landing, monkeypatch, source, met
     assert lake.latest_valid.read().count() == 1
 
 
+def test_rows_without_a_clock(lake, landing):
+    landing.add(payload(1, 1, ts=None), payload(2, 1, ts=None))
+    landing.add(payload(1, 2))
+    ingest(lake, landing, every=1)
+    assert rows(lake.read_bronze(), KEY, "year", "day") == [(1, None, None), (1, 2024, 1), (2, None, None)]
+    assert rows(lake.latest_valid.read()) == landing.expected()
+    assert [r.ts is None for r in lake.latest.read().orderBy(KEY).collect()] == [False, True]
+
+
 def test_batch_of_refused_payloads_only(spark, lake, landing):
     landing.add("broken {", "")
     landing.add(payload(1, 1))

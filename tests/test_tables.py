@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of, rows
 from tidemark.contracts import ColumnGroup
 from tidemark.operators.maintenance import expire_versions
-from tidemark.operators.merge import merge_latest, number_batch
+from tidemark.operators.merge import merge_by_join
 from tidemark.operators.sinks import (
     BRONZE_PROPERTIES,
     SILVER_PROPERTIES,
@@ -86,8 +86,7 @@ def test_replay_changes_nothing(spark, tmp_path):
 def test_stored_rows_are_not_shuffled(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=6)
     upsert_table(table, numbers(spark, 0, 10), GROUPS)
-    incoming = table.align(number_batch(numbers(spark, 5, 15, 1)))
-    plan = plan_of(merge_latest(table.read_stored(), incoming, "k", GROUPS))
+    plan = plan_of(merge_by_join(table.read(), table.align(numbers(spark, 5, 15, 1)), "k", GROUPS))
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
     # another bucket count still merges right, at the price of a shuffle
     wider = VersionedTable(spark, table.path, "k", buckets=3)

@@ -5,12 +5,10 @@ the incoming clock is strictly greater, else keep the stored ones; a key not
 stored yet is inserted. The newest-row-wins table is the same rule with a
 single group holding every column.
 
-The rule is an ordering of candidate rows, so a merge is one aggregate over the
-stored rows and any number of pending batches. A union of inputs that are hash
-partitioned on the key keeps that partitioning, hence a stored table bucketed
-on the key is merged without being shuffled. Spark recognises this only if no
-column is computed between the scan and the union, which is why a stored table
-carries its `_seq` mark in a column of its own (see mark_stored).
+It is written in two ways. As an ordering of candidate rows it folds stored rows
+and any number of pending batches in one aggregate. As a match of stored with
+incoming rows it merges one row per key without shuffling a stored table that is
+bucketed on the key, and without copying its columns into aggregation buffers.
 """
 
 from __future__ import annotations
@@ -28,16 +26,6 @@ SEQUENCE = "_seq"
 _STORED = -1
 
 
-def mark_stored(df: DataFrame) -> DataFrame:
-    """Rows as they are to be stored: marked as older than any batch still to come."""
-    return df.withColumn(SEQUENCE, F.lit(_STORED))
-
-
-def number_batch(df: DataFrame) -> DataFrame:
-    """Incoming rows with a batch number, 0 if they have none."""
-    return df if SEQUENCE in df.columns else df.withColumn(SEQUENCE, F.lit(0))
-
-
 def _precedence(clock: str) -> Column:
     """Greater clock first; on equal clocks the earlier batch, on NULL clocks the later."""
     seq = F.col(SEQUENCE)
@@ -54,10 +42,11 @@ def merge_latest(
     applied at once. Without a stored table the result is the first version of it.
     """
     outputs = [key, *[c for g in groups for c in g.outputs]]
-    rows = number_batch(incoming).where(F.col(key).isNotNull()).select(*outputs, SEQUENCE)
+    if SEQUENCE not in incoming.columns:
+        incoming = incoming.withColumn(SEQUENCE, F.lit(0))
+    rows = incoming.where(F.col(key).isNotNull()).select(*outputs, SEQUENCE)
     if stored is not None:
-        marked = stored if SEQUENCE in stored.columns else mark_stored(stored)
-        rows = marked.select(*outputs, SEQUENCE).unionByName(rows)
+        rows = stored.select(*outputs, F.lit(_STORED).alias(SEQUENCE)).unionByName(rows)
     merged = rows.groupBy(key).agg(
         *[
             F.max_by(F.struct(*g.outputs), _precedence(g.clock)).alias(f"_g{i}")
@@ -70,7 +59,7 @@ def merge_latest(
 def merge_by_join(
     stored: DataFrame, incoming: DataFrame, key: str, groups: Sequence[ColumnGroup]
 ) -> DataFrame:
-    """The same merge of one batch written as a match of stored and incoming rows."""
+    """The same merge of at most one incoming row per key, as a match with the stored rows."""
     s = incoming.where(F.col(key).isNotNull()).withColumn("_in_s", F.lit(True)).alias("s")
     t = stored.withColumn("_in_t", F.lit(True)).alias("t")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")

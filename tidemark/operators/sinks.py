@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import ColumnGroup
-from tidemark.operators.merge import mark_stored, merge_latest, merge_sql, number_batch
+from tidemark.operators.merge import SEQUENCE, merge_by_join, merge_latest, merge_sql
 from tidemark.sources import files
 
 BATCH_KEY = "batch_key"
@@ -98,8 +98,7 @@ class VersionedTable:
 
     Versions are bucketed on the key, so merging into the table does not shuffle
     it, and one writing task leaves one file per bucket. Readers take the highest
-    version whose write has finished. One writer at a time. Columns whose name
-    starts with an underscore are for the writer and are not shown by read().
+    version whose write has finished. One writer at a time.
     """
 
     _FOLDER = re.compile(r"v=(\d+)-buckets=(\d+)$")
@@ -133,11 +132,6 @@ class VersionedTable:
 
     def read(self) -> DataFrame | None:
         """The current version, or None before the first one."""
-        stored = self.read_stored()
-        return None if stored is None else stored.drop(*[c for c in stored.columns if c.startswith("_")])
-
-    def read_stored(self) -> DataFrame | None:
-        """The current version with all its columns."""
         versions = self.versions()
         return self.read_version(versions[-1]) if versions else None
 
@@ -192,10 +186,18 @@ class VersionedTable:
 
 
 def upsert_table(table: VersionedTable, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> Version:
-    """Merge incoming rows into a versioned table; only the incoming rows are shuffled."""
-    aligned = table.align(number_batch(incoming))
-    merged = merge_latest(table.read_stored(), aligned, table.key, groups)
-    return table.replace(mark_stored(merged))
+    """Merge incoming rows, of one batch or several, into a versioned table.
+
+    Only the incoming rows are shuffled. Both sides hold one row per key, so no
+    key can make a task larger than its bucket.
+    """
+    folded = merge_latest(None, incoming, table.key, groups) if SEQUENCE in incoming.columns else incoming
+    stored = table.read()
+    if stored is None:
+        rows = merge_latest(None, table.align(folded), table.key, groups)
+    else:
+        rows = merge_by_join(stored, table.align(folded), table.key, groups)
+    return table.replace(rows)
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
