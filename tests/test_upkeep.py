@@ -129,9 +129,11 @@ def test_gaps_across_empty_buckets_and_a_dominant_series(spark):
     data = spark.range(600).select(
         F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("job"),
         (F.col("id") * F.col("id") * 37 % 90_000).alias("ms"), "id")
-    out = batch_gaps(data, "job", "ms", "id", bucket_ms=1_000)
     window = Window.partitionBy("job").orderBy("ms", "id")
-    assert rows(out) == rows(data.withColumn("gap_ms", F.col("ms") - F.lag("ms").over(window)))
+    expected = rows(data.withColumn("gap_ms", F.col("ms") - F.lag("ms").over(window)))
+    for widths in ((1_000,), (500, 7_000), (100, 2_000, 30_000)):
+        out = batch_gaps(data, "job", "ms", "id", widths)
+        assert rows(out) == expected
     # the rows themselves are only ever grouped by series and bucket
     grouped = [line for line in plan_of(out).splitlines() if "Window [lag(ms" in line]
     assert grouped and all("_bucket" in line for line in grouped)

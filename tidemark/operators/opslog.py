@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Shapes of the progress lines, the error filter, and exit codes.
 TRIGGER_MS = 30_000
+BUCKET_WIDTHS = (3_600_000,)
 LINE_TIME = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})"
 LINE_LEVEL = r" - (DEBUG|INFO|WARNING|ERROR|CRITICAL) - "
 LINE_STAGE = r"\[(Bronze|Silver|Expire)\] Batch [0-9]+"
@@ -63,28 +65,47 @@ def parse_batches(lines: DataFrame) -> DataFrame:
     return parsed.select("logged_at", "level", "stage", "batch_id", outcome.alias("outcome"), "detail")
 
 
-def batch_gaps(
-    batches: DataFrame, series: str, clock_ms: str, batch: str, bucket_ms: int = 3_600_000
+def _with_previous(
+    rows: DataFrame, series: str, clock: str, ties: Sequence[str], widths: Sequence[int]
 ) -> DataFrame:
-    """Milliseconds since the previous batch of the same series.
+    """rows with `_previous`, the clock of the row before in the same series.
 
-    A window over a whole series would sort it in one task. Rows are compared
-    inside time buckets, and a bucket's first row takes the last clock of the
-    nearest earlier bucket from a table with one row per series and bucket.
+    Rows are compared inside time buckets of the first width. A bucket's first
+    row takes the last clock of the nearest earlier bucket, found the same way
+    among the last clocks of all buckets, with the next width.
     """
-    rows = batches.withColumn("_bucket", F.floor(F.col(clock_ms) / bucket_ms))
-    in_bucket = Window.partitionBy(series, "_bucket").orderBy(clock_ms, batch)
-    across = Window.partitionBy(series).orderBy("_bucket")
-    ends = rows.groupBy(series, "_bucket").agg(F.max(clock_ms).alias("_end"))
-    carried = ends.select(series, "_bucket", F.lag("_end").over(across).alias("_carried"))
+    width, *wider = widths
+    bucket = f"_bucket{len(wider)}"
+    placed = rows.withColumn(bucket, F.floor(F.col(clock) / width))
+    inside = Window.partitionBy(series, bucket).orderBy(clock, *ties)
+    ends = placed.groupBy(series, bucket).agg(F.max(clock).alias("_end"))
+    if wider:
+        before = _with_previous(ends, series, "_end", [], wider)
+    else:
+        across = Window.partitionBy(series).orderBy(bucket)
+        before = ends.withColumn("_previous", F.lag("_end").over(across))
+    carried = before.select(series, bucket, F.col("_previous").alias("_carried"))
     return (
-        rows.withColumn("_previous", F.lag(clock_ms).over(in_bucket))
-        .join(carried, [series, "_bucket"], "left")
-        .withColumn("gap_ms", F.col(clock_ms) - F.coalesce("_previous", "_carried"))
-        .select(*batches.columns, "gap_ms")
+        placed.withColumn("_inside", F.lag(clock).over(inside))
+        .join(carried, [series, bucket], "left")
+        .select(*rows.columns, F.coalesce("_inside", "_carried").alias("_previous"))
     )
 
 
+def batch_gaps(
+    batches: DataFrame, series: str, clock_ms: str, batch: str, widths: Sequence[int] = BUCKET_WIDTHS
+) -> DataFrame:
+    """Milliseconds since the previous batch of the same series.
+
+    A window over a series would sort all of it in one task. By default no task
+    gets more of a series than the rows of an hour, or its hours. Give a series of
+    many rows a second more levels, such as (1_000, 60_000, 86_400_000): then it is
+    the rows of a second, the seconds of a minute, the minutes of a day, the days.
+    """
+    previous = _with_previous(batches, series, clock_ms, [batch], widths)
+    return previous.select(*batches.columns, (F.col(clock_ms) - F.col("_previous")).alias("gap_ms"))
+
+
 def lag_trend(
     gaps: DataFrame,
     series: str,

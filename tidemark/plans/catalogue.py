@@ -387,7 +387,7 @@ def batch_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def device_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = device_rows(spark, sf_dir).select(KEY, "ts", "event_id")
-    return opslog.batch_gaps(rows, KEY, "ts", "event_id", bucket_ms=DAY_MS)
+    return opslog.batch_gaps(rows, KEY, "ts", "event_id")
 
 
 def batch_lag_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
