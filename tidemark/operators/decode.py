@@ -15,6 +15,7 @@ from tidemark.functions.clocks import in_calendar
 BAD_PAYLOAD = "_bad_payload"
 BAD_REASON = "_bad_reason"
 _CORRUPT = "_corrupt_text"
+_PAYLOAD = "_payload"
 
 
 def decode_json(
@@ -22,14 +23,22 @@ def decode_json(
 ) -> DataFrame:
     """Contract columns of a JSON payload; a payload that fails gives NULLs.
 
-    Columns of the input named in keep come first. The two trailing columns are NULL for good rows. For bad ones they hold the
-    payload text and why it was refused.
+    Columns of the input named in keep come first. The two trailing columns are
+    NULL for good rows; for bad ones they hold the payload text and why it was
+    refused.
     """
     schema = T.StructType([*contract.schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     payload = F.col(value).cast("string")
     data = F.from_json(payload, schema, options)
-    return _with_verdict(_unpacked(df, payload, data, keep), contract, keep, F.col(_CORRUPT).isNotNull())
+    return _with_verdict(
+        _unpacked(df, payload, data, keep),
+        contract,
+        keep,
+        empty=F.trim(_PAYLOAD) == "",
+        corrupt=F.col(_CORRUPT).isNotNull(),
+        text=F.col(_PAYLOAD),
+    )
 
 
 def decode_avro(
@@ -41,8 +50,14 @@ def decode_avro(
     from pyspark.sql.avro.functions import from_avro
 
     data = from_avro(F.col(value), contract.avro_text, {"mode": "PERMISSIVE"})
-    payload = F.base64(F.col(value))
-    return _with_verdict(_unpacked(df, payload, data, keep), contract, keep, F.lit(False))
+    return _with_verdict(
+        _unpacked(df, F.col(value), data, keep),
+        contract,
+        keep,
+        empty=F.length(_PAYLOAD) == 0,
+        corrupt=F.lit(False),
+        text=F.base64(_PAYLOAD),
+    )
 
 
 DECODERS = {"json": decode_json, "avro": decode_avro}
@@ -61,7 +76,7 @@ def decode(
 def _unpacked(df: DataFrame, payload: Column, data: Column, keep: Sequence[str]) -> DataFrame:
     """Payload and decoded columns. Decoding inside a generator happens once per row;
     as a plain projection it would be repeated in every filter pushed below it."""
-    return df.select(*keep, payload.alias("_payload"), F.inline(F.array(data)))
+    return df.select(*keep, payload.alias(_PAYLOAD), F.inline(F.array(data)))
 
 
 def _all(conditions: Sequence[Column]) -> Column:
@@ -69,12 +84,17 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def _with_verdict(
-    df: DataFrame, contract: Contract, keep: Sequence[str], corrupt: Column
+    df: DataFrame,
+    contract: Contract,
+    keep: Sequence[str],
+    empty: Column,
+    corrupt: Column,
+    text: Column,
 ) -> DataFrame:
     blank = _all([F.col(c).isNull() for c in contract.columns])
     clocks_ok = _all([in_calendar(F.col(c)) for c in contract.epoch_columns])
     reason = (
-        F.when(F.col("_payload").isNull() | (F.trim("_payload") == ""), "empty")
+        F.when(F.col(_PAYLOAD).isNull() | empty, "empty")
         .when(corrupt | blank, "corrupt")
         .when(~clocks_ok, "clock out of range")
     )
@@ -83,7 +103,7 @@ def _with_verdict(
     return judged.select(
         *keep,
         *[F.when(~refused, F.col(c)).alias(c) for c in contract.columns],
-        F.when(refused, F.col("_payload")).alias(BAD_PAYLOAD),
+        F.when(refused, text).alias(BAD_PAYLOAD),
         BAD_REASON,
     )
 

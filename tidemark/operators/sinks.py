@@ -128,7 +128,8 @@ class VersionedTable:
 
     def _table_name(self, version: Version) -> str:
         # named in full, since the session's default catalog may be another one
-        return f"spark_catalog.default.tidemark_{hashlib.sha1(version.path.encode()).hexdigest()[:16]}_v{version.number}"
+        folder = hashlib.sha1(version.path.encode()).hexdigest()[:16]
+        return f"spark_catalog.default.tidemark_{folder}_v{version.number}"
 
     def read(self) -> DataFrame | None:
         """The current version, or None before the first one."""
