@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import plan_of, rows
-from tidemark.contracts import Contract, ContractDrift
+from tidemark.contracts import Contract, ContractDrift, contract_from_texts
 from tidemark.functions.alarms import alarms_paths, alarms_struct
 from tidemark.functions.validity import bms_flag, iot_flag
 from tidemark.operators.bronze import DERIVED, to_bronze, with_local_clocks
@@ -55,6 +55,27 @@ def test_avro_needs_contract_text(spark):
         decode(payloads(spark, "x"), CONTRACT, "avro")
 
 
+def test_avro_plumbing(spark, monkeypatch):
+    """The Avro module is absent here, so its decoder is replaced by a stand-in on JSON bytes."""
+    import pyspark.sql.avro.functions as avro
+
+    text = json.dumps({"type": "record", "name": "E", "fields": [
+        {"name": "deviceID", "type": "long"}, {"name": "ts", "type": "long"}, {"name": "alarms", "type": "string"}]})
+    contract = contract_from_texts(text, "{}", epoch_columns=("ts",))
+    asked = []
+
+    def stand_in(column, schema, options):
+        asked.append((schema, options))
+        return F.from_json(column.cast("string"), contract.schema)
+
+    monkeypatch.setattr(avro, "from_avro", stand_in)
+    raw = spark.createDataFrame([(b'{"deviceID": 1, "ts": 2}',), (b"\xff\x00",), (b"",), (None,)], "value binary")
+    decoded = decode(raw, contract, "avro")
+    assert asked == [(text, {"mode": "PERMISSIVE"})]
+    assert rows(good_rows(decoded), "deviceID", "ts") == [(1, 2)]
+    assert rows(refused_rows(decoded)) == [(None, "empty"), ("", "empty"), ("/wA=", "corrupt")]
+
+
 def device(spark, *changes):
     data = [tuple({**{c: None for c in CONTRACT.columns}, **GOOD, **c}[n] for n in CONTRACT.columns)
             for c in changes]
