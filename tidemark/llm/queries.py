@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import licenses, quality, tokens
 from tidemark.llm.common import stored, table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file, which every executor has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score", "tags")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = stored(docs.select("doc_id", quality.measures(F.col("text")).alias("m")), "measures")
@@ -23,4 +41,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_quality_rules,)}
+    return {f.__name__: f for f in (op3_token_counts, op4_license_scans, op8_quality_rules)}
