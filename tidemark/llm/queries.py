@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, quality, tokens
+from tidemark.llm import decontaminate, licenses, quality, tokens
 from tidemark.llm.common import stored, table
 
 
@@ -18,6 +18,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = decontaminate.hit_words(F.col("spans"))
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (hit > 0).alias("contaminated"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -41,4 +49,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_counts, op4_license_scans, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op8_quality_rules)}
