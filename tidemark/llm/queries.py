@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, quality, tokens
+from tidemark.llm import decontaminate, licenses, packing, quality, tokens
 from tidemark.llm.common import stored, table
 
 
@@ -37,6 +37,10 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score", "tags")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = stored(docs.select("doc_id", quality.measures(F.col("text")).alias("m")), "measures")
@@ -49,4 +53,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op6_packing, op8_quality_rules)}
