@@ -2,6 +2,18 @@
 
 from __future__ import annotations
 
+WARC = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+    SELECT payload_digest, min(page_id) AS first FROM p WHERE octet_length(payload) >= 100 GROUP BY payload_digest
+)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_warc": WARC}

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, packing, quality, tokens
+from tidemark.llm import decontaminate, licenses, packing, quality, tokens, warc
 from tidemark.llm.common import stored, table
+from tidemark.session import shared_dir
 
 
 def vocabulary(name: str) -> str:
@@ -41,6 +42,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = stored(docs.select("doc_id", quality.measures(F.col("text")).alias("m")), "measures")
@@ -53,4 +58,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op6_packing, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op6_packing, op7_warc, op8_quality_rules)}
