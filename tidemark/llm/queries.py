@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, packing, quality, tokens, warc
+from tidemark.llm import decontaminate, jaccard, licenses, packing, quality, tokens, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import shared_dir
 
@@ -57,5 +57,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & rules.keeps(m)).alias("kept"), rules.rejected_by(m).alias("rule"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op6_packing, op7_warc, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op6_packing, op7_warc, op8_quality_rules, op9_ngram_jaccard_join)}
