@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, licenses, packing, quality, tokens, warc
+from tidemark.llm import decontaminate, jaccard, licenses, packing, quality, substrings, tokens, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import shared_dir
 
@@ -38,6 +38,10 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score", "tags")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removals(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -62,4 +66,6 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op6_packing, op7_warc, op8_quality_rules, op9_ngram_jaccard_join)}
+    return {f.__name__: f for f in (
+        op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op5_suffix_array_dedup, op6_packing,
+        op7_warc, op8_quality_rules, op9_ngram_jaccard_join)}
