@@ -4,9 +4,11 @@
    common order of shingles. The list is bounded and only steers cost: any order gives all links.
 2. Two sets that link share a shingle among the first fifth (plus one) of each in that order. Documents
    form groups by their very first shingle; the matrix holds, for each of those leading shingles, the
-   groups it occurs in. A row of the matrix gives the candidates: a document as query, and a group.
-3. Each group is brought together with its queries. Its token union bounds the overlap of a query with
-   any member; only groups that reach the bound are opened and compared set by set. Inside a group
+   groups it occurs in. How many leading shingles of a query a group's union holds bounds what the query
+   can share with any member; the group is a candidate if that reaches what a link needs. Of two groups
+   the one that comes first, by size where that is large, asks the other.
+3. Each group is brought together with its queries. Its whole token union bounds the overlap again;
+   only groups that reach it are opened and compared set by set. Inside a group
    links are searched from document to document until no set is left, so a cluster costs one pass.
    Groups above `group_size` are dealt into parts that share one pivot document; what the pivot does not
    connect becomes a query against all other parts in a second round.
@@ -37,6 +39,7 @@ from tidemark.llm.components import components
 WIDTH = 5
 FREQUENT = 200_000
 GROUP_SIZE = 1000
+LARGE_GROUP, LARGE_GROUPS = 100, 100_000
 QUERY_BLOCK = 4000
 BUCKET_ROWS = 2_500_000
 SEGMENT_WORDS = 200_000
@@ -145,28 +148,44 @@ def first_pass(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return _texts(docs).mapInArrow(run, f"doc_id {id_type}, h long, n long, key binary, token long, count long")
 
 
-def _buckets(docs: DataFrame, frequent, n_buckets: int, width: int) -> DataFrame:
+def _groups(docs: DataFrame, frequent, width: int) -> DataFrame:
+    """(key, grp, n): the group of every set, by its first leading shingle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, often = Shingler(width), np.asarray(frequent.value, dtype=np.uint64)
+        for batch in batches:
+            sets = [s for t in batch.column(0).to_pylist() if len(s := shingler.shingles(t))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_key(s) for s in sets], pa.binary()),
+                 pa.array(np.array([leading(s, often)[0] for s in sets], np.uint64).view(np.int64), pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64())], names=["key", "grp", "n"])
+
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "key binary, grp long, n long").distinct()
+
+
+def _buckets(docs: DataFrame, frequent, large, n_buckets: int, width: int) -> DataFrame:
     """Leading shingles of all documents as packed arrays, by bucket of the shingle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, often = Shingler(width), np.asarray(frequent.value, dtype=np.uint64)
+        weight_of = dict(large.value)
         for batch in batches:
-            tokens, owner, keys, sizes, firsts = [], [], [], [], []
+            tokens, owner, keys, facts, seen = [], [], [], [], set()
             for text in batch.column(0).to_pylist():
                 s = shingler.shingles(text)
-                if len(s):
+                key = set_key(s)
+                if key is not None and key not in seen:
+                    seen.add(key)
                     lead = leading(s, often)
                     tokens.append(lead)
                     owner.append(np.full(len(lead), len(keys), dtype=np.int32))
-                    keys.append(set_key(s))
-                    sizes.append(len(s))
-                    firsts.append(lead[0])
+                    keys.append(key)
+                    facts.append((int(lead[0].view(np.int64)), len(s), weight_of.get(int(lead[0].view(np.int64)), 0)))
             if not keys:
                 continue
             token, who = np.concatenate(tokens), np.concatenate(owner)
             bucket = (token >> np.uint64(17)) % np.uint64(n_buckets)
             order = np.argsort(bucket, kind="stable")
             token, who, bucket = token[order], who[order], bucket[order]
-            key, size, first = np.frombuffer(b"".join(keys), "V16"), np.array(sizes, np.int32), np.array(firsts, np.uint64)
+            key, fact = np.frombuffer(b"".join(keys), np.uint64).reshape(-1, 2), np.array(facts, np.int64)
             cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
             for b in range(n_buckets):
                 t, w = token[cuts[b]:cuts[b + 1]], who[cuts[b]:cuts[b + 1]]
@@ -174,77 +193,77 @@ def _buckets(docs: DataFrame, frequent, n_buckets: int, width: int) -> DataFrame
                     here, local = np.unique(w, return_inverse=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([b], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
-                            t, local.astype(np.int32), key[here], size[here], first[here]))],
-                        names=["bucket", "token", "owner", "key", "size", "first"])
+                            t, local.astype(np.int32), key[here], fact[here]))],
+                        names=["bucket", "token", "owner", "key", "fact"])
 
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, "bucket int, token binary, owner binary, key binary, size binary, first binary")
+        run, "bucket int, token binary, owner binary, key binary, fact binary")
 
 
 def _matrix_rows(table: pa.Table) -> pa.Table:
-    """One bucket: members (key, group, n) whose first shingle lies here, and candidates (key, group)."""
-    blobs = {c: table.column(c).to_pylist() for c in ("token", "owner", "key", "size", "first")}
+    """One bucket of the matrix: for each query and group, how many of the query's leading shingles here
+    the group holds, and the least number over all buckets with which a link is possible."""
+    blobs = {c: table.column(c).to_pylist() for c in ("token", "owner", "key", "fact")}
     shift = np.cumsum([0] + [len(b) // 16 for b in blobs["key"]])
     token = np.concatenate([np.frombuffer(b, np.uint64) for b in blobs["token"]])
     owner = np.concatenate([np.frombuffer(b, np.int32) + s for b, s in zip(blobs["owner"], shift[:-1], strict=True)])
-    size = np.frombuffer(b"".join(blobs["size"]), np.int32).astype(np.int64)
-    first = np.frombuffer(b"".join(blobs["first"]), np.uint64)
     halves = np.frombuffer(b"".join(blobs["key"]), np.uint64).reshape(-1, 2)
     order = np.lexsort((halves[:, 1], halves[:, 0]))
     new = np.concatenate(([True], (np.diff(halves[order], axis=0) != 0).any(axis=1)))
     code = np.empty(len(halves), np.int64)
     code[order] = np.cumsum(new) - 1
     keys = halves[order[new]]
-    n_of, group_of = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.uint64)
-    n_of[code], group_of[code] = size, first
-    order = np.lexsort((code[owner], token))
-    token, who = token[order], code[owner][order]
+    fact = np.frombuffer(b"".join(blobs["fact"]), np.int64).reshape(-1, 3)[order[new]]
+    names, group = np.unique(fact[:, 0], return_inverse=True)
+    weight = np.zeros(len(names), np.int64)
+    weight[group] = fact[:, 2]
+    by_rank = np.lexsort((names, weight))
+    rank_of = np.empty(len(names), np.int64)
+    rank_of[by_rank] = np.arange(len(names))
+    size, rank = fact[:, 1], rank_of[group]
+    who = code[owner]
+    order = np.lexsort((size[who], rank[who], token))
+    token, who = token[order], who[order]
+    order = np.lexsort((who, token))
     fresh = np.ones(len(token), bool)
-    fresh[1:] = (token[1:] != token[:-1]) | (who[1:] != who[:-1])  # copies of one set count once
-    token, who = token[fresh], who[fresh]
-    mine = np.unique(who[group_of[who] == token])
+    fresh[order[1:]] = (token[order][1:] != token[order][:-1]) | (who[order][1:] != who[order][:-1])
+    token, who = token[fresh], who[fresh]  # copies of one set, seen by several tasks, count once
     starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     lengths = np.diff(np.concatenate((starts, [len(token)])))
-    found = []
-    for s, m in zip(starts[lengths > 1].tolist(), lengths[lengths > 1].tolist(), strict=True):
+    two = starts[lengths == 2]
+    q, y = who[two], who[two + 1]
+    pick = (rank[q] != rank[y]) & (5 * np.minimum(size[q], size[y]) >= 4 * np.maximum(size[q], size[y]))
+    found = [(q[pick], rank[y[pick]], needed(size[q[pick]], size[y[pick]]))]
+    for s, m in zip(starts[lengths > 2].tolist(), lengths[lengths > 2].tolist(), strict=True):
         docs = who[s:s + m]
-        groups = group_of[docs]
-        if m == 2:
-            if groups[0] != groups[1] and 5 * min(n_of[docs]) >= 4 * max(n_of[docs]):
-                found.append((docs[:1], groups[1:]))
-            continue
-        found += _candidates(docs, groups, n_of[docs])
-    q = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-    g = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.uint64)
-    both = np.unique(np.rec.fromarrays((q, g), names="q,g"))
-    q, g = both["q"], both["g"]
-    as_keys = lambda at: pa.array([keys[i].tobytes() for i in at.tolist()], pa.binary())
+        sizes, ranks = size[docs], rank[docs]
+        cuts = np.flatnonzero(np.concatenate((np.diff(ranks, prepend=-1) != 0, [True])))
+        for a, b in zip(cuts[1:-1].tolist(), cuts[2:].tolist(), strict=True):
+            lo = np.searchsorted(sizes[a:b], -(-4 * sizes[:a] // 5))
+            hi = np.searchsorted(sizes[a:b], 5 * sizes[:a] // 4, side="right") - 1
+            near = np.flatnonzero(lo <= hi)
+            if len(near):  # what a link needs is least at the smallest or the largest size in question
+                x = sizes[:a][near]
+                need = np.minimum(needed(x, sizes[a:b][lo[near]]), needed(x, sizes[a:b][hi[near]]))
+                found.append((docs[:a][near], np.full(len(near), ranks[a]), need))
+    q, g, need = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((g, q))
+    q, g, need = q[order], g[order], need[order]
+    at = np.flatnonzero(np.concatenate(([True], (q[1:] != q[:-1]) | (g[1:] != g[:-1])))) if len(q) else np.zeros(0, np.int64)
     return pa.table({
-        "key": pa.concat_arrays([as_keys(mine), as_keys(q)]),
-        "grp": pa.array(np.concatenate((group_of[mine], g)).view(np.int64)),
-        "n": pa.array(np.concatenate((n_of[mine], np.zeros(len(q), np.int64))))})
-
-
-def _candidates(docs, groups, sizes) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Queries of each matrix row: of two groups the one with fewer documents here asks the other,
-    if some member here is close enough in size."""
-    order = np.lexsort((sizes, groups))
-    docs, groups, sizes = docs[order], groups[order], sizes[order]
-    names, at, count = np.unique(groups, return_index=True, return_counts=True)
-    rank = np.lexsort((names, count))
-    out = []
-    for i, a in enumerate(rank[:-1].tolist()):
-        for x in range(at[a], at[a] + count[a]):
-            others = rank[i + 1:]
-            single = others[count[others] == 1]
-            near = single[(5 * np.minimum(sizes[at[single]], sizes[x]) >= 4 * np.maximum(sizes[at[single]], sizes[x]))]
-            many = [b for b in others[count[others] > 1].tolist() if (
-                k := np.searchsorted(sizes[at[b]:at[b] + count[b]], -(-4 * sizes[x] // 5))) < count[b]
-                and 4 * sizes[at[b] + k] <= 5 * sizes[x]]
-            to = np.concatenate((near, np.array(many, np.int64)))
-            if len(to):
-                out.append((np.full(len(to), docs[x]), names[to]))
-    return out
+        "key": pa.array([keys[i].tobytes() for i in q[at].tolist()], pa.binary()),
+        "grp": pa.array(names[by_rank[g[at]]], pa.int64()),
+        "shared": pa.array(np.diff(np.concatenate((at, [len(q)]))), pa.int64()),
+        "need": pa.array(np.minimum.reduceat(need, at) if len(at) else need, pa.int64())})
+
+
+def needed(x, y):
+    """Leading shingles that two linked sets of these sizes have in common at least.
+
+    Beyond the leading ones of the set whose last leading shingle comes first, no more than the rest of
+    that set can be shared; leading() takes n // 5 + 1 of n.
+    """
+    return -(-4 * (x + y) // 9) - np.maximum(x - x // 5 - 1, y - y // 5 - 1)
 
 
 def linked(inter, a, b):
@@ -351,10 +370,14 @@ def similarity_links(docs: DataFrame, first: DataFrame, width: int = WIDTH, freq
         F.desc("c"), "token").limit(frequent).select("token").toArrow().column("token").to_numpy()
     shared = spark.sparkContext.broadcast(np.sort(often.astype(np.int64).view(np.uint64)))
     total = first.agg(F.sum("n")).first()[0] or 0
-    matrix = stored(_buckets(docs, shared, max(8, -(-total // 5 // BUCKET_ROWS)), width).groupBy("bucket").applyInArrow(
-        _matrix_rows, "key binary, grp long, n long"), "matrix")
-    members = matrix.where("n > 0").select("key", "grp")
-    asks = matrix.where("n = 0").select("key", "grp").distinct()
+    members = stored(_groups(docs, shared, width), "members").select("key", "grp")
+    large_groups = members.groupBy("grp").count().where(F.col("count") >= LARGE_GROUP).orderBy(
+        F.desc("count"), "grp").limit(LARGE_GROUPS).collect()
+    weights = spark.sparkContext.broadcast([(r["grp"], r["count"]) for r in large_groups])
+    matrix = _buckets(docs, shared, weights, max(12, -(-total // 5 // BUCKET_ROWS)), width).groupBy("bucket").applyInArrow(
+        _matrix_rows, "key binary, grp long, shared long, need long")
+    asks = stored(matrix.groupBy("key", "grp").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where(
+        "shared >= need").select("key", "grp"), "asks")
     active = stored(members.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.min("key").alias("pivot")).join(
         asks.groupBy("grp").agg(F.count(F.lit(1)).alias("q")), "grp", "left").where("m > 1 or q > 0").select(
             "grp", "pivot", F.ceil(F.col("m") / group_size).cast("int").alias("parts"),
