@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, licenses, packing, quality, substrings, tokens, warc
+from tidemark.llm import decontaminate, jaccard, langid, licenses, packing, quality, substrings, tokens, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import shared_dir
 
@@ -27,6 +27,13 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (hit > 0).alias("contaminated"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(4)) == 2
+    model = langid.fit(docs.where(F.coalesce(~held_out, F.lit(False))).select("text", "lang"))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -67,5 +74,5 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_benchmark_decontamination, op3_token_counts, op4_license_scans, op5_suffix_array_dedup, op6_packing,
+        op1_benchmark_decontamination, op2_language_id, op3_token_counts, op4_license_scans, op5_suffix_array_dedup, op6_packing,
         op7_warc, op8_quality_rules, op9_ngram_jaccard_join)}

@@ -36,6 +36,7 @@ LENGTH = 200
 ANCHOR = 64
 HOT = 5000
 BUCKET_ROWS = 2_500_000
+BUCKET_BYTES = 6_000_000
 SEGMENT = 1 << 21
 
 
@@ -360,7 +361,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = 2, anch
         by_key, "key").select(F.col("key").alias("k"), "token", "hot", "copies", F.col("x.doc_id").alias("id"))
     texts = stored(rows.join(wanted, (rows["key"] == wanted["k"]) & rows["doc_id"].eqNullSafe(wanted["id"])).select(
         "key", "text", "token", "hot", "copies"), "texts")
-    spans = _windows(texts, n_buckets, length, anchor).withColumn("length", F.lit(length)).groupBy("bucket").applyInArrow(
+    flagged = texts.agg(F.sum(F.aggregate("token", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t)))).first()[0] or 0
+    around = flagged // 8 * 2 * length  # bytes that will be brought together, roughly
+    spans = _windows(texts, max(12, -(-around // BUCKET_BYTES)), length, anchor).withColumn("length", F.lit(length)).groupBy("bucket").applyInArrow(
         _settled, "key binary, spans binary")
     spans = stored(spans.groupBy("key").agg(F.collect_list("spans").alias("spans")), "spans")
     return facts.join(by_key.select("key", "copies"), "key"), texts, spans
