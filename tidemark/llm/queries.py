@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard, langid, licenses, packing, quality, substrings, tokens, warc
+from tidemark.llm import decontaminate, html_text, jaccard, langid, licenses, packing, quality, substrings, tokens, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import shared_dir
 
@@ -72,7 +72,11 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_benchmark_decontamination, op2_language_id, op3_token_counts, op4_license_scans, op5_suffix_array_dedup, op6_packing,
-        op7_warc, op8_quality_rules, op9_ngram_jaccard_join)}
+        op7_warc, op8_quality_rules, op9_ngram_jaccard_join, op10_html_extraction)}
