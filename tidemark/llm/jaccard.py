@@ -424,3 +424,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUEN
     return rows.join(named, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(
             F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """docs with the document of the smallest id of every component, and all that link with nothing.
+
+    Of rows that repeat both id and text one stays; rows without an id always stay.
+    """
+    found = stored(near_duplicates(docs, width), "components")
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null")
+        docs = named.dropDuplicates(["doc_id", "text"]).union(unnamed)
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
