@@ -3,7 +3,8 @@
 1. A first pass counts which shingles are frequent; the `frequent` most frequent ones go last in the
    common order of shingles. The list is bounded and only steers cost: any order gives all links.
 2. Two sets that link share a shingle among the first fifth (plus one) of each in that order. Documents
-   form groups by their very first shingle; the matrix holds, for each of those leading shingles, the
+   form groups: each joins the most popular of its very first shingles, so that a cluster of similar
+   documents meets in a few groups. The matrix holds, for each of those leading shingles, the
    groups it occurs in. How many leading shingles of a query a group's union holds bounds what the query
    can share with any member; the group is a candidate if that reaches what a link needs. Of two groups
    the one that comes first, by size where that is large, asks the other.
@@ -39,7 +40,7 @@ from tidemark.llm.components import components
 WIDTH = 5
 FREQUENT = 200_000
 GROUP_SIZE = 1000
-LARGE_GROUP, LARGE_GROUPS = 100, 100_000
+CHOICES, POPULAR, POPULAR_KEYS = 6, 3, 100_000
 QUERY_BLOCK = 4000
 BUCKET_ROWS = 2_500_000
 SEGMENT_WORDS = 200_000
@@ -118,7 +119,7 @@ def first_pass(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         def repeated() -> tuple[np.ndarray, np.ndarray]:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return values[counts > 2], counts[counts > 2]
+            return values[counts > 1], counts[counts > 1]
 
         def rows(ids, h, n, key, token, count) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -148,25 +149,40 @@ def first_pass(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return _texts(docs).mapInArrow(run, f"doc_id {id_type}, h long, n long, key binary, token long, count long")
 
 
-def _groups(docs: DataFrame, frequent, width: int) -> DataFrame:
-    """(key, grp, n): the group of every set, by its first leading shingle."""
+def _leads(docs: DataFrame, frequent, width: int) -> DataFrame:
+    """(key, n, lead): the very first shingles of every set, of which one will name its group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, often = Shingler(width), np.asarray(frequent.value, dtype=np.uint64)
         for batch in batches:
             sets = [s for t in batch.column(0).to_pylist() if len(s := shingler.shingles(t))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_key(s) for s in sets], pa.binary()),
-                 pa.array(np.array([leading(s, often)[0] for s in sets], np.uint64).view(np.int64), pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64())], names=["key", "grp", "n"])
+                [pa.array([set_key(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([leading(s, often)[:CHOICES].view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["key", "n", "lead"])
 
-    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "key binary, grp long, n long").distinct()
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        run, "key binary, n long, lead array<long>").dropDuplicates(["key"])
+
+
+def group_of(lead: list[int], popular: dict[int, int]) -> int:
+    """The shingle with most documents; the list of popular ones is bounded, the rest count as none."""
+    return max(lead, key=lambda t: (popular.get(t, 0), -lead.index(t)))
+
+
+def _members(leads: DataFrame, popular) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = dict(popular.value)
+        for batch in batches:
+            groups = [group_of(lead, known) for lead in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(groups, pa.int64())], names=["key", "grp"])
+
+    return leads.select("key", "lead").mapInArrow(run, "key binary, grp long")
 
 
-def _buckets(docs: DataFrame, frequent, large, n_buckets: int, width: int) -> DataFrame:
+def _buckets(docs: DataFrame, frequent, popular, n_buckets: int, width: int) -> DataFrame:
     """Leading shingles of all documents as packed arrays, by bucket of the shingle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, often = Shingler(width), np.asarray(frequent.value, dtype=np.uint64)
-        weight_of = dict(large.value)
+        known = dict(popular.value)
         for batch in batches:
             tokens, owner, keys, facts, seen = [], [], [], [], set()
             for text in batch.column(0).to_pylist():
@@ -178,7 +194,8 @@ def _buckets(docs: DataFrame, frequent, large, n_buckets: int, width: int) -> Da
                     tokens.append(lead)
                     owner.append(np.full(len(lead), len(keys), dtype=np.int32))
                     keys.append(key)
-                    facts.append((int(lead[0].view(np.int64)), len(s), weight_of.get(int(lead[0].view(np.int64)), 0)))
+                    grp = group_of(lead[:CHOICES].view(np.int64).tolist(), known)
+                    facts.append((grp, len(s), known.get(grp, 0)))
             if not keys:
                 continue
             token, who = np.concatenate(tokens), np.concatenate(owner)
@@ -309,6 +326,8 @@ def _compare(table: pa.Table) -> pa.Table:
                 root[new] = p
                 todo += new.tolist()
                 links += [(keys[f], keys[i]) for i in new.tolist()]
+        # members known to be connected are one; a query needs one link to each of what it connects
+        part = np.where(root >= 0, root, np.arange(len(sets)))
         for key, (role, s) in rows.items():
             if role < 2:
                 continue
@@ -317,7 +336,11 @@ def _compare(table: pa.Table) -> pa.Table:
             if 5 * int((union[at] == s).sum()) < 4 * len(s):
                 continue  # no member can share four fifths of the query
             inter = overlaps(s, token, whose)
-            links += [(key, keys[i]) for i in np.flatnonzero((inter > 0) & linked(inter, size, len(s))).tolist()]
+            near = np.flatnonzero((inter > 0) & linked(inter, size, len(s)))
+            parts, at = np.unique(part[near], return_index=True)
+            links += [(key, keys[near[i]]) for i in at.tolist()]
+            if len(parts) > 1:
+                part[np.isin(part, parts)] = parts[0]
     return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
 
 
@@ -370,11 +393,12 @@ def similarity_links(docs: DataFrame, first: DataFrame, width: int = WIDTH, freq
         F.desc("c"), "token").limit(frequent).select("token").toArrow().column("token").to_numpy()
     shared = spark.sparkContext.broadcast(np.sort(often.astype(np.int64).view(np.uint64)))
     total = first.agg(F.sum("n")).first()[0] or 0
-    members = stored(_groups(docs, shared, width), "members").select("key", "grp")
-    large_groups = members.groupBy("grp").count().where(F.col("count") >= LARGE_GROUP).orderBy(
-        F.desc("count"), "grp").limit(LARGE_GROUPS).collect()
-    weights = spark.sparkContext.broadcast([(r["grp"], r["count"]) for r in large_groups])
-    matrix = _buckets(docs, shared, weights, max(12, -(-total // 5 // BUCKET_ROWS)), width).groupBy("bucket").applyInArrow(
+    leads = stored(_leads(docs, shared, width), "leads")
+    counts = leads.select(F.explode("lead").alias("t")).groupBy("t").count().where(F.col("count") >= POPULAR).orderBy(
+        F.desc("count"), "t").limit(POPULAR_KEYS).toArrow()
+    popular = spark.sparkContext.broadcast(list(zip(counts.column("t").to_pylist(), counts.column("count").to_pylist(), strict=True)))
+    members = stored(_members(leads, popular), "members")
+    matrix = _buckets(docs, shared, popular, max(12, -(-total // 5 // BUCKET_ROWS)), width).groupBy("bucket").applyInArrow(
         _matrix_rows, "key binary, grp long, shared long, need long")
     asks = stored(matrix.groupBy("key", "grp").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where(
         "shared >= need").select("key", "grp"), "asks")
