@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-DIMENSIONS = 1 << 14
-PER_LANGUAGE = 1500
+BITS = 12
+DIMENSIONS = 1 << BITS
+PER_LANGUAGE = 1000
 # Families of common languages by ISO 639-1 code.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
@@ -75,7 +76,7 @@ class Features:
             for n in range(1, 5):
                 code = (code[:len(part) - n + 1] * np.uint32(0x01000193)) ^ part[n - 1:]
                 own = code[:max(0, min(len(code), 1 << 20))]
-                slot = ((own + np.uint32(n)) * np.uint32(2654435761)) >> np.uint32(32 - 14)
+                slot = ((own + np.uint32(n)) * np.uint32(2654435761)) >> np.uint32(32 - BITS)
                 total += np.bincount(slot, minlength=DIMENSIONS)
         total = np.sqrt(total)
         return (total / np.linalg.norm(total)).astype(np.float32)
@@ -87,10 +88,10 @@ def train_pair(x: np.ndarray, y: np.ndarray, rounds: int = 12, cost: float = 4.0
     Samples of the rarer side weigh more, so that both sides count alike.
     """
     n = len(y)
-    data = np.hstack((x, np.ones((n, 1), x.dtype))).astype(np.float64)
+    data = np.hstack((x, np.ones((n, 1), x.dtype)))  # stays in single precision: the largest array of the task
     c = cost * n / 2 / np.where(y > 0, max(1, (y > 0).sum()), max(1, (y < 0).sum()))
     diagonal = 1 / (2 * c)
-    norm = (data * data).sum(axis=1) + diagonal
+    norm = np.einsum("ij,ij->i", data, data, dtype=np.float64) + diagonal
     w, alpha = np.zeros(data.shape[1]), np.zeros(n)
     order = np.random.default_rng(7)
     for _ in range(rounds):
@@ -138,9 +139,8 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str
                 (pa.int32(), pa.int32(), pa.binary()))], names=["pair", "side", "v"])
 
     def train(table: pa.Table) -> pa.Table:
-        order = np.lexsort((np.array(table.column("v").to_pylist(), object), table.column("side").to_numpy()))
-        table = table.take(pa.array(order))  # the result does not depend on how rows arrived
-        x = np.frombuffer(b"".join(table.column("v").to_pylist()), np.float32).reshape(-1, DIMENSIONS)
+        table = table.sort_by([("side", "ascending"), ("v", "ascending")])  # whatever way rows arrived
+        x = np.concatenate([np.frombuffer(v.as_buffer(), np.float32) for v in table.column("v")]).reshape(-1, DIMENSIONS)
         w, bias = train_pair(x, table.column("side").to_numpy().astype(np.float64))
         return pa.table({"pair": table.column("pair").slice(0, 1), "w": pa.array([w.astype(np.float32).tobytes()], pa.binary()),
                          "bias": pa.array([bias])})

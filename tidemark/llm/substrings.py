@@ -33,6 +33,7 @@ from pyspark.sql.types import StructType
 from tidemark.llm.common import free_name, stored
 
 LENGTH = 200
+BATCHES = 4
 ANCHOR = 64
 HOT = 5000
 BUCKET_ROWS = 2_500_000
@@ -340,7 +341,7 @@ def _union(who: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return who[first], start[first], (reach[np.concatenate((first[1:], [len(who)])) - 1] - owner_of[first] * far)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = 2, anchor: int = ANCHOR,
+def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, anchor: int = ANCHOR,
                    hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(facts, texts, spans): facts (doc_id, key, n_bytes, sha, copies) of every document, texts (key, text)
     that may hold repeats, and their packed ranges (key, list of spans). A text with copies, if it is long
@@ -383,7 +384,7 @@ def without(raw: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, raw[at:]])
 
 
-def removals(docs: DataFrame, length: int = LENGTH, batches: int = 2) -> DataFrame:
+def removals(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
     facts, texts, spans = repeated_spans(docs, length, batches)
 
@@ -408,7 +409,7 @@ def removals(docs: DataFrame, length: int = LENGTH, batches: int = 2) -> DataFra
         F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"))
 
 
-def strip(docs: DataFrame, length: int = LENGTH, batches: int = 2) -> DataFrame:
+def strip(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
     """docs without the repeated bytes of their texts; n_chars, where present, follows the text."""
     facts, _, spans = repeated_spans(docs, length, batches)
     copied = facts.where((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select("key").distinct().select(
