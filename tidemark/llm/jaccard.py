@@ -3,7 +3,7 @@
 1. A first pass counts which shingles are frequent; the `frequent` most frequent ones go last in the
    common order of shingles. The list is bounded and only steers cost: any order gives all links.
 2. Two sets that link share a shingle among the first fifth (plus one) of each in that order. Documents
-   form groups: each joins the most popular of its very first shingles, so that a cluster of similar
+   form groups: each joins the most popular of a few of its leading shingles, so that a cluster of similar
    documents meets in a few groups. The matrix holds, for each of those leading shingles, the
    groups it occurs in. How many leading shingles of a query a group's union holds bounds what the query
    can share with any member; the group is a candidate if that reaches what a link needs. Of two groups
@@ -103,6 +103,21 @@ def leading(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return shingles[:n]
 
 
+def group_choices(lead: np.ndarray, frequent: np.ndarray) -> list[int]:
+    """The leading shingles that may name a set's group: the first ones, and the first frequent ones.
+
+    Frequent shingles lead only in sets that consist of them for more than four fifths, such as the
+    copies of one popular text, whose rare shingles are their own edits. Where a frequent passage is a
+    smaller part of a text it never leads, so it brings no strangers together.
+    """
+    names = lead[:CHOICES]
+    if len(frequent):
+        at = np.searchsorted(frequent, lead)
+        at[at == len(frequent)] = 0
+        names = np.concatenate((names, lead[frequent[at] == lead][:CHOICES]))
+    return list(dict.fromkeys(names.view(np.int64).tolist()))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
@@ -157,7 +172,7 @@ def _leads(docs: DataFrame, frequent, width: int) -> DataFrame:
             sets = [s for t in batch.column(0).to_pylist() if len(s := shingler.shingles(t))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_key(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([leading(s, often)[:CHOICES].view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["key", "n", "lead"])
+                 pa.array([group_choices(leading(s, often), often) for s in sets], pa.list_(pa.int64()))], names=["key", "n", "lead"])
 
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         run, "key binary, n long, lead array<long>").dropDuplicates(["key"])
@@ -194,7 +209,7 @@ def _buckets(docs: DataFrame, frequent, popular, n_buckets: int, width: int) ->
                     tokens.append(lead)
                     owner.append(np.full(len(lead), len(keys), dtype=np.int32))
                     keys.append(key)
-                    grp = group_of(lead[:CHOICES].view(np.int64).tolist(), known)
+                    grp = group_of(group_choices(lead, often), known)
                     facts.append((grp, len(s), known.get(grp, 0)))
             if not keys:
                 continue
