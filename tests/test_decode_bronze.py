@@ -28,14 +28,23 @@ def test_refused_payloads_are_kept_with_a_reason(spark):
                  json.dumps({**GOOD, "ts": 9 * 10**18}), json.dumps({**GOOD, "deviceID": None})),
         CONTRACT,
     )
-    assert rows(good_rows(decoded), "deviceID", "voltage") == [(None, 51.5), (7, 51.5)]
+    assert rows(good_rows(decoded), "deviceID", "voltage") == [(None, None), (None, 51.5), (7, 51.5)]
     reasons = [(r.reason, r.payload is None) for r in refused_rows(decoded).collect()]
     assert sorted(reasons) == [
         ("clock out of range", False), ("corrupt", False), ("corrupt", False), ("corrupt", False),
-        ("corrupt", False), ("empty", False), ("empty", False), ("empty", True),
+        ("empty", False), ("empty", False), ("empty", True),
     ]
     counts = dict(rows(decode_counts(decoded, CONTRACT)))
-    assert counts == {"good": 1, "no key": 1, "corrupt": 4, "empty": 3, "clock out of range": 1}
+    assert counts == {"good": 1, "no key": 2, "corrupt": 3, "empty": 3, "clock out of range": 1}
+
+
+def test_a_broken_side_clock_withholds_nothing(spark):
+    far = json.dumps({**GOOD, "pushedAt": 9 * 10**18, "consumedAt": -9 * 10**18})
+    good = good_rows(decode_json(payloads(spark, far), CONTRACT))
+    bronze = to_bronze(good, CONTRACT).first()
+    assert bronze.pushedAt == 9 * 10**18 and bronze.consumedLatency is None and bronze.ts is not None
+    silver = with_local_clocks(good, CONTRACT).first()
+    assert silver.pushedAt is None and silver.consumedAt is None and silver.ts is not None
 
 
 def test_payload_is_parsed_once(spark):

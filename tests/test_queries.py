@@ -5,8 +5,9 @@ import pytest
 
 import __spark_entry__
 from compare import connect, differences
+from tidemark.plans import catalogue, oracles
 
-NAMES = sorted(__spark_entry__.queries())
+NAMES = sorted(__spark_entry__.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def test_query_matches_sql(spark, sf_dir, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(__spark_entry__.oracle_sql()) == set(NAMES)
+    assert set(oracles.oracle_sql()) == set(catalogue.queries())
 
 
 def test_entry_has_rows_and_fixed_columns(spark):

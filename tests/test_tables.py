@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from conftest import plan_of, rows
 from tidemark.contracts import ColumnGroup
 from tidemark.operators.maintenance import expire_versions
-from tidemark.operators.merge import merge_by_join
+from tidemark.operators.merge import changed_rows, merge_by_join
 from tidemark.operators.sinks import (
     BRONZE_PROPERTIES,
     SILVER_PROPERTIES,
+    ConflictException,
     VersionedTable,
     append_batch,
     append_table,
+    batch_condition,
     create_table,
     ensure_namespace,
     file_schema,
@@ -22,6 +24,7 @@ from tidemark.operators.sinks import (
 )
 from tidemark.session import release_scratch, shared_dir
 from tidemark.sources import files
+from tidemark.streaming.policy import is_transient
 
 GROUPS = (ColumnGroup("ts", {"v": "v"}),)
 
@@ -61,9 +64,11 @@ def test_versions_replace_and_readers_see_finished_ones(spark, tmp_path):
     assert table.read().columns == ["k", "ts", "v"]
     assert rows(table.read().groupBy("ts").count()) == [(0, 5), (1, 10)]
     assert [v.number for v in table.versions()] == [0, 1]
-    assert len(list(Path(table.versions()[-1].path).glob("*.parquet"))) == 4
-    # a write that never finished is invisible, and overwritten by the next one
-    half = tmp_path / "t" / "v=000000000002-buckets=4"
+    base, delta = table.versions()
+    assert (base.kind, delta.kind) == ("base", "delta")
+    assert 1 < len(list(Path(base.path).glob("*.parquet"))) <= 4  # a file per bucket that has rows
+    # a write that was never claimed is invisible, and does not stand in the way of the next one
+    half = tmp_path / "t" / "v=000000000002-base-buckets=4-0123abcd"
     half.mkdir()
     (half / "part-00000.parquet").write_text("broken")
     assert table.read().count() == 15
@@ -102,13 +107,62 @@ def test_old_versions_expire(spark, tmp_path):
     assert expire_versions(table, retain_last=2, older_than_hours=1) == 0  # all too young
     old = table.versions()[0].committed_ms / 1000 - 7200
     for version in table.versions():
-        os.utime(Path(version.path) / "_SUCCESS", (old + version.number, old + version.number))
+        os.utime(tmp_path / "t" / "_claims" / f"{version.number:012d}", (old + version.number, old + version.number))
     assert expire_versions(table, retain_last=2, older_than_hours=1) == 3
     assert [v.number for v in table.versions()] == [3, 4]
     assert table.read().count() == 5
     assert table.drop_versions([3, 4]) == 1  # the current version stays
 
 
+def test_a_merge_writes_only_what_changed(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4, compact_every=3)
+    upsert_table(table, numbers(spark, 0, 5000), GROUPS)
+    upsert_table(table, numbers(spark, 4995, 5005, clock=1), GROUPS)
+    upsert_table(table, numbers(spark, 0, 10), GROUPS)  # equal clocks advance nothing
+    _, changed, unchanged = table.versions()
+    assert table.read_version(changed).count() == 10 and table.read_version(unchanged).count() == 0
+    assert rows(table.read().groupBy("ts").count()) == [(0, 4995), (1, 10)]
+    upsert_table(table, numbers(spark, 4999, 5001, clock=2), GROUPS)
+    assert [v.kind for v in table.versions()] == ["base", "delta", "delta", "base"]
+    assert rows(table.read().groupBy("ts").count()) == [(0, 4995), (1, 8), (2, 2)]
+    # a delta over deltas over a base: the newest row of a key wins
+    upsert_table(table, numbers(spark, 5000, 5002, clock=3), GROUPS)
+    upsert_table(table, numbers(spark, 5001, 5003, clock=4), GROUPS)
+    assert rows(table.read().where("k >= 4999").select("k", "ts"))[:5] == [(4999, 2), (5000, 3), (5001, 4), (5002, 4), (5003, 1)]
+    assert table.drop_versions(range(3)) == 3 and table.read().count() == 5005
+
+
+def test_the_base_is_neither_exchanged_nor_sorted(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=6)
+    upsert_table(table, numbers(spark, 0, 100), GROUPS)
+    upsert_table(table, numbers(spark, 5, 15, 1), GROUPS)
+    base, deltas = table.current()
+    incoming = table.align(numbers(spark, 5, 15, 2))
+    plan = plan_of(changed_rows(table.read_version(base), table.changed_since(deltas), incoming, "k", GROUPS))
+    stored_side = plan[plan.index("ShuffledHashJoin"):]
+    streamed = stored_side[:stored_side.index("Bucketed: true")]
+    assert "Exchange" not in streamed and "Sort" not in streamed
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    upsert_table(table, numbers(spark, 0, 10), GROUPS)
+    table.append_delta(numbers(spark, 0, 2, 1), after=0)
+    for write in (table.append_delta, table.replace):
+        with pytest.raises(ConflictException) as lost:
+            write(numbers(spark, 0, 2, 2), after=0)
+        assert is_transient(lost.value)
+    assert len(table.versions()) == 2 and rows(table.read().groupBy("ts").count()) == [(0, 8), (1, 2)]
+    assert len([f for f in (tmp_path / "t").iterdir() if f.name.startswith("v=")]) == 2
+
+
+def test_catalog_batches_can_be_told_apart(spark):
+    assert BRONZE_PROPERTIES["write.metadata.metrics.column.batch_key"] == "full"
+    rows_ = spark.createDataFrame([(2024, 1, 2, "a"), (2024, 1, 3, "a"), (2024, 1, 2, "b")], "year int, month int, day int, batch_key string")
+    assert rows_.where(batch_condition("a", [(2024, 1, 2)])).count() == 1
+    assert rows_.where(batch_condition("a", [])).count() == 2
+
+
 def test_catalog_tables(spark):
     ensure_namespace(spark, "telemetry")
     ensure_namespace(spark, "telemetry")
@@ -142,3 +196,12 @@ def test_shared_folder_follows_the_session(spark):
     assert files.exists(spark, path)
     release_scratch(spark)
     assert not files.exists(spark, path)
+
+
+def test_released_scratch_leaves_no_catalog_entries(spark):
+    table = VersionedTable(spark, shared_dir(spark, "released"), "k", buckets=2)
+    upsert_table(table, numbers(spark, 0, 10), GROUPS)
+    name = table._table_name(table.versions()[0]).split(".", 1)[1]
+    assert spark.catalog.tableExists(name)
+    release_scratch(spark)
+    assert not spark.catalog.tableExists(name) and not files.exists(spark, table.path)

@@ -160,3 +160,39 @@ def test_parity(spark):
         "(left only)": 0, "(right only)": 1, "(repeated key)": 1, "s": 1, "x": 1}
     assert row_diff(left, left).count() == 0
     assert plan_of(row_diff(left, right)).count("Exchange") == 1
+
+
+def test_expiry_spreads_a_tables_history(spark):
+    from conftest import plan_of
+    from tidemark.operators.maintenance import expirable_snapshots
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = spark.range(1000).select(
+            F.when(F.col("id") % 3 > 0, "t").alias("table"), F.col("id").alias("snapshot_id"),
+            F.timestamp_seconds(F.col("id")).alias("committed_at"))
+        chosen = expirable_snapshots(history, F.timestamp_seconds(F.lit(900)), 20)
+        join = plan_of(chosen)
+        assert "hashpartitioning(table#" not in join[join.index("Join"):].split("_salt")[0]
+        assert "_salt" in join and chosen.count() == 900
+        assert chosen.where("table is null").count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_slow_batch_and_task_size_warnings(spark):
+    from tidemark.operators.opslog import behind_trend, parse_behind
+
+    lines = spark.createDataFrame([(t,) for t in (
+        "26/05/13 10:00:05 WARN ProcessingTimeExecutor: Current batch is falling behind. The trigger interval is "
+        "{30000} milliseconds, but spent {40123} milliseconds",
+        "26/05/13 11:00:05 WARN ProcessingTimeExecutor: Current batch is falling behind. The trigger interval is "
+        "30000 milliseconds, but spent 50000 milliseconds",
+        "26/05/13 11:30:00 WARN DAGScheduler: Stage 7 contains a task of very large size (5632 KiB). The maximum "
+        "recommended task size is 1000 KiB.",
+        "26/05/13 11:31:00 INFO nothing falling behind here", None)], "text string")
+    parsed = parse_behind(lines)
+    assert sorted((r.kind, r.took_ms, r.task_kib) for r in parsed.collect() if r.took_ms) == [
+        ("behind", 40123, None), ("behind", 50000, None)]
+    trend = {r.hour.hour: (r.n_behind, r.max_took_ms, r.max_task_kib, r.rising) for r in behind_trend(parsed).collect()}
+    assert trend == {10: (1, 40123, None, False), 11: (1, 50000, 5632, True)}

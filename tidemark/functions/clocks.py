@@ -19,13 +19,15 @@ def in_calendar(clock: Column) -> Column:
 
 
 def local_time(epoch_ms: str, zone: str) -> Column:
-    """Epoch milliseconds as a timestamp moved to the wall clock of a zone."""
-    return F.from_utc_timestamp(F.timestamp_millis(F.col(epoch_ms)), zone)
+    """Epoch milliseconds as a timestamp moved to the wall clock of a zone; NULL outside the calendar."""
+    clock = F.col(epoch_ms)
+    shown = F.when(in_calendar(clock), clock)
+    return F.from_utc_timestamp(F.timestamp_millis(shown), zone)
 
 
 def minutes_between(later: str, earlier: str) -> Column:
-    """Minutes from one epoch-ms column to another, to two decimals."""
-    return F.round((F.col(later) - F.col(earlier)) / MILLIS_PER_MINUTE, 2)
+    """Minutes from one epoch-ms column to another, to two decimals; NULL if their distance overflows."""
+    return F.round(F.try_subtract(F.col(later), F.col(earlier)) / MILLIS_PER_MINUTE, 2)
 
 
 def date_parts(ts: Column) -> dict[str, Column]:

@@ -36,7 +36,7 @@ def decode_json(
         contract,
         keep,
         empty=F.trim(_PAYLOAD) == "",
-        corrupt=F.col(_CORRUPT).isNotNull(),
+        corrupt=F.col(_CORRUPT).isNotNull(),  # a record without any value is still a record
         text=F.col(_PAYLOAD),
     )
 
@@ -55,7 +55,8 @@ def decode_avro(
         contract,
         keep,
         empty=F.length(_PAYLOAD) == 0,
-        corrupt=F.lit(False),
+        # a payload that Avro cannot read gives a row of NULLs and nothing else to tell it by
+        corrupt=_all([F.col(c).isNull() for c in contract.columns]),
         text=F.base64(_PAYLOAD),
     )
 
@@ -91,12 +92,11 @@ def _with_verdict(
     corrupt: Column,
     text: Column,
 ) -> DataFrame:
-    blank = _all([F.col(c).isNull() for c in contract.columns])
-    clocks_ok = _all([in_calendar(F.col(c)) for c in contract.epoch_columns])
+    # only the event clock becomes a bronze timestamp and partition; the others stay numbers there
     reason = (
         F.when(F.col(_PAYLOAD).isNull() | empty, "empty")
-        .when(corrupt | blank, "corrupt")
-        .when(~clocks_ok, "clock out of range")
+        .when(corrupt, "corrupt")
+        .when(~in_calendar(F.col(contract.clock)), "clock out of range")
     )
     judged = df.withColumn(BAD_REASON, reason)
     refused = F.col(BAD_REASON).isNotNull()

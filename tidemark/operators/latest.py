@@ -41,18 +41,24 @@ def _newest(schema: T.StructType, clock: str, columns: Sequence[tuple[str, str]]
 
 
 def latest_per_key(df: DataFrame, key: str, clock: str = "ts") -> DataFrame:
-    """One row per key, the one with the largest clock. Columns: key, clock, rest."""
-    names = [clock, *[c for c in df.columns if c not in (key, clock)]]
-    newest = _newest(df.schema, clock, [(c, c) for c in names], None)
-    return df.groupBy(key).agg(newest.alias("_newest")).select(key, "_newest.*")
+    """One row per key, the one with the largest clock. Columns: key, clock, rest.
+
+    A single group that holds every column. Rows without a key belong to no key and are left out.
+    """
+    rest = {c: c for c in df.columns if c not in (key, clock)}
+    return newest_structs(df, key, {"_newest": ColumnGroup(clock, rest, None, clock)}).select(key, "_newest.*")
 
 
 def latest_by_row_number(df: DataFrame, key: str, clock: str = "ts") -> DataFrame:
-    """The same by ranking rows; Spark limits each group to one row before the shuffle."""
+    """The same by ranking rows; Spark limits each group to one row before the shuffle.
+
+    Equal clocks go to any of their rows here.
+    """
     newest_first = Window.partitionBy(key).orderBy(F.col(clock).desc())
     names = [clock, *[c for c in df.columns if c not in (key, clock)]]
     return (
-        df.withColumn("_rank", F.row_number().over(newest_first))
+        df.where(F.col(key).isNotNull())
+        .withColumn("_rank", F.row_number().over(newest_first))
         .where("_rank = 1")
         .select(key, *names)
     )

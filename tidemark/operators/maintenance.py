@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,14 +17,16 @@ PROBE_RETAIN_LAST = 999_999
 
 
 def expirable_snapshots(
-    history: DataFrame, cutoff: Column, retain_last: int = RETAIN_LAST
+    history: DataFrame, cutoff: Column, retain_last: int = RETAIN_LAST, salts: int = 32
 ) -> DataFrame:
     """Snapshots older than the cutoff and not among a table's newest ones.
 
     history: table, snapshot_id, committed_at. Ranking every snapshot of a table
     would put its whole history in one task. Instead the newest retain_last are
     found, where Spark limits each group before the shuffle, and everything
-    older than the last of them is expirable.
+    older than the last of them is expirable. That boundary is one row per table;
+    the history meets it in `salts` shares of each table, so no task gets a whole
+    table and no side has to be small. Snapshots without a table form one of their own.
     """
     order = ("committed_at", "snapshot_id")
     newest_first = Window.partitionBy("table").orderBy(*[F.col(c).desc() for c in order])
@@ -33,9 +36,14 @@ def expirable_snapshots(
         .where(F.col("_rank") <= retain_last)
     )
     oldest_kept = kept.groupBy("table").agg(F.min(F.struct(*order)).alias("_oldest_kept"))
+    boundary = oldest_kept.select(
+        F.col("table").alias("_table"), "_oldest_kept", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_share")
+    )
+    old = history.where(F.col("committed_at") < cutoff).withColumn(
+        "_salt", F.pmod(F.xxhash64("snapshot_id"), F.lit(salts)).cast("int")
+    )
     return (
-        history.where(F.col("committed_at") < cutoff)
-        .join(oldest_kept, "table")
+        old.join(boundary, F.col("table").eqNullSafe(F.col("_table")) & (F.col("_salt") == F.col("_share")))
         .where(F.struct(*order) < F.col("_oldest_kept"))
         .select(*history.columns)
     )
@@ -85,14 +93,17 @@ def projected_retention(commits_per_day: int, retention_days: int) -> int:
     return commits_per_day * retention_days
 
 
-def expire_call(catalog: str, table: str, older_than_hours: int, retain_last: int) -> str:
-    """The catalog procedure that expires snapshots of one table."""
-    return (
-        f"CALL `{catalog}`.system.expire_snapshots("
-        f"table => '{table}', "
-        f"older_than => TIMESTAMPADD(HOUR, -{older_than_hours}, current_timestamp()), "
-        f"retain_last => {retain_last})"
-    )
+def expire_call(
+    catalog: str, table: str, older_than_hours: int, retain_last: int, now: datetime | None = None
+) -> str:
+    """The catalog procedure that expires snapshots of one table, with its cutoff as a UTC literal."""
+    cutoff = (now or datetime.now(timezone.utc)) - timedelta(hours=older_than_hours)
+    arguments = {
+        "table": f"'{table}'",
+        "older_than": f"TIMESTAMP '{cutoff:%Y-%m-%d %H:%M:%S}'",
+        "retain_last": retain_last,
+    }
+    return f"CALL `{catalog}`.system.expire_snapshots({', '.join(f'{k} => {v}' for k, v in arguments.items())})"
 
 
 def expire_versions(table, retain_last: int = RETAIN_LAST, older_than_hours: int = OLDER_THAN_HOURS) -> int:

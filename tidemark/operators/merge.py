@@ -13,7 +13,7 @@ bucketed on the key, and without copying its columns into aggregation buffers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +56,21 @@ def merge_latest(
     return merged.select(key, *[f"_g{i}.*" for i in range(len(groups))])
 
 
+def fold_structs(
+    structs: DataFrame, key: str, named_groups: Mapping[str, ColumnGroup]
+) -> DataFrame:
+    """One row per key from rows (key, a struct per group, `_seq`) of several batches."""
+    seq = F.col(SEQUENCE)
+
+    def rank(name: str, group: ColumnGroup) -> Column:
+        clock = F.col(f"{name}.{group.clock}")  # NULL too where a batch has nothing for this group
+        return F.struct(clock, F.when(clock.isNull(), seq).otherwise(-seq))
+
+    return structs.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.max_by(name, rank(name, g)).alias(name) for name, g in named_groups.items()]
+    )
+
+
 def merge_by_join(
     stored: DataFrame, incoming: DataFrame, key: str, groups: Sequence[ColumnGroup]
 ) -> DataFrame:
@@ -75,6 +90,40 @@ def merge_by_join(
     return joined.select(*columns)
 
 
+def changed_rows(
+    base: DataFrame, deltas: DataFrame | None, incoming: DataFrame, key: str, groups: Sequence[ColumnGroup]
+) -> DataFrame:
+    """The rows that the merge would change or add, whole.
+
+    What is stored for a key is its row in deltas, else in base. incoming and deltas hold one row per key
+    and meet first; the base then streams past them, hashed on the small side, without exchange or sort if
+    it is bucketed on the key.
+    """
+    s = incoming.where(F.col(key).isNotNull())
+    names = base.columns
+    whole = F.struct(*names)
+    if deltas is None:
+        near = s.select(F.col(key).alias("_key"), whole.alias("s"), F.lit(None).cast(base.select(whole.alias("x")).schema["x"].dataType).alias("d"))
+    else:
+        own = deltas.select(F.col(key).alias("_delta_key"), whole.alias("d"))
+        near = s.select(F.col(key).alias("_key"), whole.alias("s")).join(own, F.col("_key") == F.col("_delta_key"), "left").drop("_delta_key")
+    stored = base.select(F.col(key).alias("_base_key"), whole.alias("b"))
+    met = stored.join(near.hint("shuffle_hash"), F.col("_base_key") == F.col("_key"), "right").select(
+        "_key", "s", F.coalesce("d", "b").alias("t"))
+    is_new = F.col("t").isNull()
+
+    def advances(g: ColumnGroup) -> Column:
+        return F.col(f"t.{g.clock}").isNull() | (F.col(f"s.{g.clock}") > F.col(f"t.{g.clock}"))
+
+    # a NULL clock over a NULL clock changes nothing but may carry other values, as in merge_by_join
+    moves = reduce(lambda a, b: a | b, [F.coalesce(advances(g), F.lit(False)) for g in groups])
+    columns = {key: F.col("_key")}
+    for g in groups:
+        take = is_new | F.coalesce(advances(g), F.lit(False))
+        columns.update({c: F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in g.outputs})
+    return met.where(is_new | moves).select(*[columns[c].alias(c) for c in names])
+
+
 def fold_batches(
     batches: Sequence[DataFrame], key: str, groups: Sequence[ColumnGroup], stored: DataFrame | None = None
 ) -> DataFrame:

@@ -65,6 +65,52 @@ def parse_batches(lines: DataFrame) -> DataFrame:
     return parsed.select("logged_at", "level", "stage", "batch_id", outcome.alias("outcome"), "detail")
 
 
+# Spark's warnings about slow batches and large tasks, as its log prints them.
+BEHIND_TIME = r"^(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
+BEHIND_BATCH = r"falling behind\. The trigger interval is \{?(\d+)\}? milliseconds, but spent \{?(\d+)\}? milliseconds"
+BEHIND_TASK = r"contains a task of very large size \((\d+) KiB\)"
+
+
+def parse_behind(lines: DataFrame) -> DataFrame:
+    """Warnings of batches slower than their trigger and of large tasks: time, kind, trigger, time taken, task size.
+
+    The time taken is what the batch spent, which the distance of two batches cannot tell from waiting.
+    """
+    text = F.col("text")
+
+    def number(pattern: str, group: int = 1):
+        return F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).cast("long")
+
+    warnings = lines.where(text.contains("falling behind") | text.contains("very large size"))
+    parsed = warnings.select(
+        F.to_timestamp(F.nullif(F.regexp_extract(text, BEHIND_TIME, 1), F.lit("")), "yy/MM/dd HH:mm:ss").alias("logged_at"),
+        number(BEHIND_BATCH).alias("trigger_ms"),
+        number(BEHIND_BATCH, 2).alias("took_ms"),
+        number(BEHIND_TASK).alias("task_kib"),
+    ).where("took_ms IS NOT NULL OR task_kib IS NOT NULL")
+    kind = F.when(F.col("took_ms").isNotNull(), "behind").otherwise("task size")
+    return parsed.select("logged_at", kind.alias("kind"), "trigger_ms", "took_ms", "task_kib")
+
+
+def behind_trend(behind: DataFrame) -> DataFrame:
+    """Per hour: slow batches, how long they took, the largest task, and whether the mean time rose.
+
+    The window runs over one row per hour.
+    """
+    hourly = behind.groupBy(F.date_trunc("hour", "logged_at").alias("hour")).agg(
+        F.count("took_ms").alias("n_behind"),
+        F.sum("took_ms").alias("_took"),
+        F.max("took_ms").alias("max_took_ms"),
+        F.max("task_kib").alias("max_task_kib"),
+    )
+    mean = F.when(F.col("n_behind") > 0, F.col("_took") / F.col("n_behind"))
+    by_day = Window.partitionBy(F.to_date("hour")).orderBy("hour")
+    return hourly.select(
+        "hour", "n_behind", mean.alias("avg_took_ms"), "max_took_ms", "max_task_kib",
+        F.coalesce(mean > F.lag(mean).over(by_day), F.lit(False)).alias("rising"),
+    )
+
+
 def _with_previous(
     rows: DataFrame, series: str, clock: str, ties: Sequence[str], widths: Sequence[int]
 ) -> DataFrame:
@@ -76,7 +122,7 @@ def _with_previous(
     """
     width, *wider = widths
     bucket = f"_bucket{len(wider)}"
-    placed = rows.withColumn(bucket, F.floor(F.col(clock) / width))
+    placed = rows.withColumn(bucket, F.expr(f"`{clock}` div {width} - int(`{clock}` % {width} < 0)"))
     inside = Window.partitionBy(series, bucket).orderBy(clock, *ties)
     ends = placed.groupBy(series, bucket).agg(F.max(clock).alias("_end"))
     if wider:
@@ -84,10 +130,14 @@ def _with_previous(
     else:
         across = Window.partitionBy(series).orderBy(bucket)
         before = ends.withColumn("_previous", F.lag("_end").over(across))
-    carried = before.select(series, bucket, F.col("_previous").alias("_carried"))
+    carried = before.select(
+        F.col(series).alias("_series"), F.col(bucket).alias("_in_bucket"), F.col("_previous").alias("_carried")
+    )
+    # rows without a series are one series too
+    same = F.col(series).eqNullSafe(F.col("_series")) & F.col(bucket).eqNullSafe(F.col("_in_bucket"))
     return (
         placed.withColumn("_inside", F.lag(clock).over(inside))
-        .join(carried, [series, bucket], "left")
+        .join(carried, same, "left")
         .select(*rows.columns, F.coalesce("_inside", "_carried").alias("_previous"))
     )
 

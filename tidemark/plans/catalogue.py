@@ -25,7 +25,7 @@ from tidemark.operators.latest import (
 from tidemark.operators.merge import fold_batches, merge_by_join, merge_pending
 from tidemark.operators.sinks import VersionedTable, append_batch, file_schema, upsert_table
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
-from tidemark.plans.device_view import RENAME_MAP, device_rows, load_table
+from tidemark.plans.device_view import RENAME_MAP, device_rows, edge_rows, load_table
 from tidemark.session import configure, configure_state_store, shared_dir
 from tidemark.sources.streams import file_stream
 from tidemark.sources.tables import table_inventory
@@ -38,6 +38,7 @@ KEY = CONTRACT.key
 BMS_GROUP, IOT_GROUP = LATEST_VALID_GROUPS[1], LATEST_VALID_GROUPS[2]
 LATEST_GROUPS = (whole_row_group(CONTRACT),)
 N_BATCHES = 5
+FILES_PER_TRIGGER = 2
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -53,6 +54,13 @@ LOG_LINES = {
     "error": "ERROR - [Silver] Batch {n} FAILED (bronze succeeded): "
              "java.lang.IllegalStateException: stopped",
 }
+ERROR_LINES = {
+    "click": "ERROR - stopped by java.io.IOException: no space left",
+    "view": "INFO - all is well",
+    "signup": "WARNING - ValueError: no such column",
+    "purchase": "ERROR - Failed to reach the broker",
+    "error": "ERROR - org.apache.spark.SparkException: Job aborted",
+}
 EXIT_BY_TYPE = {"click": 0, "view": 137, "signup": 143, "purchase": 11, "error": 1}
 
 
@@ -280,10 +288,8 @@ def payload_stream(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
         F.when(F.col("event_id") <= high, F.lit(n)) for n, (_, high) in enumerate(ranges)
     ])
     payloads = with_payload(spark, sf_dir).select(number.alias("batch"), "value")
-    payloads.write.partitionBy("batch").parquet(landing)
-    n_files = len(spark.read.parquet(landing).inputFiles())
-    per_batch = -(-n_files // (N_BATCHES // 2 + 1))
-    return file_stream(spark, landing, "value string", max_files_per_trigger=per_batch)
+    payloads.hint("rebalance", "batch").write.partitionBy("batch").parquet(landing)
+    return file_stream(spark, landing, "value string", max_files_per_trigger=FILES_PER_TRIGGER)
 
 
 def _run(query) -> None:
@@ -431,6 +437,107 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_inventory({t: load_table(spark, sf_dir, t) for t in TABLES})
 
 
+# ---- edge rows: no key, no clock, ties, late rows, clocks beyond the calendar, all alarm fields
+
+def edge_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_local_clocks(edge_rows(spark, sf_dir).select("event_id", *CONTRACT.columns), CONTRACT)
+
+
+def decode_clock_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of payloads whose side clocks may be out of range: none is withheld."""
+    rows = edge_rows(spark, sf_dir).select("event_id", F.to_json(F.struct(*CONTRACT.columns)).alias("value"))
+    decoded = decode_json(rows, CONTRACT, keep=["event_id"])
+    latency = [minutes_between("pushedAt", "ts").alias("timeLatency"),
+               minutes_between("consumedAt", "pushedAt").alias("consumedLatency")]
+    return plain_times(decoded.select(
+        "event_id", "deviceID", local_time("ts", CONTRACT.zone).alias("ts"), "pushedAt", "consumedAt", *latency,
+        local_time("pushedAt", CONTRACT.zone).alias("pushed_local"), F.col(BAD_REASON).alias("reason")))
+
+
+def latest_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(latest_per_key(edge_silver(spark, sf_dir).drop("event_id"), KEY))
+
+
+def silver_combined_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(combine_one_pass(edge_silver(spark, sf_dir), KEY, LATEST_VALID_GROUPS))
+
+
+def silver_merge_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches by id range; clocks of the same hour tie across them, and the earlier batch stays."""
+    rows = edge_silver(spark, sf_dir)
+    parts = [rows.where(F.col("event_id").between(*r)).drop("event_id") for r in event_ranges(spark, sf_dir)]
+    return plain_times(fold_batches(parts, KEY, LATEST_VALID_GROUPS))
+
+
+def silver_table_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches through the stored table, whose third delta is compacted."""
+    rows = edge_silver(spark, sf_dir)
+    table = VersionedTable(spark, shared_dir(spark, "silver"), KEY, compact_every=3)
+    for r in event_ranges(spark, sf_dir):
+        part = rows.where(F.col("event_id").between(*r)).drop("event_id")
+        upsert_table(table, combine_one_pass(part, KEY, LATEST_VALID_GROUPS), LATEST_VALID_GROUPS)
+    return plain_times(table.read())
+
+
+def stream_silver_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive out of clock order and hold rows without a key."""
+    lake = new_lake(spark)
+    late = device_rows(spark, sf_dir).withColumn(
+        KEY, F.when(F.col("event_id") % 13 != 0, F.col(KEY)))
+    number = F.pmod(F.xxhash64("event_id"), F.lit(N_BATCHES)).alias("batch")
+    payloads = late.select(number, F.to_json(F.struct(*CONTRACT.columns)).alias("value"))
+    payloads.hint("rebalance", "batch").write.partitionBy("batch").parquet(f"{lake.root}/landing")
+    stream = file_stream(spark, f"{lake.root}/landing", "value string", max_files_per_trigger=FILES_PER_TRIGGER)
+    _run(start_ingest(lake, stream, silver_every=2, trigger=ONCE))
+    lake.merge_pending()
+    return plain_times(lake.latest_valid.read())
+
+
+def alarms_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = alarms_struct("alarms", T.StringType(), RENAME_MAP)
+    return flat_alarms(edge_rows(spark, sf_dir).select("event_id", parsed.alias("alarms")))
+
+
+def batch_gaps_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps where many rows have no series; every clock is its own."""
+    rows = device_rows(spark, sf_dir).select(
+        F.when(F.col("event_id") % 3 != 0, F.col(KEY) % 7).alias(KEY), "ts", "event_id")
+    return opslog.batch_gaps(rows, KEY, "ts", "event_id")
+
+
+def error_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.coalesce(*[F.when(F.col("event_type") == kind, F.lit(text)) for kind, text in ERROR_LINES.items()])
+    return load_table(spark, sf_dir, "events").select(line.alias("text"))
+
+
+def error_scan_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return opslog.error_summary(error_lines(spark, sf_dir))
+
+
+def warning_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A warning or a plain line per event, with times taken and task sizes that follow from it."""
+    number = F.col("event_id").cast("string")
+    took = (30_000 + F.col("event_id") % 9_973).cast("string")
+    size = (1_000 + F.col("event_id") % 4_001).cast("string")
+    line = (
+        F.when(F.col("event_type") == "error", F.concat(F.lit("WARN ProcessingTimeExecutor: Current batch is falling behind. "
+               "The trigger interval is 30000 milliseconds, but spent "), took, F.lit(" milliseconds")))
+        .when(F.col("event_type") == "purchase", F.concat(F.lit("WARN DAGScheduler: Stage "), number, F.lit(
+            " contains a task of very large size ("), size, F.lit(" KiB). The maximum recommended task size is 1000 KiB.")))
+        .otherwise(F.concat(F.lit("INFO MicroBatchExecution: Streaming query made progress "), number))
+    )
+    return load_table(spark, sf_dir, "events").select(
+        F.concat_ws(" ", F.date_format("ts", "yy/MM/dd HH:mm:ss"), line).alias("text"))
+
+
+def behind_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(opslog.parse_behind(warning_lines(spark, sf_dir)))
+
+
+def behind_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(opslog.behind_trend(opslog.parse_behind(warning_lines(spark, sf_dir))))
+
+
 _QUERIES: dict[str, Query] = {
     "decode_permissive": decode_permissive,
     "decode_device_rows": decode_device_rows,
@@ -473,6 +580,17 @@ _QUERIES: dict[str, Query] = {
     "parity_rows": parity_rows,
     "parity_columns": parity_columns,
     "table_inventory": inventory,
+    "decode_clock_edges": decode_clock_edges,
+    "latest_edges": latest_edges,
+    "silver_combined_edges": silver_combined_edges,
+    "silver_merge_edges": silver_merge_edges,
+    "silver_table_edges": silver_table_edges,
+    "stream_silver_late": stream_silver_late,
+    "alarms_full": alarms_full,
+    "batch_gaps_nulls": batch_gaps_nulls,
+    "error_scan_classes": error_scan_classes,
+    "behind_lines": behind_lines,
+    "behind_trend": behind_trend,
 }
 
 

@@ -29,6 +29,20 @@ dev AS (SELECT event_id, user_id AS "deviceID", ms AS ts, ms-(event_id%3)*1000 A
   props AS alarms, event_type FROM e)
 """
 
+# The same events with what the plain view lacks: rows without key or clock, clocks that
+# tie within an hour, clocks that a timestamp cannot hold, and alarms with every mapped field.
+_EDGE_COLUMNS = """
+SELECT event_id, event_type, CASE WHEN event_id%13=0 THEN NULL ELSE {q}deviceID{q} END AS {q}deviceID{q},
+  CASE WHEN event_id%17=0 THEN NULL ELSE ts - ts%3600000 END AS ts, {q}originalTs{q},
+  CASE WHEN event_id%19=0 THEN 9000000000000000000 ELSE {q}pushedAt{q} END AS {q}pushedAt{q},
+  CASE WHEN event_id%23=0 THEN -9000000000000000000 ELSE {q}consumedAt{q} END AS {q}consumedAt{q},
+  voltage, soc, current, temperature, {q}cellVolt{q}, {q}cellTemp{q}, lat, lon,
+  chr(123) || '"k":' || event_id%97 || ',"ov":' || CASE WHEN voltage > 70 THEN 'true' ELSE 'false' END ||
+  ',"ut":"t' || event_id%5 || '"' || chr(125) AS alarms
+"""
+EDGE_SQL = f"{_EDGE_COLUMNS.format(q='`')} FROM ({DEVICE_SQL})"
+EDGE_CTE = f"{DEVICE_CTE.rstrip()}, edge AS ({_EDGE_COLUMNS.format(q=chr(34))} FROM dev)"
+
 RENAME_MAP = {"k": "alarmK", "ov": "overVoltage", "ut": "underTemp"}
 
 _LONG, _DOUBLE, _STRING = T.LongType(), T.DoubleType(), T.StringType()
@@ -58,6 +72,11 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with edge cases, for every event."""
+    return spark.sql(EDGE_SQL.format(events="{events}"), events=load_table(spark, sf_dir, "events"))
+
+
 def device_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, event_type and the contract columns, one row per event."""
     return spark.sql(DEVICE_SQL.format(events="{events}"), events=load_table(spark, sf_dir, "events"))

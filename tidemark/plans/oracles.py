@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans.device_view import DEVICE_CONTRACT, DEVICE_CTE, RENAME_MAP
+from tidemark.plans.device_view import DEVICE_CONTRACT, DEVICE_CTE, EDGE_CTE, RENAME_MAP
 
 _COLUMNS = DEVICE_CONTRACT.columns
 _EPOCHS = DEVICE_CONTRACT.epoch_columns
@@ -78,6 +78,48 @@ _COMBINED_FLAT = _COMBINED_CTE + (
     + f', i."iotLastTs", i.lat, i.lon {_COMBINED_FROM}'
 )
 
+# clocks beyond the calendar have no local time; NULLs come last in the order of newness
+_FAR = "BETWEEN -62135596800000 AND 253402300799999"
+_EDGE_SILVER = ", ".join(
+    f"CASE WHEN {_q(c)} {_FAR} THEN {_local(c)} END AS {_q(c)}" if c in _EPOCHS else _q(c) for c in _COLUMNS)
+_EDGE_BATCH = _BATCH
+_EDGE_CTE = EDGE_CTE + f', es AS (SELECT {_EDGE_BATCH} AS batch, {_EDGE_SILVER} FROM edge WHERE "deviceID" IS NOT NULL)'
+
+
+def _first(columns: list[str], test: str, by: str) -> str:
+    """Newest row per key, ties going to the larger columns in order."""
+    order = ", ".join(f"{_q(c)} DESC NULLS LAST" for c in columns)
+    return (f"SELECT * FROM es WHERE {test} QUALIFY row_number() OVER (PARTITION BY {by} ORDER BY {order}) = 1")
+
+
+_GROUPS = {
+    "k": ({"ts": "ts"}, "true"),
+    "b": (_BMS, "voltage > 0 AND voltage < 70"),
+    "i": (_IOT, "lon > 0"),
+}
+_EDGE_OUT = ", ".join(f"{n}.{_q(c)} AS {_q(o)}" for n, (columns, _) in _GROUPS.items() for c, o in columns.items())
+_EDGE_LATEST = _EDGE_CTE + (
+    f"SELECT {', '.join(map(_q, _COLUMNS))} FROM ("
+    + _first(["ts", *[c for c in _COLUMNS if c not in ("deviceID", "ts")]], "true", _q("deviceID")) + ")")
+_EDGE_COMBINED = _EDGE_CTE + "".join(
+    f", {n} AS ({_first(list(columns), test, _q('deviceID'))})" for n, (columns, test) in _GROUPS.items()) + (
+    f' SELECT k."deviceID", {_EDGE_OUT} FROM k LEFT JOIN b USING ("deviceID") LEFT JOIN i USING ("deviceID")')
+_EDGE_MERGED = _EDGE_CTE + ', d AS (SELECT DISTINCT "deviceID", batch FROM es)' + "".join(
+    f", {n}w AS ({_first(list(columns), test, _q('deviceID') + ', batch')})"
+    f', {n} AS (SELECT "deviceID", batch, {n}w.* EXCLUDE ("deviceID", batch) FROM d LEFT JOIN {n}w USING ("deviceID", batch) '
+    f'QUALIFY row_number() OVER (PARTITION BY "deviceID" ORDER BY {n}w.ts DESC NULLS LAST, '
+    f"CASE WHEN {n}w.ts IS NULL THEN -batch ELSE batch END) = 1)"
+    for n, (columns, test) in _GROUPS.items()) + (
+    f' SELECT k."deviceID", {_EDGE_OUT} FROM k LEFT JOIN b USING ("deviceID") LEFT JOIN i USING ("deviceID")')
+_LATE = _COMBINED.replace("FROM dev)", 'FROM dev WHERE event_id % 13 <> 0)')
+_WARNINGS = """
+WITH w AS (SELECT date_trunc('second', ts) AS logged_at, event_type,
+  30000 + event_id % 9973 AS took, 1000 + event_id % 4001 AS kib FROM events WHERE event_type IN ('error', 'purchase')),
+p AS (SELECT logged_at, CASE event_type WHEN 'error' THEN 'behind' ELSE 'task size' END AS kind,
+  CASE event_type WHEN 'error' THEN 30000::BIGINT END AS trigger_ms, CASE event_type WHEN 'error' THEN took END AS took_ms,
+  CASE event_type WHEN 'purchase' THEN kib END AS task_kib FROM w)
+"""
+
 _LINES = """
 WITH lines AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' ||
   lpad(((epoch_us(ts)//1000)%1000)::VARCHAR, 3, '0') || ' - ' || CASE event_type
@@ -221,6 +263,33 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE l.{c} IS DISTINCT FROM r.{c}"
             for c in _ORDER_COLUMNS
         ),
+        "decode_clock_edges": EDGE_CTE + f"""
+            SELECT event_id, "deviceID", CASE WHEN ts {_FAR} THEN {_local('ts')} END AS ts, "pushedAt", "consumedAt",
+              round((CASE WHEN event_id % 19 = 0 THEN "pushedAt"::HUGEINT - ts ELSE "pushedAt" - ts END)::DOUBLE / 60000.0::DOUBLE, 2) AS "timeLatency",
+              round(CASE WHEN event_id % 19 = 0 AND event_id % 23 = 0 THEN NULL
+                ELSE ("consumedAt"::HUGEINT - "pushedAt"::HUGEINT)::DOUBLE / 60000.0::DOUBLE END, 2) AS "consumedLatency",
+              CASE WHEN "pushedAt" {_FAR} THEN {_local('pushedAt')} END AS pushed_local, NULL::VARCHAR AS reason
+            FROM edge""",
+        "latest_edges": _EDGE_LATEST,
+        "silver_combined_edges": _EDGE_COMBINED,
+        "silver_merge_edges": _EDGE_MERGED,
+        "silver_table_edges": _EDGE_MERGED,
+        "stream_silver_late": _LATE,
+        "alarms_full": EDGE_CTE + f"SELECT event_id, {_ALARMS} FROM edge",
+        "batch_gaps_nulls": DEVICE_CTE + """
+            SELECT "deviceID", ts, event_id, ts - lag(ts) OVER (PARTITION BY "deviceID" ORDER BY ts, event_id) AS gap_ms
+            FROM (SELECT CASE WHEN event_id % 3 <> 0 THEN "deviceID" % 7 END AS "deviceID", ts, event_id FROM dev)""",
+        "error_scan_classes": """
+            SELECT CASE event_type WHEN 'click' THEN 'java.io.IOException' WHEN 'signup' THEN 'ValueError'
+              WHEN 'purchase' THEN 'Failed' ELSE 'org.apache.spark.SparkException' END AS error_class, count(*) AS n_lines
+            FROM events WHERE event_type <> 'view' GROUP BY 1""",
+        "behind_lines": _WARNINGS + "SELECT logged_at, kind, trigger_ms, took_ms, task_kib FROM p",
+        "behind_trend": _WARNINGS + """
+            SELECT hour, n_behind, took / nullif(n_behind, 0)::DOUBLE AS avg_took_ms, max_took_ms, max_task_kib,
+              coalesce(took / nullif(n_behind, 0)::DOUBLE > lag(took / nullif(n_behind, 0)::DOUBLE)
+                OVER (PARTITION BY hour::DATE ORDER BY hour), false) AS rising
+            FROM (SELECT date_trunc('hour', logged_at) AS hour, count(took_ms) AS n_behind, sum(took_ms)::DOUBLE AS took,
+              max(took_ms) AS max_took_ms, max(task_kib) AS max_task_kib FROM p GROUP BY 1)""",
         "table_inventory": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, "
             f"(SELECT count(*) FROM (DESCRIBE {t}))::INTEGER AS n_columns"

@@ -48,7 +48,9 @@ def ingest_batch(
 
     Bronze goes first and its failure ends the query. The batch then leaves its
     newest row per key behind as pending. With silver_every, silver runs on every
-    nth batch over all that is pending, so no batch is lost between two runs. A
+    nth batch over all that is pending, and earlier once the oldest pending row has
+    waited longer than the lake's silver interval, so no batch is lost between two
+    runs and none waits without limit. An empty batch merges on the same terms. A
     lost commit race leaves it for the next run, any other failure ends the query.
     """
 
@@ -58,13 +60,17 @@ def ingest_batch(
             counts = lake.count_batch(decoded)
             if not counts["rows"]:
                 logger.info("Batch %d: empty, skipping.", batch_id)
+                if silver_every is not None and lake.pending_since() is not None and (
+                    silver_due(batch_id, silver_every) or lake.pending_is_old()
+                ):
+                    merge_silver(lake, decoded, batch_id)
                 return
             lake.write_bronze(decoded, batch_id, counts)
             if pending:
                 lake.add_pending(decoded, batch_id)
             if silver_every is None:
                 return
-            if not silver_due(batch_id, silver_every):
+            if not silver_due(batch_id, silver_every) and not lake.pending_is_old():
                 logger.info("[Silver] Batch %d: skipped (cadence 1-in-%d)", batch_id, silver_every)
                 return
             merge_silver(lake, decoded, batch_id)
@@ -136,14 +142,16 @@ def start_silver(
     """
     if source == "pending":
         ensure_folder(lake.spark, lake.pending_path)
-        options = {"cleanSource": "delete", **file_options(**limits)}
+        options = {"cleanSource": "delete", **file_options(**{"ignore_missing_files": False, **limits})}
         stream = (
             lake.spark.readStream.schema(lake.pending_schema()).options(**options).parquet(lake.pending_path)
         )
         upsert = lake.upsert
     else:
         ensure_folder(lake.spark, lake.bronze_path)
-        stream = file_stream(lake.spark, lake.bronze_path, lake.bronze_schema(), **limits)
+        stream = file_stream(
+            lake.spark, lake.bronze_path, lake.bronze_schema(), **{"ignore_missing_files": False, **limits}
+        )
         upsert = lake.upsert_bronze
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -176,10 +184,19 @@ def start_stateful(
     can publish it without reading a table back.
     """
     events = with_local_clocks(good_rows(decode(raw, lake.contract, payload_format)), lake.contract)
+
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        # a sink may evaluate its rows several times, but the state must be advanced once
+        changed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sink(changed, batch_id)
+        finally:
+            changed.unpersist()
+
     return (
         lake.newest(events)
         .writeStream.outputMode("update")
-        .foreachBatch(sink)
+        .foreachBatch(publish)
         .queryName(f"tidemark-{checkpoint}")
         .option("checkpointLocation", lake.checkpoint(checkpoint))
         .trigger(**trigger)

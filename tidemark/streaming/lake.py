@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ from tidemark.operators.maintenance import (
     expire_call,
     expire_versions,
 )
-from tidemark.operators.merge import SEQUENCE, merge_latest
+from tidemark.operators.merge import SEQUENCE, fold_structs, merge_latest
 from tidemark.operators.sinks import (
     BATCH_KEY,
     BRONZE_PROPERTIES,
@@ -42,6 +44,9 @@ from tidemark.sources import files
 
 logger = logging.getLogger("tidemark")
 
+# Fixed value: how long a pending row may wait for silver, as the separate silver trigger has it.
+SILVER_INTERVAL_S = 300
+
 
 def batch_key(spark: SparkSession, batch_id: int) -> str:
     """Names a micro-batch for good: batch ids restart when a checkpoint is replaced."""
@@ -61,6 +66,7 @@ class Lake:
     bronze_files: int | None = None
     retain_last: int = RETAIN_LAST
     older_than_hours: int = OLDER_THAN_HOURS
+    silver_interval_s: int = SILVER_INTERVAL_S
     latest_groups: Sequence[ColumnGroup] = field(init=False)
 
     def __post_init__(self):
@@ -187,6 +193,17 @@ class Lake:
         numbered = structs.withColumn(SEQUENCE, F.lit(batch_id).cast("long"))
         sized_files(numbered).write.mode("append").parquet(self.pending_path)
 
+    def _waiting(self, spark: SparkSession) -> list[files.Entry]:
+        return [e for e in files.entries(spark, self.pending_path) if e.name.endswith(".parquet")]
+
+    def pending_since(self) -> float | None:
+        """When the oldest pending file was written, in epoch seconds."""
+        return min((e.modified_ms / 1000 for e in self._waiting(self.spark)), default=None)
+
+    def pending_is_old(self) -> bool:
+        since = self.pending_since()
+        return since is not None and time.time() - since > self.silver_interval_s
+
     def merge_pending(self, spark: SparkSession | None = None) -> int:
         """Merge everything kept since the last successful run; returns the number of files.
 
@@ -194,9 +211,17 @@ class Lake:
         between merges them again.
         """
         spark = spark or self.spark
-        waiting = [e.path for e in files.entries(spark, self.pending_path) if e.name.endswith(".parquet")]
+        waiting = [e.path for e in self._waiting(spark)]
         if waiting:
-            self.upsert(spark.read.schema(self.pending_schema()).parquet(*waiting))
+            rows = fold_structs(
+                spark.read.schema(self.pending_schema()).parquet(*waiting),
+                self.contract.key,
+                {"row": self.latest_groups[0], **{f"g{i}": g for i, g in enumerate(self.valid_groups)}},
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self.upsert(rows)
+            finally:
+                rows.unpersist()
             for path in waiting:
                 files.delete(spark, path)
         return len(waiting)
