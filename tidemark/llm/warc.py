@@ -75,6 +75,8 @@ def headers(head: bytes) -> dict[str, str]:
 def file_system(folder: str):
     from pyarrow import fs
 
+    if folder.startswith("file:"):  # Spark writes such URIs with any number of slashes
+        return fs.LocalFileSystem(), f"/{unquote(folder.removeprefix('file:')).lstrip('/')}"
     return fs.FileSystem.from_uri(folder)
 
 
