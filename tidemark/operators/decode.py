@@ -96,8 +96,9 @@ def _with_verdict(
     reason = (
         F.when(F.col(_PAYLOAD).isNull() | empty, "empty")
         .when(corrupt, "corrupt")
-        .when(~in_calendar(F.col(contract.clock)), "clock out of range")
     )
+    if contract.clock in contract.epoch_columns:
+        reason = reason.when(~in_calendar(F.col(contract.clock)), "clock out of range")
     judged = df.withColumn(BAD_REASON, reason)
     refused = F.col(BAD_REASON).isNotNull()
     return judged.select(
