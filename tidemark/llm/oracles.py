@@ -15,5 +15,45 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS g
+    FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM items)
+), sizes AS (SELECT DISTINCT n FROM win),
+places AS (
+    SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+), found AS (SELECT doc_id, i, n, item_id FROM places JOIN win USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+COMPONENTS = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+    SELECT x, y FROM shared JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)
+), both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, root) AS (SELECT x, x FROM both_ways UNION SELECT y, root FROM reach JOIN both_ways ON doc_id = x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c.root, doc_id) AS component_id
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": WARC}
+    return {"op1_benchmark_decontamination": CONTAMINATION, "op7_warc": WARC, "op9_ngram_jaccard_join": COMPONENTS}
