@@ -128,6 +128,45 @@ def test_decontaminate_leaves_no_window_and_clean_texts_alone(spark, make):
     assert empty.count() == len(docs)
 
 
+def test_decontaminate_is_the_same_in_any_number_of_blocks(spark, make):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"{c}{i}_{k}" for k in range(15) for c in "uv")) for i in range(12)]
+    items += [(50 + i, " ".join(rng.choice("ab") for _ in range(rng.randint(4, 12)))) for i in range(12)]
+    own = lambda i, n: " ".join(f"o{i}_{k}" for k in range(n))
+    docs = [(i, " ".join(rng.choice("abc") for _ in range(80)) + " " + own(i, rng.randint(0, 60))) for i in range(60)]
+    for i in range(12):  # each item inside each other one, and pairs of items that only together pass the limit
+        for j in range(12):
+            if i != j:
+                w = items[i][1].split()
+                docs.append((100 + 12 * i + j, f"{own(0, 30)}. {' '.join(w[:9])} {items[j][1]} {' '.join(w[9:18])} {own(1, 20)}"))
+                docs.append((300 + 12 * i + j, f"{items[i][1]} {own(2, 10)} {items[j][1]}"))
+    docs += [docs[70], (900, None), (901, ""), (None, docs[70][1])]
+    windows = windows_of(items)
+
+    def expected(text):
+        total = gone = 0
+        w = words(text)
+        while True:
+            hit = {x for k in range(len(w)) for n in {len(x) for x in windows} if tuple(w[k:k + n]) in windows for x in range(k, k + n)}
+            if not hit:
+                return w
+            total, gone = total or len(w), gone + len(hit)
+            if gone > 0.8 * total:
+                return None
+            w = [x for k, x in enumerate(w) if k not in hit]
+
+    want = sorted(((i, w) for i, t in docs if (w := expected(t)) is not None), key=str)
+    assert len(want) < len(docs)
+    texts = []
+    for block_words in (200_000, 60):
+        left = decontaminate.decontaminate(make(docs), spark.createDataFrame(items, "item_id long, text string"), block_words=block_words)
+        assert left.columns == make(docs).columns
+        got = left.collect()
+        assert sorted(((r.doc_id, words(r.text)) for r in got), key=str) == want
+        texts.append(sorted(((r.doc_id, r.text) for r in got), key=str))
+    assert texts[0] == texts[1]
+
+
 # ---- token counts and packing
 
 def test_token_counts_are_the_librarys(run, documents, library):

@@ -6,7 +6,9 @@ whole item that is shorter, marks its words. Runs of words whose neighbouring pa
 any item cannot hold a match of two words or more and are skipped before the automaton.
 
 A test set is cut into blocks of at most `block_words` words, so what is broadcast stays bounded: one
-block at a time is fetched, and results of several blocks meet by the digest of the text.
+block at a time is fetched, and results of several blocks meet by the digest of the text. `decontaminate`
+cuts a text only once all blocks have been searched, and then searches the cut texts in all blocks again,
+so its result does not depend on where the blocks end; it takes as many rounds as cuts bring windows together.
 
 Edge cases: NULL or wordless texts have no words and no hits, and pass unchanged; items that are NULL
 or wordless match nothing; items without an id mark words but are not listed; repeated items count
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from tidemark.llm.common import free_name
+from tidemark.llm.common import free_name, stored
 from tidemark.llm.licenses import WORD_BYTES
 
 WINDOW = 10
@@ -174,15 +176,19 @@ class Matcher:
         return len(tokens), spans, items
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[list[tuple[str | None, list[str]]]]:
-    """Bounded parts of the test set, as names and words. Longer items are cut into pieces that overlap by a window."""
+def item_pieces(benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """(item, w), and the number of blocks they make. Longer items are cut into pieces that overlap by a window."""
     step = block_words - window + 1
     split = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.coalesce("text", F.lit(""))).alias("w"))
     pieces = split.where(F.size("w") > 0).select("item", F.explode(F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)), F.lit(step)),
         lambda i: F.slice("w", i + 1, block_words))).alias("w")).distinct()
     total = pieces.agg(F.sum(F.size("w"))).first()[0] or 0
-    n = -(-total // block_words) or 1
+    return pieces, -(-total // block_words) or 1
+
+
+def item_blocks(pieces: DataFrame, n: int) -> Iterator[list[tuple[str | None, list[str]]]]:
+    """Bounded parts of the test set, as names and words."""
     for block in range(n):
         rows = pieces.where(F.pmod(F.xxhash64("item", "w"), F.lit(n)) == block) if n > 1 else pieces
         yield [(r["item"], r["w"]) for r in rows.collect()]
@@ -224,7 +230,7 @@ def _joined(spans: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, spans, items): hit word ranges and the items whose windows a document holds."""
-    blocks = item_blocks(benchmark, window, max(block_words, 2 * window))
+    blocks = item_blocks(*item_pieces(benchmark, window, max(block_words, 2 * window)))
     first, rest = next(blocks), list(blocks)
     if not rest:
         return _matches(docs, "doc_id", "text", first, window)
@@ -253,12 +259,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     A cut can bring words together that form a window anew, so a text is searched again until it is
     clean. n_chars, where present, follows the text. All other columns and clean texts stay as they are.
     """
-    for block in item_blocks(benchmark, window, max(block_words, 2 * window)):
-        docs = _cleaned(docs, block, window, max_coverage)
-    return docs
+    pieces, n = item_pieces(benchmark, window, max(block_words, 2 * window))
+    if n == 1:
+        kept = _cleaned(docs, next(item_blocks(pieces, n)), window, max_coverage)
+    else:
+        kept = _cleaned_by_all(docs, stored(pieces, "items"), n, window, max_coverage)
+    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)) if "n_chars" in kept.columns else kept
+
+
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without these ranges of words."""
+    raw = text.encode("utf-8", "surrogatepass")
+    at = [m.span() for m in WORD_AT.finditer(raw.translate(WORD_BYTES))]
+    for s, e in reversed(spans):
+        raw = raw[:at[s][0]] + raw[at[e - 1][1]:]
+    return raw.decode("utf-8", "surrogatepass")
 
 
 def _cleaned(docs: DataFrame, block: list, window: int, max_coverage: float) -> DataFrame:
+    """All rounds of a test set of one block, in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
     result = free_name(docs, "cleaned")
 
@@ -272,11 +291,7 @@ def _cleaned(docs: DataFrame, block: list, window: int, max_coverage: float) ->
             hit += sum(e - s for s, e in spans)
             if hit > max_coverage * total:
                 return text, False
-            raw = text.encode("utf-8", "surrogatepass")
-            at = [m.span() for m in WORD_AT.finditer(raw.translate(WORD_BYTES))]
-            for s, e in reversed(spans):
-                raw = raw[:at[s][0]] + raw[at[e - 1][1]:]
-            text = raw.decode("utf-8", "surrogatepass")
+            text = _without(text, spans)
         return text, True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,5 +305,56 @@ def _cleaned(docs: DataFrame, block: list, window: int, max_coverage: float) ->
                                              names=[*batch.schema.names, result])
 
     schema = StructType([*docs.schema.fields, StructField(result, BooleanType())])
-    kept = docs.mapInArrow(run, schema).where(F.col(result)).drop(result)
-    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)) if "n_chars" in kept.columns else kept
+    return docs.mapInArrow(run, schema).where(F.col(result)).drop(result)
+
+
+CUT = "k string, text string, total long, hit long, ok boolean"
+
+
+def _cut(found: DataFrame, max_coverage: float) -> DataFrame:
+    """One round of cuts: (k, text, total, hit, spans) to rows of CUT, total being the words of the text as it came."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, hits, ok = [], [], []
+            for text, total, hit, ranges in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+                spans: list[tuple[int, int]] = []
+                for s, e in sorted((r["start"], r["end"]) for r in ranges):
+                    if spans and s <= spans[-1][1]:
+                        s, e = spans[-1][0], max(e, spans.pop()[1])
+                    spans.append((s, e))
+                hit += sum(e - s for s, e in spans)
+                hits.append(hit)
+                ok.append(hit <= max_coverage * total)
+                texts.append(_without(text, spans) if ok[-1] else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(texts, pa.string()), batch.column(2), pa.array(hits, pa.int64()), pa.array(ok, pa.bool_())],
+                names=["k", "text", "total", "hit", "ok"])
+
+    return found.select("k", "text", "total", "hit", "spans").mapInArrow(run, CUT)
+
+
+def _cleaned_by_all(docs: DataFrame, pieces: DataFrame, n: int, window: int, max_coverage: float) -> DataFrame:
+    """The same for several blocks: in each round the hits of all blocks are cut at once, by the digest of the text as it came."""
+    def hits(texts: DataFrame) -> DataFrame:
+        found = None
+        for block in item_blocks(pieces, n):  # written block by block, so that one is held at a time
+            own = stored(_matches(texts, "k", "text", block, window).where(F.size("spans") > 0).select(
+                "k", "n_words", "spans").distinct(), "hits")
+            found = own if found is None else found.union(own)
+        return stored(found.groupBy("k").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans")), "hits")
+
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    keyed = docs.select(digest.alias("k"), "text")
+    found = hits(keyed)
+    one = keyed.join(found, "k").groupBy("k").agg(*(F.first(c).alias(c) for c in ("text", "n_words", "spans")))
+    cut = stored(_cut(one.select("k", "text", F.col("n_words").alias("total"), F.lit(0).cast("long").alias("hit"), "spans"), max_coverage), "cut")
+    done = cut.where("not ok")
+    cut = cut.where("ok")
+    while not (found := hits(cut)).isEmpty():
+        done = done.union(cut.join(found, "k", "left_anti"))
+        again = stored(_cut(cut.join(found.drop("n_words"), "k"), max_coverage), "cut")
+        done, cut = done.union(again.where("not ok")), again.where("ok")
+    key, text, ok = (free_name(docs, c) for c in ("text_key", "cut_text", "cut_ok"))
+    done = done.union(cut).select(F.col("k").alias(key), F.col("text").alias(text), F.col("ok").alias(ok))
+    columns = [F.coalesce(text, "text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return docs.withColumn(key, digest).join(done, key, "left").where(F.coalesce(ok, F.lit(True))).select(columns)
