@@ -105,6 +105,21 @@ def test_recurring_subtrees_go_per_host(spark):
     assert empty.count() == 0
 
 
+def test_copies_of_a_page_do_not_make_its_text_a_template(spark):
+    top = "<div><a href=/>Home</a> <span>Welcome to the site</span></div>"
+    body = lambda i: f"<div><h2>Story {i}</h2><p>First part of {i}.</p><p>Second part of {i}.</p></div>"
+    story = lambda i: f"Story {i}\nFirst part of {i}.\nSecond part of {i}."
+    sources = "<article><p>Text</p><ul>" + "".join(f"<li><a href=/{k}>Source {k}</a></li>" for k in range(5)) + "</ul></article>"
+    # nine rows of one page, among them other menus around it, and eleven other pages
+    docs = [(i, f"http://one.example/{i}", f"<nav>Day {i}</nav>{top}{body(0)}") for i in range(9)]
+    docs += [(i, f"http://one.example/{i}", top + body(i)) for i in range(9, 20)]
+    docs += [(100 + i, f"http://two.example/{i}", body(0)) for i in range(6)]
+    docs += [(200 + i, f"http://three.example/{i}", sources) for i in range(6)]
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(docs, "page_id long, url string, html string")).collect()}
+    assert got == {i: story(0 if i < 9 else i) for i in range(20)} | {100 + i: story(0) for i in range(6)} | {
+        200 + i: "Text\n" + "\n".join(f"Source {k}" for k in range(5)) for i in range(6)}
+
+
 def test_given_pages(run, spark, sf_dir):  # noqa: F811
     import html
     import re

@@ -3,9 +3,11 @@
 Structure decides first: what lies in navigation, headers, footers, asides, forms, scripts and the like,
 by element, role or class name, is not text of the article; an article or main element, where there is
 one, bounds it. What structure leaves open is settled by repetition: each remaining subtree is hashed
-with its tags, names and text, Spark counts per host on how many pages a hash occurs, and subtrees on at
-least `min_pages` pages and `min_share` of the host's pages are deleted. Inside an explicit article only
-subtrees that consist of links for the most part can be deleted so, since copies of an article repeat too.
+with its tags, names and text, Spark counts per host on how many distinct pages a hash occurs, and subtrees
+on at least `min_pages` distinct pages and `min_share` of the host's distinct pages are deleted. Pages whose
+text by structure is the same (mirrors, visits at several times, repeated rows) are one, so copies of a page
+do not make its text a template. Inside an explicit article only subtrees that consist of links for the most
+part can be deleted so.
 
 A host has at most (elements per page / min_share) such hashes, so its list is bounded; if all lists
 are small Spark broadcasts them, otherwise pages and lists meet in a join that may split a large host.
@@ -195,16 +197,20 @@ def recurring_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
+            hosts, digests, hashes = [], [], []
             for name, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = set(Page(source).candidates().values())
+                page = Page(source)
+                own = [None, *set(page.candidates().values())]  # None stands for the page
                 hosts += [name] * len(own)
+                digests += [hashlib.blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=16).digest()] * len(own)
                 hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(hashes, pa.int64())],
+                                             names=["host", "page", "hash"])
 
-    counted = known.mapInArrow(run, "host string, hash long").groupBy("host", "hash").count().where(F.col("count") >= min_pages)
-    of_host = known.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
-    return counted.join(of_host, "host").where(F.col("count") >= min_share * F.col("pages")).groupBy("host").agg(
+    counted = stored(known.mapInArrow(run, "host string, page binary, hash long").distinct().groupBy("host", "hash").count().where(
+        F.col("count") >= min_pages), "subtrees")
+    of_host = counted.where("hash is null").select("host", F.col("count").alias("pages"))
+    return counted.where("hash is not null").join(of_host, "host").where(F.col("count") >= min_share * F.col("pages")).groupBy("host").agg(
         F.collect_list("hash").alias("hashes"))
 
 
