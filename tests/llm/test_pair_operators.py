@@ -89,6 +89,26 @@ def test_bound_is_never_above_what_links_share():
             assert len(lead(a) & lead(b)) >= jaccard.needed(len(a), len(b))
 
 
+def test_matrix_needs_no_more_than_any_member_does():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    cases = [[100, 100, 104, 105]] + [[x, *(rng.randint(-(-4 * x // 5), 5 * x // 4) for _ in range(rng.randint(2, 6)))]
+                                      for x in range(5, 200) for _ in range(5)]
+    for sizes in cases:  # the first asks the group of all others; they hold the same leading shingles
+        n, shared = len(sizes), min(int(jaccard.needed(sizes[0], y)) for y in sizes[1:])
+        if shared < 1:
+            continue
+        token = np.repeat(np.arange(shared, dtype=np.uint64), n)
+        fact = np.array([(1, sizes[0], 0)] + [(2, y, 5) for y in sizes[1:]], np.int64)
+        key = np.arange(2 * n, dtype=np.uint64)
+        row = jaccard._matrix_rows(pa.table({c: pa.array([x.tobytes()], pa.binary()) for c, x in (
+            ("token", token), ("owner", np.tile(np.arange(n, dtype=np.int32), shared)), ("key", key), ("fact", fact))})).to_pylist()
+        assert [(r["key"], r["grp"], r["shared"]) for r in row] == [(key[:2].tobytes(), 2, shared)]
+        assert row[0]["need"] <= shared, sizes
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (5, 5), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

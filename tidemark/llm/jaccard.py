@@ -274,9 +274,8 @@ def _matrix_rows(table: pa.Table) -> pa.Table:
             lo = np.searchsorted(sizes[a:b], -(-4 * sizes[:a] // 5))
             hi = np.searchsorted(sizes[a:b], 5 * sizes[:a] // 4, side="right") - 1
             near = np.flatnonzero(lo <= hi)
-            if len(near):  # what a link needs is least at the smallest or the largest size in question
-                x = sizes[:a][near]
-                need = np.minimum(needed(x, sizes[a:b][lo[near]]), needed(x, sizes[a:b][hi[near]]))
+            if len(near):
+                need = least_needed(sizes[:a][near], sizes[a:b][lo[near]], sizes[a:b][hi[near]])
                 found.append((docs[:a][near], np.full(len(near), ranks[a]), need))
     q, g, need = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((g, q))
@@ -298,6 +297,18 @@ def needed(x, y):
     return -(-4 * (x + y) // 9) - np.maximum(x - x // 5 - 1, y - y // 5 - 1)
 
 
+def least_needed(x, lo, hi):
+    """The least of needed(x, y) for lo <= y <= hi.
+
+    Up to x it grows with y. Beyond, five more in y make it less by one at least, with dips between since
+    both terms are rounded; so the least is at lo or among the last five sizes.
+    """
+    least = needed(x, lo)
+    for back in range(5):
+        least = np.minimum(least, needed(x, np.maximum(lo, hi - back)))
+    return least
+
+
 def linked(inter, a, b):
     """100 * intersection >= 80 * union."""
     return 9 * inter >= 4 * (a + b)
