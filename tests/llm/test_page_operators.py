@@ -120,6 +120,18 @@ def test_copies_of_a_page_do_not_make_its_text_a_template(spark):
         200 + i: "Text\n" + "\n".join(f"Source {k}" for k in range(5)) for i in range(6)}
 
 
+def test_recurring_subtrees_go_per_section_of_a_large_host(spark):
+    menu = lambda part: f"<div><a href=/{part}/>All of {part}</a></div>"
+    page = lambda i, part: f"<div>Site line</div>{menu(part)}<div><p>Own text number {i}.</p></div><div>Note of {part}</div>"
+    docs = [(i, f"http://big.example/s{i % 8}/{i}", page(i, f"s{i % 8}")) for i in range(80)]
+    docs += [(100 + i, f"http://big.example/{i}", page(100 + i, "front")) for i in range(3)]
+    docs += [(200 + i, f"http://other.example/s{i}/x", page(200 + i, "s1")) for i in range(3)]
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(docs, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(docs) and all(got[i] == f"Own text number {i}." for i in range(80))
+    assert all(got[100 + i] == f"All of front\nOwn text number {100 + i}.\nNote of front" for i in range(3))
+    assert all(got[200 + i].startswith("Site line\nAll of s1\nOwn") for i in range(3))
+
+
 def test_given_pages(run, spark, sf_dir):  # noqa: F811
     import html
     import re

@@ -6,11 +6,13 @@ one, bounds it. What structure leaves open is settled by repetition: each remain
 with its tags, names and text, Spark counts per host on how many distinct pages a hash occurs, and subtrees
 on at least `min_pages` distinct pages and `min_share` of the host's distinct pages are deleted. Pages whose
 text by structure is the same (mirrors, visits at several times, repeated rows) are one, so copies of a page
-do not make its text a template. Inside an explicit article only subtrees that consist of links for the most
+do not make its text a template. The same holds within each section of a host, the pages below one leading
+path segment, since a section of a large host has menus and notices of its own. Inside an explicit article only subtrees that consist of links for the most
 part can be deleted so.
 
-A host has at most (elements per page / min_share) such hashes, so its list is bounded; if all lists
-are small Spark broadcasts them, otherwise pages and lists meet in a join that may split a large host.
+A host or section has at most (elements per page / min_share) such hashes, so its list is bounded; if all
+lists are small Spark broadcasts them, otherwise pages and lists meet in joins that may split a large host.
+A section's list has only what its host's has not.
 
 Edge cases: NULL or empty html gives an empty text; unclosed, misnested and truncated markup is closed
 where the page ends; pages without a host have no template. NULL ids and repeated rows are kept; other
@@ -191,40 +193,60 @@ def host(url):
     return F.when(found != "", found)
 
 
+def section(url):
+    """The leading path segment of a URL that has something below it, or NULL."""
+    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)/", 1)
+    return F.when(found != "", found)
+
+
 def recurring_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hashes): the subtrees that make up each host's template."""
-    known = pages.select(host(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host is not null")
+    """(host, section, hashes): the subtrees that make up the template of each host, where section is NULL, and of its sections."""
+    known = pages.select(host(F.col("url")).alias("host"), section(F.col("url")).alias("section"),
+                         F.coalesce("html", F.lit("")).alias("html")).where("host is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, digests, hashes = [], [], []
-            for name, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            hosts, sections, digests, hashes = [], [], [], []
+            for name, part, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 page = Page(source)
                 own = [None, *set(page.candidates().values())]  # None stands for the page
-                hosts += [name] * len(own)
-                digests += [hashlib.blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=16).digest()] * len(own)
-                hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(hashes, pa.int64())],
-                                             names=["host", "page", "hash"])
+                digest = hashlib.blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                for scope in [None] if part is None else [None, part]:
+                    hosts += [name] * len(own)
+                    sections += [scope] * len(own)
+                    digests += [digest] * len(own)
+                    hashes += own
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(sections, pa.string()), pa.array(digests, pa.binary()), pa.array(hashes, pa.int64())],
+                names=["host", "section", "page", "hash"])
 
-    counted = stored(known.mapInArrow(run, "host string, page binary, hash long").distinct().groupBy("host", "hash").count().where(
-        F.col("count") >= min_pages), "subtrees")
-    of_host = counted.where("hash is null").select("host", F.col("count").alias("pages"))
-    return counted.where("hash is not null").join(of_host, "host").where(F.col("count") >= min_share * F.col("pages")).groupBy("host").agg(
-        F.collect_list("hash").alias("hashes"))
+    counted = stored(known.mapInArrow(run, "host string, section string, page binary, hash long").distinct().groupBy(
+        "host", "section", "hash").count().where(F.col("count") >= min_pages), "subtrees")
+    of_scope = counted.where("hash is null").select(F.col("host").alias("h"), F.col("section").alias("s"), F.col("count").alias("pages"))
+    found = stored(counted.where("hash is not null").join(
+        of_scope, (F.col("host") == F.col("h")) & F.col("section").eqNullSafe(F.col("s"))).where(
+            F.col("count") >= min_share * F.col("pages")).select("host", "section", "hash"), "recurring")
+    whole, own = found.where("section is null"), found.where("section is not null")
+    return whole.union(own.join(whole.select("host", "hash"), ["host", "hash"], "left_anti").select("host", "section", "hash")).groupBy(
+        "host", "section").agg(F.collect_list("hash").alias("hashes"))
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    templates = stored(recurring_subtrees(pages, min_pages, min_share), "templates").select(F.col("host").alias("site"), "hashes")
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host")).join(
-        templates, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "hashes")
+    templates = stored(recurring_subtrees(pages, min_pages, min_share), "templates")
+    whole = templates.where("section is null").select(F.col("host").alias("site"), F.col("hashes").alias("of_host"))
+    own = templates.where("section is not null").select(
+        F.col("host").alias("part_site"), F.col("section").alias("part"), F.col("hashes").alias("of_section"))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"),
+                        section(F.col("url")).alias("section")).join(whole, F.col("host") == F.col("site"), "left").join(
+        own, (F.col("host") == F.col("part_site")) & (F.col("section") == F.col("part")), "left").select(
+            "page_id", "url", "html", "of_host", "of_section")
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(source).text(set(hashes or ())) for source, hashes in zip(
-                batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [Page(source).text({*(of_host or ()), *(of_section or ())}) for source, of_host, of_section in zip(
+                *(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
