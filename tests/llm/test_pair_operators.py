@@ -69,6 +69,16 @@ def test_ids_may_be_missing_or_repeated(make, spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_rows_of_one_id_go_by_their_own_text(make):
+    text, other = "a b c d e f g h i j", "words that no one else has"
+    docs = [(3, text), (7, text + " k"), (7, other), (7, ""), (8, other + " at all"), (None, text), (9, "q r s t u v w x y z"),
+            (9, "q r s t u v w x y z 1"), (9, "entirely on its own here")]
+    left = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(make(docs)).collect()), key=str)
+    kept_9 = [x for x in left if x[0] == 9 and x[1].startswith("q")]
+    assert len(kept_9) == 1
+    assert left == sorted([docs[0], docs[2], docs[3], docs[4], docs[5], docs[8], *kept_9], key=str)
+
+
 def test_long_texts_have_the_same_shingles_in_segments(monkeypatch):
     text = " ".join(f"w{i % 700}" for i in range(3000))
     whole = jaccard.Shingler().shingles(text)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import free_name, stored
 from tidemark.llm.components import components
 
 WIDTH = 5
@@ -463,27 +463,37 @@ def similarity_links(docs: DataFrame, first: DataFrame, width: int = WIDTH, freq
     return links.union(_links(docs, first, against.union(still), width))
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT, group_size: int = GROUP_SIZE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def _found(docs: DataFrame, width: int, frequent: int, group_size: int) -> DataFrame:
+    """(doc_id, h, n_shingles, component_id, least_h) of every document; least_h is the least h of the component's smallest id."""
     first = stored(first_pass(docs, width), "shingles")
     roots = components(similarity_links(docs, first, width, frequent, group_size))
     rows = first.where("token is null")
-    keys = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least")).join(
+    keys = rows.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("least")).join(
         roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
-    named = keys.join(keys.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
+    named = keys.join(keys.groupBy("root").agg(F.min("least").alias("of_root")), "root").select(
+        "key", F.col("of_root.doc_id").alias("component_id"), F.col("of_root.h").alias("least_h"))
     return rows.join(named, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(
-            F.col("component_id")).alias("component_id"))
+        "doc_id", "h", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(
+            F.col("component_id")).alias("component_id"), "least_h")
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT, group_size: int = GROUP_SIZE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    return _found(docs, width, frequent, group_size).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs with the document of the smallest id of every component, and all that link with nothing.
 
-    Of rows that repeat both id and text one stays; rows without an id always stay.
+    Rows are told apart by id and text, so an id that several texts share goes only with those that link. Of
+    rows that repeat both id and text, or of one component that repeat its smallest id, one text stays; rows
+    without an id always stay.
     """
-    found = stored(near_duplicates(docs, width), "components")
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    found = stored(_found(docs, width, FREQUENT, GROUP_SIZE), "components")
+    gone = stored(found.where("doc_id <> component_id or h <> least_h").where("doc_id is not null").select("doc_id", "h").distinct(), "gone")
     if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null")
         docs = named.dropDuplicates(["doc_id", "text"]).union(unnamed)
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    h = free_name(docs, "text_hash")
+    gone = gone.withColumnRenamed("h", h)
+    return docs.withColumn(h, F.xxhash64(F.coalesce("text", F.lit("")))).join(gone, ["doc_id", h], "left_anti").select(docs.columns)
