@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, jaccard, langid, licenses, packing, quality, substrings, tokens, warc
+from tidemark.llm import (
+    codes,
+    decontaminate,
+    html_text,
+    jaccard,
+    langid,
+    licenses,
+    negatives,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    tokens,
+    warc,
+)
 from tidemark.llm.common import stored, table
 from tidemark.session import shared_dir
 
@@ -76,7 +90,26 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.prepared(table(spark, sf_dir, "embeddings"), label=label)
+    return negatives.mine(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, codebooks = codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = stored(rows, "vector-codes")
+    by_label = rows.groupBy(F.col("label").alias("of_label")).agg(F.sum("error").alias("label_error"))
+    return rows.join(by_label, F.col("label").eqNullSafe(F.col("of_label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest(codebooks)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_benchmark_decontamination, op2_language_id, op3_token_counts, op4_license_scans, op5_suffix_array_dedup, op6_packing,
-        op7_warc, op8_quality_rules, op9_ngram_jaccard_join, op10_html_extraction)}
+        op7_warc, op8_quality_rules, op9_ngram_jaccard_join, op10_html_extraction, op11_simhash_near_dedup,
+        op12_hard_negatives, op13_vector_codes)}
