@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import BUCKET_WIDTHS, running_total, with_previous
+
 # Shapes of the progress lines, the error filter, and exit codes.
 TRIGGER_MS = 30_000
-BUCKET_WIDTHS = (3_600_000,)
 LINE_TIME = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3})"
 LINE_LEVEL = r" - (DEBUG|INFO|WARNING|ERROR|CRITICAL) - "
 LINE_STAGE = r"\[(Bronze|Silver|Expire)\] Batch [0-9]+"
@@ -32,8 +33,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "text")
 
 
-def parse_batches(lines: DataFrame) -> DataFrame:
-    """Batch progress lines: time, level, stage, batch, outcome, detail.
+def parse_batches(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Batch progress lines: time, level, stage, batch, outcome, detail, after the columns to keep.
 
     The colon after the batch number and the stage are optional in the input.
     """
@@ -46,6 +47,7 @@ def parse_batches(lines: DataFrame) -> DataFrame:
     # the plain search drops most lines of a log before any pattern is tried
     progress = lines.where(text.contains("Batch ") & text.rlike(LINE_BATCH))
     parsed = progress.select(
+        *keep,
         F.to_timestamp(part(LINE_TIME), "yyyy-MM-dd HH:mm:ss,SSS").alias("logged_at"),
         part(LINE_LEVEL).alias("level"),
         part(LINE_STAGE).alias("stage"),
@@ -62,7 +64,7 @@ def parse_batches(lines: DataFrame) -> DataFrame:
         .when(detail.startswith("expire_snapshots OK"), "expired")
         .otherwise("other")
     )
-    return parsed.select("logged_at", "level", "stage", "batch_id", outcome.alias("outcome"), "detail")
+    return parsed.select(*keep, "logged_at", "level", "stage", "batch_id", outcome.alias("outcome"), "detail")
 
 
 # Spark's warnings about slow batches and large tasks, as its log prints them.
@@ -111,37 +113,6 @@ def behind_trend(behind: DataFrame) -> DataFrame:
     )
 
 
-def _with_previous(
-    rows: DataFrame, series: str, clock: str, ties: Sequence[str], widths: Sequence[int]
-) -> DataFrame:
-    """rows with `_previous`, the clock of the row before in the same series.
-
-    Rows are compared inside time buckets of the first width. A bucket's first
-    row takes the last clock of the nearest earlier bucket, found the same way
-    among the last clocks of all buckets, with the next width.
-    """
-    width, *wider = widths
-    bucket = f"_bucket{len(wider)}"
-    placed = rows.withColumn(bucket, F.expr(f"`{clock}` div {width} - int(`{clock}` % {width} < 0)"))
-    inside = Window.partitionBy(series, bucket).orderBy(clock, *ties)
-    ends = placed.groupBy(series, bucket).agg(F.max(clock).alias("_end"))
-    if wider:
-        before = _with_previous(ends, series, "_end", [], wider)
-    else:
-        across = Window.partitionBy(series).orderBy(bucket)
-        before = ends.withColumn("_previous", F.lag("_end").over(across))
-    carried = before.select(
-        F.col(series).alias("_series"), F.col(bucket).alias("_in_bucket"), F.col("_previous").alias("_carried")
-    )
-    # rows without a series are one series too
-    same = F.col(series).eqNullSafe(F.col("_series")) & F.col(bucket).eqNullSafe(F.col("_in_bucket"))
-    return (
-        placed.withColumn("_inside", F.lag(clock).over(inside))
-        .join(carried, same, "left")
-        .select(*rows.columns, F.coalesce("_inside", "_carried").alias("_previous"))
-    )
-
-
 def batch_gaps(
     batches: DataFrame, series: str, clock_ms: str, batch: str, widths: Sequence[int] = BUCKET_WIDTHS
 ) -> DataFrame:
@@ -152,7 +123,7 @@ def batch_gaps(
     many rows a second more levels, such as (1_000, 60_000, 86_400_000): then it is
     the rows of a second, the seconds of a minute, the minutes of a day, the days.
     """
-    previous = _with_previous(batches, series, clock_ms, [batch], widths)
+    previous = with_previous(batches, series, clock_ms, [batch], widths)
     return previous.select(*batches.columns, (F.col(clock_ms) - F.col("_previous")).alias("gap_ms"))
 
 

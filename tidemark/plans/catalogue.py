@@ -12,7 +12,7 @@ from tidemark.contracts import LATEST_VALID_GROUPS, Contract, whole_row_group
 from tidemark.functions.alarms import alarms_paths, alarms_struct
 from tidemark.functions.clocks import date_parts, local_time, minutes_between
 from tidemark.functions.validity import bms_flag, iot_flag
-from tidemark.operators import maintenance, opslog, parity
+from tidemark.operators import digest, lifetimes, maintenance, opslog, parity, runs, traces, trend
 from tidemark.operators.bronze import PARTITIONS, to_bronze, with_local_clocks
 from tidemark.operators.decode import BAD_REASON, decode_counts, decode_json
 from tidemark.operators.latest import (
@@ -61,6 +61,18 @@ ERROR_LINES = {
     "purchase": "ERROR - Failed to reach the broker",
     "error": "ERROR - org.apache.spark.SparkException: Job aborted",
 }
+TRACE_LINES = {
+    "click": "ERROR - [Silver] Batch {n} FAILED (bronze succeeded): org.apache.spark.SparkException: Job aborted{frames}"
+             "\nCaused by: java.io.IOException: no space left\n\tat java.io.File.write(File.java:12)\n\t... 12 more"
+             "\nCaused by: java.lang.IllegalStateException: stopped\n\t... 3 more",
+    "view": "INFO - [Bronze] Batch {n}: written (4 files)",
+    "signup": "WARNING - retrying after java.net.SocketTimeoutException: read timed out",
+    "purchase": "INFO - [Silver] Batch {n}: upserted",
+    "error": "ERROR - streaming query failed\nTraceback (most recent call last):"
+             "\n  File \"job.py\", line 7, in run\n    start(n){frames}\nValueError: no such column",
+}
+TRACE_FRAME = "\n\tat org.apache.spark.Task.run(Task.scala:141)"
+RUN_EXITS = (0, 137, 143, 11, 1)
 EXIT_BY_TYPE = {"click": 0, "view": 137, "signup": 143, "purchase": 11, "error": 1}
 
 
@@ -433,6 +445,60 @@ def parity_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.column_diff(orders, order_copy(orders), ["o_orderkey"])
 
 
+def parity_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load_table(spark, sf_dir, "orders")
+    return digest.digest_diff(orders, order_copy(orders), ["o_orderkey"])
+
+
+def snapshot_lifetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(lifetimes.snapshot_lifetimes(commit_history(spark, sf_dir)))
+
+
+def snapshot_retained_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(lifetimes.retained_curve(lifetimes.snapshot_lifetimes(commit_history(spark, sf_dir))))
+
+
+def behind_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether batch times, and the sizes of large tasks, creep up over all hours of the log."""
+    behind = opslog.parse_behind(warning_lines(spark, sf_dir))
+    points = trend.bucket_means(behind, "kind", F.col("logged_at"), F.coalesce("took_ms", "task_kib"))
+    return trend.trend_verdict(points, "kind")
+
+
+def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record for each event, of one line or of several."""
+    frames = F.repeat(F.lit(TRACE_FRAME), (F.col("event_id") % 4).cast("int"))
+    record = F.coalesce(*[
+        F.when(F.col("event_type") == kind, F.replace(F.replace(F.lit(text), F.lit("{n}"), F.col("event_id").cast("string")), F.lit("{frames}"), frames))
+        for kind, text in TRACE_LINES.items()
+    ])
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")
+    return load_table(spark, sf_dir, "events").select(F.concat_ws(" - ", stamp, record).alias("text"))
+
+
+def error_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of several lines written to log files, read back line by line and put together again."""
+    path = shared_dir(spark, "log")
+    trace_lines(spark, sf_dir).write.text(path)
+    return plain_times(traces.error_traces(traces.read_ordered_lines(spark, path)).drop("file"))
+
+
+def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of three jobs: a batch line for each event, or the exit of the job's driver."""
+    number = F.col("event_id").cast("string")
+    codes = F.array(*map(F.lit, RUN_EXITS))
+    code = F.element_at(codes, (F.expr("event_id div 97") % len(RUN_EXITS) + 1).cast("int")).cast("string")
+    line = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("INFO - driver ended, exit code "), code)).otherwise(
+        F.concat(F.lit("INFO - [Bronze] Batch "), number, F.lit(": written (4 files)")))
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")
+    return load_table(spark, sf_dir, "events").select((F.col("event_id") % 3).alias("job"), F.concat_ws(" - ", stamp, line).alias("text"))
+
+
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = run_lines(spark, sf_dir)
+    return plain_times(runs.run_summary(opslog.parse_batches(lines, ["job"]), runs.parse_exits(lines, ["job"]), "job"))
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_inventory({t: load_table(spark, sf_dir, t) for t in TABLES})
 
@@ -579,6 +645,12 @@ _QUERIES: dict[str, Query] = {
     "exit_codes": exit_codes,
     "parity_rows": parity_rows,
     "parity_columns": parity_columns,
+    "parity_digest": parity_digest,
+    "snapshot_lifetimes": snapshot_lifetimes,
+    "snapshot_retained_curve": snapshot_retained_curve,
+    "behind_verdict": behind_verdict,
+    "error_traces": error_traces,
+    "run_summary": run_summary,
     "table_inventory": inventory,
     "decode_clock_edges": decode_clock_edges,
     "latest_edges": latest_edges,

@@ -144,8 +144,29 @@ r AS (SELECT o_orderkey,
   CASE WHEN o_orderpriority='1-URGENT' AND o_orderstatus='P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
   o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_totalprice <= 450000)
 """
+_LIFETIMES = """
+WITH n AS (SELECT event_type AS "table", event_id AS snapshot_id, ts AS committed_at,
+  lead(ts, 20) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS pushed_out FROM events),
+life AS (SELECT "table", snapshot_id, committed_at,
+  CASE WHEN pushed_out IS NOT NULL THEN greatest(committed_at + INTERVAL 6 HOUR, pushed_out) END AS expires_at,
+  CASE WHEN pushed_out IS NULL THEN 'newest' WHEN pushed_out > committed_at + INTERVAL 6 HOUR THEN 'number' ELSE 'age' END AS kept_by
+  FROM n)
+"""
 _ORDER_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
+_PARITY_COLUMNS = (
+    _ORDER_COPY
+    + "SELECT '(left only)' AS column_name, count(*) AS n_keys FROM l ANTI JOIN r USING (o_orderkey) "
+    "UNION ALL SELECT '(right only)', count(*) FROM r ANTI JOIN l USING (o_orderkey) "
+    "UNION ALL SELECT '(repeated key)', count(*) FROM "
+    "(SELECT o_orderkey FROM l GROUP BY 1 HAVING count(*) > 1) "
+    + " ".join(
+        f"UNION ALL SELECT '{c}', count(*) FROM l JOIN r USING (o_orderkey) "
+        f"WHERE l.{c} IS DISTINCT FROM r.{c}"
+        for c in _ORDER_COLUMNS
+    )
+)
+
 
 def oracle_sql() -> dict[str, str]:
     flags = (
@@ -253,16 +274,54 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT *, 0::BIGINT AS n_left_only, 1::BIGINT AS n_right_only FROM
               (SELECT * FROM r EXCEPT ALL SELECT * FROM l)""",
-        "parity_columns": _ORDER_COPY
-        + "SELECT '(left only)' AS column_name, count(*) AS n_keys FROM l ANTI JOIN r USING (o_orderkey) "
-        "UNION ALL SELECT '(right only)', count(*) FROM r ANTI JOIN l USING (o_orderkey) "
-        "UNION ALL SELECT '(repeated key)', count(*) FROM "
-        "(SELECT o_orderkey FROM l GROUP BY 1 HAVING count(*) > 1) "
-        + " ".join(
-            f"UNION ALL SELECT '{c}', count(*) FROM l JOIN r USING (o_orderkey) "
-            f"WHERE l.{c} IS DISTINCT FROM r.{c}"
-            for c in _ORDER_COLUMNS
-        ),
+        "parity_columns": _PARITY_COLUMNS,
+        "parity_digest": _PARITY_COLUMNS,
+        "snapshot_lifetimes": _LIFETIMES + "SELECT * FROM life",
+        "snapshot_retained_curve": _LIFETIMES + """
+            SELECT "table", "at", CAST(sum(sum(step)) OVER (PARTITION BY "table" ORDER BY "at") AS BIGINT) AS retained FROM (
+              SELECT "table", committed_at AS "at", 1 AS step FROM life
+              UNION ALL SELECT "table", expires_at, -1 FROM life WHERE expires_at IS NOT NULL)
+            GROUP BY "table", "at" """,
+        "behind_verdict": _WARNINGS + """,
+            h AS (SELECT kind, epoch_ms(date_trunc('hour', logged_at))::HUGEINT // 1000 AS x,
+              floor(sum(coalesce(took_ms, task_kib)) / count(*)::DOUBLE)::HUGEINT AS y FROM p GROUP BY ALL),
+            s AS (SELECT a.kind, sum(sign(b.y - a.y))::BIGINT AS s FROM h a JOIN h b ON a.kind = b.kind AND a.x < b.x GROUP BY 1),
+            t AS (SELECT kind, sum(c * (c - 1) * (2 * c + 5)) AS tied FROM (SELECT kind, y, count(*) AS c FROM h GROUP BY 1, 2) GROUP BY 1),
+            m AS (SELECT kind, count(*) AS n, (count(*) * sum(x * y) - sum(x) * sum(y))::DOUBLE AS over,
+              (count(*) * sum(x * x) - sum(x) * sum(x))::DOUBLE AS under FROM h GROUP BY 1),
+            z AS (SELECT kind, n, coalesce(s, 0) AS s, over, under, (n * (n - 1) * (2 * n + 5) - tied)::DOUBLE / 18.0::DOUBLE AS variance
+              FROM m JOIN t USING (kind) LEFT JOIN s USING (kind)),
+            v AS (SELECT kind, n AS n_points, s, CASE WHEN variance > 0 THEN (s - sign(s)) / sqrt(variance) ELSE 0.0::DOUBLE END AS z,
+              CASE WHEN under <> 0 THEN over / under * 3600 END AS slope FROM z)
+            SELECT kind, n_points, s::BIGINT AS s, round(z, 6) AS z, round(slope, 6) AS slope_per_hour,
+              CASE WHEN z > 1.959964 THEN 'creeping' WHEN z < -1.959964 THEN 'falling' ELSE 'flat' END AS verdict FROM v""",
+        "error_traces": """
+            SELECT date_trunc('millisecond', ts) AS logged_at, CASE event_type WHEN 'signup' THEN 'WARNING' ELSE 'ERROR' END AS level,
+              CASE event_type WHEN 'click' THEN 'org.apache.spark.SparkException' WHEN 'error' THEN 'ValueError'
+                ELSE 'java.net.SocketTimeoutException' END AS error_class,
+              CASE event_type WHEN 'click' THEN 'java.io.IOException < java.lang.IllegalStateException' ELSE '' END AS causes,
+              CASE event_type WHEN 'click' THEN 'java.lang.IllegalStateException' WHEN 'error' THEN 'ValueError'
+                ELSE 'java.net.SocketTimeoutException' END AS root_class,
+              CASE event_type WHEN 'click' THEN 6 + event_id % 4 WHEN 'error' THEN 5 + event_id % 4 ELSE 1 END AS n_lines,
+              CASE event_type WHEN 'click' THEN 1 + event_id % 4 WHEN 'error' THEN 1 + event_id % 4 ELSE 0 END AS n_frames
+            FROM events WHERE event_type IN ('click', 'error', 'signup')""",
+        "run_summary": """
+            WITH l AS (SELECT event_id % 3 AS job, date_trunc('millisecond', ts) AS logged_at, epoch_us(ts) // 1000 AS ms,
+                CASE WHEN event_id % 97 <> 0 THEN event_id END AS batch_id,
+                CASE WHEN event_id % 97 = 0 THEN [0, 137, 143, 11, 1][(event_id // 97) % 5 + 1] END AS code FROM events),
+            g AS (SELECT *, coalesce(ms - lag(ms) OVER o > 1800000, false)::INTEGER AS silent,
+                coalesce((lag(code) OVER o IS NOT NULL), false)::INTEGER AS after_exit
+              FROM l WINDOW o AS (PARTITION BY job ORDER BY ms, code IS NOT NULL, batch_id, code)),
+            r AS (SELECT *, sum(silent + after_exit) OVER (PARTITION BY job ORDER BY ms, code IS NOT NULL, batch_id, code
+                ROWS UNBOUNDED PRECEDING) AS run FROM g),
+            s AS (SELECT job, min(logged_at) AS started_at, max(logged_at) AS ended_at, count(batch_id) AS n_lines,
+                arg_min(batch_id, (ms, batch_id)) FILTER (batch_id IS NOT NULL) AS first_batch,
+                arg_max(batch_id, (ms, batch_id)) FILTER (batch_id IS NOT NULL) AS last_batch, max(code)::INTEGER AS code,
+                (max(ms) - min(ms))::DOUBLE / 1000 AS length_s FROM r GROUP BY job, run)
+            SELECT * FROM s LEFT JOIN (VALUES (0, 'Completed', 'clean shutdown'),
+              (137, 'OOMKilled', 'container exceeded its memory limit'),
+              (143, 'Error', 'container received SIGTERM'),
+              (11, 'Error', 'driver application exit')) AS d(code, reason, meaning) USING (code)""",
         "decode_clock_edges": EDGE_CTE + f"""
             SELECT event_id, "deviceID", CASE WHEN ts {_FAR} THEN {_local('ts')} END AS ts, "pushedAt", "consumedAt",
               round((CASE WHEN event_id % 19 = 0 THEN "pushedAt"::HUGEINT - ts ELSE "pushedAt" - ts END)::DOUBLE / 60000.0::DOUBLE, 2) AS "timeLatency",
