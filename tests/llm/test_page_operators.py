@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import io
 import json
+import time
 import zlib
 from pathlib import Path
 
@@ -132,6 +133,49 @@ def test_recurring_subtrees_go_per_section_of_a_large_host(spark):
     assert all(got[200 + i].startswith("Site line\nAll of s1\nOwn") for i in range(3))
 
 
+def extracted(spark, docs):
+    frame = spark.createDataFrame([(*d, 1, "x", b"y", 2) for d in docs], "page_id long, url string, html string, n int, host string, row binary, hash long")
+    return {r.page_id: r.text for r in html_text.extract_text(frame).collect()}
+
+
+def test_repetition_takes_furniture_and_leaves_shared_prose(spark):
+    menu = "<div><div><a href=/a>News</a> <a href=/b>Sport</a></div><div>Members login</div></div>"
+    notice = "<div><p>This site tells you on every page that it keeps a note of your visit.</p></div>"
+    quoted = "<div><p>A passage that some articles of this site quote in full, as they may.</p></div>"
+    link_box = "<ul><li><a href=/1>First</a></li><li><a href=/2>Second</a></li></ul>"
+
+    def page(i):
+        own = f"<div><h1>Headline {i}</h1><p>Paragraph of page {i}.</p>{quoted if i % 3 == 0 else ''}</div>"
+        return f"<body>{menu}{own}{notice}<div>All rights reserved {'' if i % 2 else 'here'}</div></body>"
+
+    docs = [(i, f"http://one.example/{i}", page(i)) for i in range(30)]
+    # in an explicit article: links and labels go, headings and paragraphs stay however often they occur
+    docs += [(100 + i, f"http://two.example/{i}", f"<article><h2>Daily report</h2>{link_box}<div>Advertisement</div><p>Report {i}.</p>"
+              f"<p>As always.</p></article>") for i in range(12)]
+    got = extracted(spark, docs)
+    quote = "\nA passage that some articles of this site quote in full, as they may."
+    assert got == {i: f"Headline {i}\nParagraph of page {i}.{quote if i % 3 == 0 else ''}" for i in range(30)} | {
+        100 + i: f"Daily report\nReport {i}.\nAs always." for i in range(12)}
+
+
+def test_furniture_goes_by_number_of_pages_whatever_the_host_holds(spark):
+    """Four pages of a large host that share a menu are enough; three are not."""
+    docs = [(i, f"http://one.example/{i}", f"<div>Line {i if i >= 7 else 'of four' if i < 4 else 'of three'}</div><p>Own {i}.</p>") for i in range(120)]
+    got = extracted(spark, docs)
+    assert all(got[i] == f"Own {i}." for i in range(4)) and all(got[i] == f"Line of three\nOwn {i}." for i in range(4, 7))
+    assert all(got[i] == f"Line {i}\nOwn {i}." for i in range(7, 120))
+
+
+@pytest.mark.parametrize("source", [
+    "<div>" * 200_000, "<p>" * 200_000, "<ul><li>" * 100_000, "<article><p>" + "<span>" * 100_000 + "</p>" * 100_000,
+    "<span>" * 100_000 + "</p>" * 100_000, "<b>x</i>" * 100_000, "<p title='" * 100_000])
+def test_deep_and_long_pages_take_linear_time(source):
+    start = time.process_time()
+    page = Page(source)
+    page.text(frozenset(h for h, _ in page.candidates().values()))
+    assert page.identity() and time.process_time() - start < 20
+
+
 def test_given_pages(run, spark, sf_dir):  # noqa: F811
     import html
     import re

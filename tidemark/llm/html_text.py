@@ -1,22 +1,23 @@
 """Main text of web pages, with templates found by counting element subtrees per host.
 
-Structure decides first: what lies in navigation, headers, footers, asides, forms, scripts and the like,
-by element, role or class name, is not text of the article; an article or main element, where there is
-one, bounds it. What structure leaves open is settled by repetition: each remaining subtree is hashed
-with its tags, names and text, Spark counts per host on how many distinct pages a hash occurs, and subtrees
-on at least `min_pages` distinct pages and `min_share` of the host's distinct pages are deleted. Pages whose
-text by structure is the same (mirrors, visits at several times, repeated rows) are one, so copies of a page
-do not make its text a template. The same holds within each section of a host, the pages below one leading
-path segment, since a section of a large host has menus and notices of its own. Inside an explicit article only subtrees that consist of links for the most
-part can be deleted so.
-
-A host or section has at most (elements per page / min_share) such hashes, so its list is bounded; if all
-lists are small Spark broadcasts them, otherwise pages and lists meet in joins that may split a large host.
-A section's list has only what its host's has not.
+Repetition decides first. Each subtree of a page is hashed with its tags, names and text, and Spark counts per
+host on how many distinct pages a hash occurs. What a template repeats is furniture: subtrees that are links for
+the most part, or short text outside paragraphs and headings. Furniture on at least `min_pages` distinct pages of
+a host is deleted, whatever the size of the host, and inside an article too if it is links or a label. A
+subtree with paragraphs or headings is prose, which articles share as well: it goes only where it is on
+`prose_pages` pages and `prose_share` of all distinct pages of the host, as a notice on every page is, and never
+inside an explicit article. Pages with the same paragraphs and headings are one page, so copies of a page,
+whatever surrounds them, do not make its text a template.
+
+Structure settles the rest: what lies in navigation, headers, footers, asides, forms, scripts and the like, by
+element, role or class name, is not text of the article; an article or main element, where there is one,
+bounds it.
+
+Templates stay rows of (host, hash), and a page gets those that it holds, so nothing grows with a host.
 
 Edge cases: NULL or empty html gives an empty text; unclosed, misnested and truncated markup is closed
-where the page ends; pages without a host have no template. NULL ids and repeated rows are kept; other
-input columns are ignored.
+where the page ends, in time linear in the page however deep it nests; pages without a host have no template.
+NULL ids and repeated rows are kept; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-MIN_PAGES, MIN_SHARE = 4, 0.2
+MIN_PAGES = 4
+PROSE_PAGES, PROSE_SHARE = 8, 0.8
+SHORT, LABEL = 300, 40
 # Names of elements, roles and classes by what they are for.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q "
@@ -50,16 +53,46 @@ OUTSIDE_PARTS = frozenset("ad ads advert adverts adsense sponsor sponsored promo
                           "comment comments disqus newsletter popup modal navbar menu breadcrumbs".split())
 MAIN = frozenset("article main".split())
 KEPT = frozenset("html body article main".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+HIDDEN = frozenset("head script style noscript template title".split())
+STRAY = frozenset("p div span li b i a".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 "
                      "h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-SELF_CLOSING = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
-                "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
+SELF_CLOSING = {tag: (old.split(), within.split()) for tag, old, within in (
+    ("li", "li", "ul ol menu"), ("dt", "dt dd", "dl"), ("dd", "dt dd", "dl"), ("tr", "tr td th", "table"),
+    ("td", "td th", "tr table"), ("th", "td th", "tr table"), ("option", "option", "select"))}
+P_CLOSING = (["p"], ["table", "button", "object", "article", "main"])
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
+class _Stack:
+    """Open elements, with the places of each tag among them: closing asks for places and pops what it closes."""
+
+    def __init__(self):
+        self.nodes, self.tags, self.places, self.top = [0], [""], {}, 0
+
+    def push(self, node: int, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.tags.append(tag)
+        self.top = node
+
+    def _last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, tags, within) -> None:
+        """Close the innermost open element of these tags, unless one of within is further inside."""
+        at = self._last(tags)
+        if at > self._last(within):
+            while len(self.nodes) > at:
+                self.nodes.pop()
+                self.places[self.tags.pop()].pop()
+            self.top = self.nodes[-1]
+
+
 class Page:
     """Elements of a page in order, with what structure says of them, and its texts and breaks."""
 
@@ -95,13 +128,13 @@ class Page:
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
-        stack, at, end = [0], 0, len(source)
-        runs, tags = self.runs, self.tag
+        stack, at, end = _Stack(), 0, len(source)
+        runs = self.runs
         while at < end:
             m = TAG.search(source, at)
             stop = m.start() if m else end
             if stop > at:
-                runs.append((stack[-1], source[at:stop]))
+                runs.append((stack.top, source[at:stop]))
             if not m:
                 break
             at = m.end()
@@ -110,69 +143,72 @@ class Page:
                 continue
             closing, attributes = m[1] or m[4], m[3] or m[6] or ""
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if tags[stack[i]] == tag:
-                        del stack[i:]
-                        break
-                    if tags[stack[i]] in MAIN and tag in ("p", "div", "span", "li", "b", "i", "a"):
-                        break  # a stray end tag does not close the article around it
+                # a stray end tag does not close the article around it
+                stack.close((tag,), MAIN if tag in STRAY else ())
                 if tag not in INLINE:
-                    runs.append((stack[-1], None))
+                    runs.append((stack.top, None))
                 continue
             if tag in CLOSES_P:
-                self._close(stack, ("p",), ("table", "button", "object", *MAIN))
+                stack.close(*P_CLOSING)
             elif tag in SELF_CLOSING:
-                old, within = SELF_CLOSING[tag]
-                self._close(stack, old.split(), within.split())
+                stack.close(*SELF_CLOSING[tag])
             if tag not in INLINE:
-                runs.append((stack[-1], None))
-            node = self._open(stack[-1], tag, attributes)
+                runs.append((stack.top, None))
+            node = self._open(stack.top, tag, attributes)
             if tag in RAW:
                 found = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
                 if not self.out[node]:
                     runs.append((node, source[at:found.start() if found else end]))
                 at = found.end() if found else end
             elif tag not in VOID and not attributes.endswith("/"):
-                stack.append(node)
-
-    def _close(self, stack: list[int], tags, within) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[i]] in tags:
-                del stack[i:]
-                return
-            if self.tag[stack[i]] in within:
-                return
-
-    def candidates(self) -> dict[int, int]:
-        """Hashes of the subtrees that repetition may delete, by element."""
+                stack.push(node, tag)
+
+    def candidates(self) -> dict[int, tuple[int, bool]]:
+        """Subtrees that repetition may delete, by element: their hash, and whether they are prose."""
         n = len(self.tag)
-        open_ = [not self.out[i] and self.tag[i] not in KEPT and i > 0 and (self.inner[i] or not self.has_main) for i in range(n)]
-        if not any(open_):
-            return {}
         body = [hashlib.blake2b(f"{self.tag[i]} {self.names[i]}".encode("utf-8", "surrogatepass"), digest_size=8) for i in range(n)]
-        size, linked = [0] * n, [0] * n
-        in_link = [False] * n
+        size, linked, prose = [0] * n, [0] * n, [0] * n
+        in_link, in_prose, hidden = [False] * n, [False] * n, [False] * n
         for i in range(1, n):
-            in_link[i] = self.tag[i] == "a" or in_link[self.parent[i]]
+            p, tag = self.parent[i], self.tag[i]
+            in_link[i] = in_link[p] or tag == "a"
+            in_prose[i] = in_prose[p] or tag in PROSE
+            hidden[i] = hidden[p] or tag in HIDDEN
         for i, text in self.runs:
             if text and (flat := " ".join(text.split())):
                 body[i].update(flat.encode("utf-8", "surrogatepass"))
                 size[i] += len(flat)
                 linked[i] += len(flat) if in_link[i] else 0
+                prose[i] += len(flat) if in_prose[i] and not in_link[i] else 0
         out = {}
         for i in range(n - 1, 0, -1):  # children come after their parents
             p, digest = self.parent[i], body[i].digest()
             body[p].update(digest)
-            size[p] += size[i]
-            linked[p] += linked[i]
-            if open_[i] and size[i] and self.tag[i] not in INLINE and (not self.inner[i] or 2 * linked[i] > size[i]):
-                out[i] = int.from_bytes(digest, "little", signed=True)
+            for counts in (size, linked, prose):
+                counts[p] += counts[i]
+            if not size[i] or hidden[i] or self.tag[i] in KEPT or self.tag[i] in INLINE:
+                continue
+            links = 2 * linked[i] > size[i]
+            furniture = links or (not prose[i] and size[i] <= (LABEL if self.inner[i] else SHORT))
+            if furniture or not self.inner[i]:
+                out[i] = int.from_bytes(digest, "little", signed=True), not furniture
         return out
 
+    def identity(self) -> bytes:
+        """Digest of the paragraphs and headings, or of all text by structure if there are none."""
+        held, in_prose = [], [False] * len(self.tag)
+        for i in range(1, len(self.tag)):
+            in_prose[i] = in_prose[self.parent[i]] or self.tag[i] in PROSE
+        for i, text in self.runs:
+            if text and in_prose[i] and not self.out[i]:
+                held += text.split()
+        whole = " ".join(held) or self.text()
+        return hashlib.blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
     def text(self, recurring: frozenset[int] | set[int] = frozenset()) -> str:
         gone = list(self.out)
         if recurring:
-            dropped = {i for i, h in self.candidates().items() if h in recurring}
+            dropped = {i for i, (h, _) in self.candidates().items() if h in recurring}
             for i in range(1, len(gone)):
                 gone[i] = gone[i] or i in dropped or gone[self.parent[i]]
         blocks, held = [], []
@@ -193,60 +229,66 @@ def host(url):
     return F.when(found != "", found)
 
 
-def section(url):
-    """The leading path segment of a URL that has something below it, or NULL."""
-    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)/", 1)
-    return F.when(found != "", found)
-
+def _subtrees(pages: DataFrame) -> DataFrame:
+    """(host, row, page, hash, prose): the candidates of each page, and a row without a hash for the page itself.
 
-def recurring_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, section, hashes): the subtrees that make up the template of each host, where section is NULL, and of its sections."""
-    known = pages.select(host(F.col("url")).alias("host"), section(F.col("url")).alias("section"),
-                         F.coalesce("html", F.lit("")).alias("html")).where("host is not null")
+    row is a digest of the html, page one of what makes the page distinct.
+    """
+    known = pages.select(F.col("host"), F.col("row"), F.col("html")).where("host is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, sections, digests, hashes = [], [], [], []
-            for name, part, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            hosts, rows, digests, hashes, proses = [], [], [], [], []
+            for name, row, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 page = Page(source)
-                own = [None, *set(page.candidates().values())]  # None stands for the page
-                digest = hashlib.blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                for scope in [None] if part is None else [None, part]:
-                    hosts += [name] * len(own)
-                    sections += [scope] * len(own)
-                    digests += [digest] * len(own)
-                    hashes += own
+                own = [(None, None), *set(page.candidates().values())]
+                hosts += [name] * len(own)
+                rows += [row] * len(own)
+                digests += [page.identity()] * len(own)
+                hashes += [h for h, _ in own]
+                proses += [p for _, p in own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(sections, pa.string()), pa.array(digests, pa.binary()), pa.array(hashes, pa.int64())],
-                names=["host", "section", "page", "hash"])
+                [pa.array(hosts, pa.string()), pa.array(rows, pa.binary()), pa.array(digests, pa.binary()),
+                 pa.array(hashes, pa.int64()), pa.array(proses, pa.bool_())], names=["host", "row", "page", "hash", "prose"])
+
+    return known.mapInArrow(run, "host string, row binary, page binary, hash long, prose boolean")
+
+
+def _placed(pages: DataFrame) -> DataFrame:
+    text = F.coalesce("html", F.lit(""))
+    return pages.select("page_id", "url", text.alias("html"), host(F.col("url")).alias("host"), F.unhex(F.md5(text)).alias("row"))
+
 
-    counted = stored(known.mapInArrow(run, "host string, section string, page binary, hash long").distinct().groupBy(
-        "host", "section", "hash").count().where(F.col("count") >= min_pages), "subtrees")
-    of_scope = counted.where("hash is null").select(F.col("host").alias("h"), F.col("section").alias("s"), F.col("count").alias("pages"))
-    found = stored(counted.where("hash is not null").join(
-        of_scope, (F.col("host") == F.col("h")) & F.col("section").eqNullSafe(F.col("s"))).where(
-            F.col("count") >= min_share * F.col("pages")).select("host", "section", "hash"), "recurring")
-    whole, own = found.where("section is null"), found.where("section is not null")
-    return whole.union(own.join(whole.select("host", "hash"), ["host", "hash"], "left_anti").select("host", "section", "hash")).groupBy(
-        "host", "section").agg(F.collect_list("hash").alias("hashes"))
+def recurring_subtrees(
+    subtrees: DataFrame, min_pages: int = MIN_PAGES, prose_pages: int = PROSE_PAGES, prose_share: float = PROSE_SHARE
+) -> DataFrame:
+    """(host, hash): the subtrees that make up the template of each host."""
+    counted = stored(subtrees.select("host", "page", "hash", "prose").distinct().groupBy("host", "hash").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and("prose").alias("prose")).where(F.col("hash").isNull() | (F.col("n") >= min_pages)), "subtree-counts")
+    furniture = counted.where("hash is not null and not prose").select("host", "hash")
+    sites = counted.where("hash is null").select(F.col("host").alias("site"), F.col("n").alias("pages"))
+    prose = counted.where((F.col("n") >= prose_pages) & F.col("hash").isNotNull() & F.col("prose"))
+    everywhere = prose.join(sites, F.col("host") == F.col("site")).where(F.col("n") >= prose_share * F.col("pages"))
+    return furniture.unionByName(everywhere.select("host", "hash"))
 
 
-def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract_text(
+    pages: DataFrame, min_pages: int = MIN_PAGES, prose_pages: int = PROSE_PAGES, prose_share: float = PROSE_SHARE
+) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    templates = stored(recurring_subtrees(pages, min_pages, min_share), "templates")
-    whole = templates.where("section is null").select(F.col("host").alias("site"), F.col("hashes").alias("of_host"))
-    own = templates.where("section is not null").select(
-        F.col("host").alias("part_site"), F.col("section").alias("part"), F.col("hashes").alias("of_section"))
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host(F.col("url")).alias("host"),
-                        section(F.col("url")).alias("section")).join(whole, F.col("host") == F.col("site"), "left").join(
-        own, (F.col("host") == F.col("part_site")) & (F.col("section") == F.col("part")), "left").select(
-            "page_id", "url", "html", "of_host", "of_section")
+    placed = _placed(pages)
+    subtrees = stored(_subtrees(placed), "subtrees")
+    templates = stored(recurring_subtrees(subtrees, min_pages, prose_pages, prose_share), "templates")
+    held = subtrees.where("hash is not null").join(templates, ["host", "hash"])
+    # a page holds at most one hash for each of its elements
+    own = stored(held.groupBy(F.col("host").alias("site"), F.col("row").alias("of_row")).agg(F.collect_set("hash").alias("hashes")), "page-templates")
+    rows = placed.join(own, (F.col("host") == F.col("site")) & (F.col("row") == F.col("of_row")), "left").select("page_id", "url", "html", "hashes")
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(source).text({*(of_host or ()), *(of_section or ())}) for source, of_host, of_section in zip(
-                *(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            texts = [Page(source).text(frozenset(hashes or ())) for source, hashes in zip(
+                *(batch.column(i).to_pylist() for i in (2, 3)), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
