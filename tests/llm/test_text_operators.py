@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -70,6 +71,71 @@ def test_decision_list_finds_a_planted_rule(spark):
     assert not quality.fit_list(examples.where("not bad")).rules
 
 
+def measured_by_hand(text):
+    n_words, chars, symbols, dup, again = counted(text)
+    lines = sum(bool(split(x)) for x in (text or "").split("\n"))
+    of = lambda test: sum(map(test, text or "")) / max(chars, 1)
+    return {"n_words": n_words, "mean_word": chars / max(n_words, 1), "symbol_rate": symbols / max(chars, 1),
+            "dup_line_rate": dup / max(lines, 1), "repeat_rate": again / max(n_words, 1),
+            "upper_rate": of(lambda c: unicodedata.category(c) == "Lu"), "digit_rate": of(lambda c: c in "0123456789"),
+            "mark_rate": of(lambda c: c in "!?")}
+
+
+@pytest.mark.parametrize("n_bad", [20, 30, 300])
+def test_a_clear_rule_is_found_whatever_the_number_of_labels(spark, n_bad):
+    """One in ten is bad and shows it; kept equals the learned rules applied by hand."""
+    rng = random.Random(n_bad)
+    docs = []
+    for i in range(10 * n_bad):
+        word = lambda: rng.choice("abcdefgh") * rng.randint(2, 6)  # noqa: B023, E731
+        docs.append((i, " ".join(word() + ("##" if i % 10 == 0 and k % 4 == 0 else "") for k in range(30))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", quality.measures(F.col("text")).alias("m"))
+    labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i, _ in docs], "doc_id long, quality int")
+    found = quality.fit_list(quality.labelled(frame, labels).persist())
+    kept = {r.doc_id for r in frame.where(found.keeps(F.col("m"))).select("doc_id").collect()}
+    by_hand = {i for i, text in docs if not any(
+        all((measured_by_hand(text)[t.feature] > t.threshold) == t.above for t in rule) for rule in found.rules)}
+    assert found.rules and kept == by_hand == {i for i, _ in docs if i % 10}
+
+
+@pytest.mark.parametrize("n", [40, 400])
+def test_noise_gives_no_rule(spark, n):
+    rng = random.Random(n)
+    docs = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(2, 6) for _ in range(30))) for i in range(n)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", quality.measures(F.col("text")).alias("m"))
+    labels = spark.createDataFrame([(i, rng.randint(0, 1)) for i in range(n)], "doc_id long, quality int")
+    assert not quality.fit_list(quality.labelled(frame, labels).persist()).rules
+
+
+def test_query_keeps_what_the_rules_say(run, spark, sf_dir, documents):
+    rows = run("op8_quality_rules").collect()
+    frame = spark.createDataFrame(list(documents.items()), "doc_id long, text string").select("doc_id", quality.measures(F.col("text")).alias("m"))
+    rules = quality.fit_list(quality.labelled(frame, spark.read.parquet(f"{sf_dir}/labels.parquet")).persist()).rules
+    for r in rows:
+        values = measured_by_hand(documents[r.doc_id])
+        hit = [k + 1 for k, rule in enumerate(rules) if all((values[t.feature] > t.threshold) == t.above for t in rule)]
+        assert r.rule == (hit or [0])[0] and r.kept == (not r.base_failed and not hit)
+
+
+def test_values_at_a_threshold_and_equal_values(spark):
+    """All rows at one value of each measure, then bad rows exactly one symbol above good ones."""
+    same = [(i, "word " * 2 + " ".join("abcdefghijkl")) for i in range(60)]
+    frame = spark.createDataFrame(same, "doc_id long, text string").select("doc_id", quality.measures(F.col("text")).alias("m"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert not quality.fit_list(quality.labelled(frame, labels).persist()).rules
+    docs = [(i, " ".join("abcdefghijkl") + (" ##" if i % 2 == 0 else " #z")) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").select("doc_id", quality.measures(F.col("text")).alias("m"))
+    found = quality.fit_list(quality.labelled(frame, labels).persist())
+    assert {r.doc_id for r in frame.where(found.keeps(F.col("m"))).select("doc_id").collect()} == set(range(1, 60, 2))
+
+
+def test_precision_bounds():
+    assert quality.precision_bound(0, 0, 0.05) == 0 and quality.precision_bound(0, 0, 0.05, upper=True) == 1
+    assert quality.precision_bound(27, 0, 0.05) == pytest.approx(27 / (27 + 1.6448536**2))
+    assert quality.precision_bound(5, 5, 0.05) < 0.5 < quality.precision_bound(5, 5, 0.05, upper=True)
+    assert not quality.accepted(20, 0, 0, 0, 0.1, 100, 0.95, 0.05)
+
+
 # ---- decontamination
 
 def windows_of(items):

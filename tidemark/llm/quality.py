@@ -1,15 +1,18 @@
 """Quality rules: text measures as Column expressions and a learned decision list over them.
 
 The list is fitted by sequential covering. Each rule is a conjunction of threshold tests that is
-grown on two thirds of the labelled rows by information gain, pruned on the rest, and kept only if
-it is precise there; the rows it covers are set aside before the next rule. Every statistic is a
+grown on two thirds of the labelled rows by information gain and pruned on the rest. It is kept if it is
+precise over all of them, the pruning rows do not speak against that, and a confidence bound on its precision,
+corrected for the number of tests it was chosen from, lies above the share of bad rows: how many rows that
+takes follows from the data, not from a count. The rows a rule covers are set aside before the next. Every statistic is a
 Spark aggregate over all labelled rows; the driver sees counts by feature and bin only. The result
 is an ordered CASE expression, so applying it needs neither Python workers nor a shuffle.
 
 Edge cases: NULL and empty texts have no words, hence all measures 0; such rows fail the base rule.
 NULL doc_ids are measured but never labelled. Repeated rows give repeated results. A label that is
 NULL, not 0 or 1, or contradicted by another label of the same document is ignored. Without labels
-of both kinds the list is empty and rejects nothing. Input columns other than id and text are not
+of both kinds the list is empty and rejects nothing. Values equal to a threshold are not above it; equal
+thresholds are one, and of tests that gain the same the first in the order of features and thresholds is taken. Input columns other than id and text are not
 looked at, so their names cannot clash.
 """
 
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,12 +165,31 @@ def labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
             .select("m", "bad", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("prune")))
 
 
+def precision_bound(bad: int, good: int, chance: float, upper: bool = False) -> float:
+    """Wilson's bound on the share of bad rows, exceeded on its side with the given chance."""
+    n = bad + good
+    if n == 0:
+        return 1.0 if upper else 0.0
+    z = NormalDist().inv_cdf(1 - chance)
+    centre, spread = bad / n + z * z / (2 * n), z * math.sqrt(bad * good / n**3 + z * z / (4 * n * n))
+    return (centre + (spread if upper else -spread)) / (1 + z * z / n)
+
+
+def accepted(bad: int, good: int, bad_pruning: int, good_pruning: int, share: float, tries: int,
+             min_precision: float, chance: float) -> bool:
+    """Whether a rule that covers these rows is kept; share is that of bad rows among all rows left."""
+    if bad_pruning + good_pruning == 0 or bad < min_precision * (bad + good):
+        return False
+    fits = precision_bound(bad_pruning, good_pruning, chance, upper=True) >= min_precision
+    return fits and precision_bound(bad, good, chance / tries) > share
+
+
 def fit_list(examples: DataFrame, max_rules: int = 8, max_tests: int = 4, bins: int = 32,
-             min_precision: float = 0.95, min_covered: int = 8) -> DecisionList:
+             min_precision: float = 0.95, chance: float = 0.05) -> DecisionList:
     """Sequential covering over the rows of labelled(), which should be a written table.
 
-    Thresholds are the quantiles of each feature among bad and among good rows. A rule has to
-    cover min_covered bad rows and reach min_precision on rows it was not grown on.
+    Thresholds are the quantiles of each feature among bad and among good rows. Which rules are kept
+    says accepted(); it stops at the first that is not.
     """
     at = [i / bins for i in range(1, bins)]
     cuts_of = examples.groupBy("bad").agg(*(
@@ -174,17 +197,19 @@ def fit_list(examples: DataFrame, max_rules: int = 8, max_tests: int = 4, bins:
     if len(cuts_of) < 2:
         return DecisionList()
     cuts = {f: sorted({float(c) for row in cuts_of for c in (row[f] or [])}) for f in FEATURES}
+    tries = max_tests * 2 * sum(map(len, cuts.values()))
     found = DecisionList()
     while len(found.rules) < max_rules:
         left = examples.where(found.keeps(F.col("m")))
         rule = _grow(left.where(~F.col("prune")), cuts, max_tests)
         if not rule:
             break
-        rule, bad, good = _pruned(left, rule)
-        if bad < min_covered or bad / (bad + good) < min_precision:
+        rule, n = _pruned(left, rule)
+        share = n["bad"] / n["rows"]
+        if not accepted(n["p"], n["n"], n["p_pruning"], n["n_pruning"], share, tries, min_precision, chance):
             break
         found.rules.append(rule)
-        found.precision.append(bad / (bad + good))
+        found.precision.append(n["p"] / (n["p"] + n["n"]))
     return found
 
 
@@ -230,12 +255,14 @@ def _best_test(counts, cuts: dict[str, list[float]]) -> tuple[Test, int] | None:
     return best
 
 
-def _pruned(left: DataFrame, rule: list[Test]) -> tuple[list[Test], int, int]:
-    """The leading tests that do best on the pruning rows, with the bad and good rows they cover there."""
+def _pruned(left: DataFrame, rule: list[Test]) -> tuple[list[Test], dict[str, int]]:
+    """The leading tests that do best on the pruning rows, with the bad (p) and good (n) rows they cover, there and in all."""
     heads = [rule[:k] for k in range(1, len(rule) + 1)]
-    row = left.where("prune").agg(*(
-        F.count_if(_all(h, F.col("m")) & (F.col("bad") if bad else ~F.col("bad"))).alias(f"{'pn'[not bad]}{k}")
-        for k, h in enumerate(heads) for bad in (True, False))).first()
-    scored = [((row[f"p{k}"] - row[f"n{k}"]) / max(1, row[f"p{k}"] + row[f"n{k}"]), -k) for k in range(len(heads))]
-    k = -max(scored)[1]
-    return heads[k], row[f"p{k}"], row[f"n{k}"]
+    bad, pruning = F.col("bad"), F.col("prune")
+    counts = [
+        F.count_if(_all(h, F.col("m")) & (bad if kind == "p" else ~bad) & (pruning if of else F.lit(True))).alias(f"{kind}{of}{k}")
+        for k, h in enumerate(heads) for kind in "pn" for of in ("", "_pruning")]
+    row = left.agg(F.count_if(bad).alias("bad"), F.count(F.lit(1)).alias("rows"), *counts).first()
+    covered = [(row[f"p_pruning{k}"], row[f"n_pruning{k}"]) for k in range(len(heads))]
+    k = -max(((p - n) / max(1, p + n), -k) for k, (p, n) in enumerate(covered))[1]
+    return heads[k], {"bad": row["bad"], "rows": row["rows"], **{c: row[f"{c}{k}"] for c in ("p", "n", "p_pruning", "n_pruning")}}
