@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, packing, quality, substrings
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import free_name, stored, table
 from tidemark.llm.queries import vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list."""
-    measured = docs.select("doc_id", quality.measures(F.col("text")).alias("m"))
-    rules = quality.fit_list(stored(quality.labelled(measured, table(spark, sf_dir, "labels")), "labelled"))
-    keep = quality.let(quality.measures(F.col("text")), lambda m: ~quality.base_failed(m) & rules.keeps(m))
-    return docs.where(keep)
+    name = free_name(docs, "measured")
+    # measuring costs more than writing: each text is measured once, for fitting and for judging
+    measured = stored(docs.withColumn(name, quality.measures(F.col("text"))), "measured")
+    m = F.col(name)
+    rules = quality.fit_list(stored(quality.labelled(measured.select("doc_id", m.alias("m")), table(spark, sf_dir, "labels")), "labelled"))
+    return measured.where(~quality.base_failed(m) & rules.keeps(m)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
