@@ -10,8 +10,10 @@ import duckdb
 import pytest
 from compare import connect, differences
 from llm_helpers import run  # noqa: F401
+from pyspark.sql import functions as F
 
 from tidemark.llm import html_text, oracles, queries, warc
+from tidemark.llm.common import stored
 from tidemark.llm.html_text import Page
 
 LONG = "<p>" + "é" * 80 + "</p>"
@@ -66,6 +68,32 @@ def test_archives_rotate_and_payloads_come_back(spark, pages, tmp_path):
                                      "http://a.x/7", "x%20y%0D%0Az"}
 
 
+def test_every_archive_and_range_has_a_task(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"http://a.x/{i}", f"<p>{i}</p>", 7, "x") for i in range(90)], "page_id long, url string, html string, digest int, archive string")
+    folder = str(tmp_path / "w")
+    made = stored(warc.write_archives(warc.with_verdict(rows.repartition(9)), folder), "archives")
+    assert made.count() == 9
+    normalised = warc.normalise(made, folder, f"{folder}/m")
+    assert normalised.withColumn("task", F.spark_partition_id()).select("task").distinct().count() == 9
+    back = warc.read_archives(normalised.persist(), f"{folder}/m", range_records=5)
+    assert back.withColumn("task", F.spark_partition_id()).select("task").distinct().count() == sum(
+        -(-r.records // 5) for r in made.collect())
+    assert {(r.page_id, r.payload.decode()) for r in back.collect()} == {(str(i), f"<p>{i}</p>") for i in range(90)}
+
+
+def test_no_pages(spark, pages, tmp_path):
+    assert warc.round_trip(spark, pages.where("page_id > 1000"), str(tmp_path / "w")).collect() == []
+
+
+def test_schemes_of_hadoop_connectors():
+    assert [warc.arrow_uri(f"{s}://bucket/x y") for s in ("s3a", "S3N", "s3", "hdfs", "wasbs", "abfss", "viewfs")] == [
+        f"{s}://bucket/x y" for s in ("s3", "s3", "s3", "hdfs", "abfss", "abfss", "viewfs")]
+    assert warc.arrow_uri("/plain/folder") == "/plain/folder"
+    assert warc.file_system("file:///tmp/a%20b")[1] == warc.file_system("file:/tmp/a%20b")[1] == "/tmp/a b"
+    with pytest.raises(ValueError):
+        warc.file_system("nosuch://bucket/x")
+
+
 def test_records_of_whole_streams_members_and_damage():
     records = [warc.record(i, None, "x" * i, "0", None, "d") for i in (0, 5, 3_000_000)]
     whole, members = gzip.compress(b"".join(records)), b"".join(map(gzip.compress, records))

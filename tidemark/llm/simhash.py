@@ -180,6 +180,8 @@ def near_duplicates(
     linked = nodes.join(roots, "node")
     named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     joined = nodes.join(linked.join(named, "root").select("node", "component_id"), "node", "left")
-    names = joined.select(F.col("node").alias("fingerprint"), F.coalesce("component_id", "first_id").alias("component_id"))
+    # a written table on both sides of the last join lets Spark split the documents of one fingerprint
+    names = stored(joined.select(
+        F.col("node").alias("fingerprint"), F.coalesce("component_id", "first_id").alias("component_id")), "simhash-names")
     return marked.join(names, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

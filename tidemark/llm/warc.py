@@ -8,7 +8,8 @@ archive can be read by different tasks. Each archive is one task's work and is r
 leave the same result.
 
 Archives lie below the folder given (the shared one by default) and are reached through pyarrow's file
-systems, which must know its scheme.
+systems. Hadoop's names of object stores (s3a, s3n, wasbs and the like) are put into pyarrow's; another scheme
+that pyarrow does not know is an error before anything is written.
 
 Edge cases: NULL html is an empty payload. Of equal payloads of at least `min_bytes`, the record with
 the smallest id is the response and the others revisit it; rows that repeat that id are responses too,
@@ -72,9 +73,19 @@ def headers(head: bytes) -> dict[str, str]:
     return {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
+# Schemes of Hadoop's connectors and the name pyarrow has for the same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def arrow_uri(folder: str) -> str:
+    scheme, mark, rest = folder.partition("://")
+    return f"{SCHEMES.get(scheme.lower(), scheme.lower())}{mark}{rest}" if mark else folder
+
+
 def file_system(folder: str):
     from pyarrow import fs
 
+    folder = arrow_uri(folder)
     if folder.startswith("file:"):  # Spark writes such URIs with any number of slashes
         return fs.LocalFileSystem(), f"/{unquote(folder.removeprefix('file:')).lstrip('/')}"
     return fs.FileSystem.from_uri(folder)
@@ -176,7 +187,12 @@ def normalise(archives: DataFrame, source: str, target: str, level: int = 3) ->
                 counts.append(len(index))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["archive", "records"])
 
-    return archives.select("archive").mapInArrow(run, "archive string, records long")
+    return spread(archives.select("archive")).mapInArrow(run, "archive string, records long")
+
+
+def spread(rows: DataFrame, by: tuple[str, ...] = ("archive",)) -> DataFrame:
+    """One row a task. Rows are names, so small that without a number Spark would give all of them to one task."""
+    return rows.repartitionByRange(max(1, rows.count()), *by)
 
 
 RECORD_SCHEMA = ("page_id string, url string, payload_bytes long, payload_digest string, record_type string, "
@@ -186,7 +202,7 @@ RECORD_SCHEMA = ("page_id string, url string, payload_bytes long, payload_digest
 def read_archives(archives: DataFrame, folder: str, with_payload: bool = True, range_records: int = 2000) -> DataFrame:
     """Records by sidecar offsets; every stored payload is checked against its digest."""
     ranges = archives.where("records > 0").select("archive", F.explode(F.sequence(
-        F.lit(0), F.col("records") - 1, F.lit(range_records))).alias("start")).repartition("archive", "start")
+        F.lit(0), F.col("records") - 1, F.lit(range_records))).alias("start"))
     name_of = lambda urn: None if urn is None else unquote(urn.removeprefix("<urn:page:").removesuffix(">"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,13 +233,13 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True, r
                     [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
                     names=[c.split()[0] for c in RECORD_SCHEMA.split(", ")])
 
-    return ranges.mapInArrow(run, RECORD_SCHEMA)
+    return spread(ranges, ("archive", "start")).mapInArrow(run, RECORD_SCHEMA)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, folder: str) -> DataFrame:
     """Pages written to archives, normalised and read back, without their payloads."""
     raw = stored(write_archives(with_verdict(pages), f"{folder}/raw"), "archives")
-    members = stored(normalise(raw.repartition("archive"), f"{folder}/raw", f"{folder}/members"), "members")
+    members = stored(normalise(raw, f"{folder}/raw", f"{folder}/members"), "members")
     kind = pages.schema["page_id"].dataType
     return read_archives(members, f"{folder}/members", with_payload=False).select(
         F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
