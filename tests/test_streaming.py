@@ -1,6 +1,7 @@
 import json
 import logging
 import os
+import threading
 import time
 from datetime import date, timedelta
 
@@ -18,7 +19,7 @@ from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.session import configure_state_store
 from tidemark.sources.streams import file_options, file_stream, kafka_options
 from tidemark.streaming import app
-from tidemark.streaming.jobs import expire_silver, start_ingest, start_silver, start_stateful
+from tidemark.streaming.jobs import expire_silver, quiet_merge, start_ingest, start_silver, start_stateful
 from tidemark.streaming.lake import CatalogLake, Lake
 from tidemark.streaming.policy import BatchTimes, expiry_due, is_transient, silver_due, supervise
 
@@ -397,3 +398,59 @@ def test_a_quiet_source_does_not_hold_rows_back(spark, lake, landing):
     landing.add(payload(2, 2))  # batch 1 is not due by number, but batch 0 has waited too long
     run(start_ingest(lake, landing.stream(), silver_every=1000, trigger=ONCE))
     assert rows(lake.latest_valid.read()) == landing.expected() and lake.pending_since() is None
+
+
+def test_a_quiet_source_is_merged_without_a_batch(spark, lake, landing):
+    """One batch, a processing-time trigger, and no new data: nothing is pending after the interval."""
+    landing.add(payload(1, 1), payload(2, 1))
+    lake.silver_interval_s = 2
+    query = start_ingest(lake, landing.stream(), silver_every=1000, trigger={"processingTime": "1 second"})
+    first, merge = [], quiet_merge(lake)
+
+    def tick():
+        if not first:
+            query.processAllAvailable()
+            landing.add(payload(1, 2))  # batch 1 is not due by number
+            query.processAllAvailable()
+            first.append(time.time())
+            assert lake.pending_since() is not None
+        merge()
+        if lake.pending_since() is None or time.time() - first[0] > 60:
+            query.stop()
+
+    try:
+        supervise(query, tick=tick)
+    finally:
+        query.stop()
+    assert lake.pending_since() is None and rows(lake.latest_valid.read()) == landing.expected()
+    assert {p.batchId for p in query.recentProgress if p.numInputRows} == {0, 1}  # no batch did it
+
+
+def test_ticks_wait_for_a_running_batch_and_report_failures(spark, lake, landing, monkeypatch, caplog):
+    landing.add(payload(1, 1))
+    lake.silver_interval_s = -1
+    run(start_ingest(lake, landing.stream(), silver_every=None, trigger=ONCE))
+    with lake.lock:
+        other = threading.Thread(target=quiet_merge(lake))
+        other.start()
+        other.join()
+        assert lake.pending_since() is not None
+    monkeypatch.setattr(Lake, "merge_pending", lambda *a: (_ for _ in ()).throw(RuntimeError("CommitFailedException: lost")))
+    quiet_merge(lake)()
+    assert "kept for the next run" in caplog.text
+    monkeypatch.setattr(Lake, "merge_pending", lambda *a: 1 / 0)
+    healthy = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", f"{lake.root}/c").start()
+    with pytest.raises(ZeroDivisionError):
+        supervise(healthy, tick=quiet_merge(lake))
+    assert not healthy.isActive
+
+
+def test_a_fresh_checkpoint_does_not_reorder_waiting_batches(spark, lake):
+    """Equal clocks: the earlier batch stays, also when the later one has a smaller number under a new query."""
+    def decoded(text):
+        return decode(spark.createDataFrame([(text,)], "value string"), CONTRACT)
+
+    lake.add_pending(decoded(payload(1, 1, voltage=50.0)), 7, started_s=1_700_000_000)
+    lake.add_pending(decoded(payload(1, 1, voltage=60.0)), 0, started_s=1_700_000_100)
+    lake.merge_pending()
+    assert rows(lake.latest_valid.read(), "voltage") == [(50.0,)]

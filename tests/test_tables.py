@@ -1,4 +1,3 @@
-import os
 from pathlib import Path
 
 import pytest
@@ -6,13 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows
 from tidemark.contracts import ColumnGroup
-from tidemark.operators.maintenance import expire_versions
-from tidemark.operators.merge import changed_rows, merge_by_join
+from tidemark.operators.merge import changed_rows, fold_batches, merge_by_join
 from tidemark.operators.sinks import (
     BRONZE_PROPERTIES,
     SILVER_PROPERTIES,
-    ConflictException,
-    VersionedTable,
+    BucketedTable,
     append_batch,
     append_table,
     batch_condition,
@@ -24,7 +21,6 @@ from tidemark.operators.sinks import (
 )
 from tidemark.session import release_scratch, shared_dir
 from tidemark.sources import files
-from tidemark.streaming.policy import is_transient
 
 GROUPS = (ColumnGroup("ts", {"v": "v"}),)
 
@@ -56,104 +52,64 @@ def test_file_count_is_controlled(spark, tmp_path):
     assert len(list((tmp_path / "b").rglob("*.parquet"))) == 4
 
 
-def test_versions_replace_and_readers_see_finished_ones(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+def folders(table):
+    return sorted(f.name for f in Path(table.path).iterdir() if f.name.startswith("base="))
+
+
+def test_a_merge_replaces_the_folder_and_readers_see_complete_ones(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     assert table.read() is None
-    upsert_table(table, numbers(spark, 0, 10), GROUPS)
-    upsert_table(table, numbers(spark, 5, 15, clock=1), GROUPS)
+    assert upsert_table(table, numbers(spark, 0, 10), GROUPS)
+    before = table.read()
+    assert upsert_table(table, numbers(spark, 5, 15, clock=1), GROUPS)
     assert table.read().columns == ["k", "ts", "v"]
     assert rows(table.read().groupBy("ts").count()) == [(0, 5), (1, 10)]
-    assert [v.number for v in table.versions()] == [0, 1]
-    base, delta = table.versions()
-    assert (base.kind, delta.kind) == ("base", "delta")
-    assert 1 < len(list(Path(base.path).glob("*.parquet"))) <= 4  # a file per bucket that has rows
-    # a write that was never claimed is invisible, and does not stand in the way of the next one
-    half = tmp_path / "t" / "v=000000000002-base-buckets=4-0123abcd"
+    assert before.count() == 10  # a reader of the folder before goes on
+    assert 1 < len(list(Path(table.current()).glob("*.parquet"))) <= 4  # a file per bucket that has rows
+    # a write that was never completed is invisible, and does not stand in the way of the next one
+    half = tmp_path / "t" / "base=000000000002-buckets=4"
     half.mkdir()
     (half / "part-00000.parquet").write_text("broken")
     assert table.read().count() == 15
-    upsert_table(table, numbers(spark, 100, 101), GROUPS)
+    assert upsert_table(table, numbers(spark, 100, 101), GROUPS)
     assert table.read().count() == 16
-    again = VersionedTable(spark.newSession(), str(tmp_path / "t"), "k", buckets=4)
+    assert folders(table) == ["base=000000000001-buckets=4", "base=000000000003-buckets=4"]
+    again = BucketedTable(spark.newSession(), str(tmp_path / "t"), "k", buckets=4)
     assert again.read().count() == 16
 
 
-def test_replay_changes_nothing(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+def test_replay_changes_and_writes_nothing(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     for batch in (numbers(spark, 0, 10), numbers(spark, 5, 15, 1)):
         upsert_table(table, batch, GROUPS)
-    before = rows(table.read())
-    upsert_table(table, numbers(spark, 5, 15, 1), GROUPS)
-    upsert_table(table, numbers(spark, 0, 10), GROUPS)
-    assert rows(table.read()) == before
+    before, found = rows(table.read()), folders(table)
+    assert not upsert_table(table, numbers(spark, 5, 15, 1), GROUPS)
+    assert not upsert_table(table, numbers(spark, 0, 10), GROUPS)
+    assert rows(table.read()) == before and folders(table) == found
 
 
 def test_stored_rows_are_not_shuffled(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=6)
-    upsert_table(table, numbers(spark, 0, 10), GROUPS)
-    plan = plan_of(merge_by_join(table.read(), table.align(numbers(spark, 5, 15, 1)), "k", GROUPS))
-    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
-    # another bucket count still merges right, at the price of a shuffle
-    wider = VersionedTable(spark, table.path, "k", buckets=3)
-    upsert_table(wider, numbers(spark, 5, 15, 1), GROUPS)
-    assert rows(wider.read().groupBy("ts").count()) == [(0, 5), (1, 10)]
-
-
-def test_old_versions_expire(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=1)
-    for n in range(5):
-        table.replace(numbers(spark, 0, n + 1))
-    assert table.history().count() == 5
-    assert expire_versions(table, retain_last=2, older_than_hours=1) == 0  # all too young
-    old = table.versions()[0].committed_ms / 1000 - 7200
-    for version in table.versions():
-        os.utime(tmp_path / "t" / "_claims" / f"{version.number:012d}", (old + version.number, old + version.number))
-    assert expire_versions(table, retain_last=2, older_than_hours=1) == 3
-    assert [v.number for v in table.versions()] == [3, 4]
-    assert table.read().count() == 5
-    assert table.drop_versions([3, 4]) == 1  # the current version stays
-
-
-def test_a_merge_writes_only_what_changed(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4, compact_every=3)
-    upsert_table(table, numbers(spark, 0, 5000), GROUPS)
-    upsert_table(table, numbers(spark, 4995, 5005, clock=1), GROUPS)
-    upsert_table(table, numbers(spark, 0, 10), GROUPS)  # equal clocks advance nothing
-    _, changed, unchanged = table.versions()
-    assert table.read_version(changed).count() == 10 and table.read_version(unchanged).count() == 0
-    assert rows(table.read().groupBy("ts").count()) == [(0, 4995), (1, 10)]
-    upsert_table(table, numbers(spark, 4999, 5001, clock=2), GROUPS)
-    assert [v.kind for v in table.versions()] == ["base", "delta", "delta", "base"]
-    assert rows(table.read().groupBy("ts").count()) == [(0, 4995), (1, 8), (2, 2)]
-    # a delta over deltas over a base: the newest row of a key wins
-    upsert_table(table, numbers(spark, 5000, 5002, clock=3), GROUPS)
-    upsert_table(table, numbers(spark, 5001, 5003, clock=4), GROUPS)
-    assert rows(table.read().where("k >= 4999").select("k", "ts"))[:5] == [(4999, 2), (5000, 3), (5001, 4), (5002, 4), (5003, 1)]
-    assert table.drop_versions(range(3)) == 3 and table.read().count() == 5005
-
-
-def test_the_base_is_neither_exchanged_nor_sorted(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=6)
+    table = BucketedTable(spark, str(tmp_path / "t"), "k", buckets=6)
     upsert_table(table, numbers(spark, 0, 100), GROUPS)
-    upsert_table(table, numbers(spark, 5, 15, 1), GROUPS)
-    base, deltas = table.current()
-    incoming = table.align(numbers(spark, 5, 15, 2))
-    plan = plan_of(changed_rows(table.read_version(base), table.changed_since(deltas), incoming, "k", GROUPS))
-    stored_side = plan[plan.index("ShuffledHashJoin"):]
-    streamed = stored_side[:stored_side.index("Bucketed: true")]
-    assert "Exchange" not in streamed and "Sort" not in streamed
+    incoming = table.align(numbers(spark, 5, 15, 1))
+    for merged in (merge_by_join(table.read(), incoming.hint("shuffle_hash"), "k", GROUPS), changed_rows(table.read(), incoming, "k", GROUPS)):
+        plan = plan_of(merged)
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        stored_side = plan[plan.index("ShuffledHashJoin"):]
+        assert "Sort" not in stored_side[:stored_side.index("Bucketed: true")]
+    assert rows(changed_rows(table.read(), incoming, "k", GROUPS), "k") == [(k,) for k in range(5, 15)]
+    # another bucket count still merges right, at the price of a shuffle
+    wider = BucketedTable(spark, table.path, "k", buckets=3)
+    upsert_table(wider, numbers(spark, 95, 105, 1), GROUPS)
+    assert rows(wider.read().groupBy("ts").count()) == [(0, 95), (1, 10)]
 
 
-def test_of_two_writers_one_wins(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=2)
-    upsert_table(table, numbers(spark, 0, 10), GROUPS)
-    table.append_delta(numbers(spark, 0, 2, 1), after=0)
-    for write in (table.append_delta, table.replace):
-        with pytest.raises(ConflictException) as lost:
-            write(numbers(spark, 0, 2, 2), after=0)
-        assert is_transient(lost.value)
-    assert len(table.versions()) == 2 and rows(table.read().groupBy("ts").count()) == [(0, 8), (1, 2)]
-    assert len([f for f in (tmp_path / "t").iterdir() if f.name.startswith("v=")]) == 2
+def test_batches_are_folded_by_matching(spark):
+    parts = [numbers(spark, n, n + 50, clock=n).repartition(2) for n in range(5)]
+    folded = fold_batches(parts, "k", GROUPS)
+    # one exchange for each batch's own aggregate, one for the state of each match but the first
+    assert plan_of(folded).count("Exchange hashpartitioning(") == 5 + 3
+    assert rows(folded.groupBy("ts").count()) == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 50)]
 
 
 def test_catalog_batches_can_be_told_apart(spark):
@@ -199,9 +155,9 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_released_scratch_leaves_no_catalog_entries(spark):
-    table = VersionedTable(spark, shared_dir(spark, "released"), "k", buckets=2)
+    table = BucketedTable(spark, shared_dir(spark, "released"), "k", buckets=2)
     upsert_table(table, numbers(spark, 0, 10), GROUPS)
-    name = table._table_name(table.versions()[0]).split(".", 1)[1]
+    name = table._table_name(table.current()).split(".", 1)[1]
     assert spark.catalog.tableExists(name)
     release_scratch(spark)
     assert not spark.catalog.tableExists(name) and not files.exists(spark, table.path)

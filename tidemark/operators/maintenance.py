@@ -106,13 +106,6 @@ def expire_call(
     return f"CALL `{catalog}`.system.expire_snapshots({', '.join(f'{k} => {v}' for k, v in arguments.items())})"
 
 
-def expire_versions(table, retain_last: int = RETAIN_LAST, older_than_hours: int = OLDER_THAN_HOURS) -> int:
-    """Apply the expiry rule to a versioned table's own folders."""
-    cutoff = hours_before(F.current_timestamp(), older_than_hours)
-    chosen = expirable_snapshots(table.history(), cutoff, retain_last).select("snapshot_id")
-    return table.drop_versions([row[0] for row in chosen.toLocalIterator()])
-
-
 def probe_statements(spark: SparkSession, statements: Sequence[tuple[str, str]]) -> DataFrame:
     """Run each named statement and report step, ok and error class."""
     outcomes = []

@@ -90,26 +90,17 @@ def merge_by_join(
     return joined.select(*columns)
 
 
-def changed_rows(
-    base: DataFrame, deltas: DataFrame | None, incoming: DataFrame, key: str, groups: Sequence[ColumnGroup]
-) -> DataFrame:
-    """The rows that the merge would change or add, whole.
+def changed_rows(stored: DataFrame, incoming: DataFrame, key: str, groups: Sequence[ColumnGroup]) -> DataFrame:
+    """The rows that the merge would change or add, whole; incoming holds one row per key.
 
-    What is stored for a key is its row in deltas, else in base. incoming and deltas hold one row per key
-    and meet first; the base then streams past them, hashed on the small side, without exchange or sort if
-    it is bucketed on the key.
+    The stored rows stream past the incoming ones, hashed on the small side, without exchange or sort if they are
+    bucketed on the key.
     """
-    s = incoming.where(F.col(key).isNotNull())
-    names = base.columns
+    names = stored.columns
     whole = F.struct(*names)
-    if deltas is None:
-        near = s.select(F.col(key).alias("_key"), whole.alias("s"), F.lit(None).cast(base.select(whole.alias("x")).schema["x"].dataType).alias("d"))
-    else:
-        own = deltas.select(F.col(key).alias("_delta_key"), whole.alias("d"))
-        near = s.select(F.col(key).alias("_key"), whole.alias("s")).join(own, F.col("_key") == F.col("_delta_key"), "left").drop("_delta_key")
-    stored = base.select(F.col(key).alias("_base_key"), whole.alias("b"))
-    met = stored.join(near.hint("shuffle_hash"), F.col("_base_key") == F.col("_key"), "right").select(
-        "_key", "s", F.coalesce("d", "b").alias("t"))
+    s = incoming.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), whole.alias("s"))
+    t = stored.select(F.col(key).alias("_stored_key"), whole.alias("t"))
+    met = t.join(s.hint("shuffle_hash"), F.col("_stored_key") == F.col("_key"), "right")
     is_new = F.col("t").isNull()
 
     def advances(g: ColumnGroup) -> Column:
@@ -127,12 +118,16 @@ def changed_rows(
 def fold_batches(
     batches: Sequence[DataFrame], key: str, groups: Sequence[ColumnGroup], stored: DataFrame | None = None
 ) -> DataFrame:
-    """Apply raw batches one after the other, the first one creating the table."""
-    return reduce(
-        lambda state, batch: merge_latest(state, combine_one_pass(batch, key, groups), key, groups),
-        batches,
-        stored,
-    )
+    """Apply raw batches one after the other, the first one creating the table.
+
+    Each batch is shuffled by its own aggregate and matched with the state. A full outer join promises no
+    partitioning, so a state that is not stored is exchanged for each match; a bucketed table is not.
+    """
+    def apply(state: DataFrame | None, batch: DataFrame) -> DataFrame:
+        incoming = combine_one_pass(batch, key, groups)
+        return incoming if state is None else merge_by_join(state, incoming, key, groups)
+
+    return reduce(apply, batches, stored)
 
 
 def merge_pending(

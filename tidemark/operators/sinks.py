@@ -1,21 +1,18 @@
-"""Table writes: replayable append, versioned state tables, catalog tables."""
+"""Table writes: replayable append, bucketed state tables, catalog tables."""
 
 from __future__ import annotations
 
 import hashlib
 import re
-import time
-import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import ColumnGroup
-from tidemark.operators.merge import SEQUENCE, changed_rows, merge_latest, merge_sql
+from tidemark.operators.merge import SEQUENCE, changed_rows, merge_by_join, merge_latest, merge_sql
 from tidemark.sources import files
 
 BATCH_KEY = "batch_key"
@@ -90,179 +87,86 @@ def file_schema(schema: T.StructType, partitions: Sequence[str] = ()) -> T.Struc
     return T.StructType([*[f for n, f in fields.items() if n not in layout], *[fields[n] for n in layout]])
 
 
-class ConflictException(RuntimeError):
-    """Another writer has committed the version this one was about to."""
+class BucketedTable:
+    """A keyed table, bucketed on the key, for places without a catalog table that supports MERGE.
 
-
-class Version(NamedTuple):
-    number: int
-    kind: str
-    buckets: int
-    path: str
-    committed_ms: int
-
-
-class VersionedTable:
-    """A keyed table of a base, bucketed on the key, and of small deltas written after it.
-
-    A merge writes a delta with the rows it changed; every `compact_every` deltas the next merge writes
-    a new base instead. Merging into the table and reading it shuffle the deltas and the incoming rows,
-    never the base. A version is written to a folder of its own name and then claimed by creating its
-    marker, which only one of several writers can do; the others raise a conflict. Readers see claimed
-    versions only.
+    Each merge writes all rows to a fresh folder, which readers see once Spark has marked it complete; the
+    folder before it stays for queries that still read it, older ones go. It has one writer, as a streaming
+    query is. More than that, such as versions, concurrent commits or row-level deletes, is what a table
+    format is for (CatalogLake).
     """
 
-    _FOLDER = re.compile(r"v=(\d+)-(base|delta)-buckets=(\d+)-[0-9a-f]{8}$")
+    _FOLDER = re.compile(r"base=(\d+)-buckets=(\d+)$")
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 8, compact_every: int = 8):
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 8):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.buckets = buckets
-        self.compact_every = compact_every
 
-    def bound(self, spark: SparkSession) -> VersionedTable:
+    def bound(self, spark: SparkSession) -> BucketedTable:
         """The same table seen from another session, such as a micro-batch's own."""
-        return VersionedTable(spark, self.path, self.key, self.buckets, self.compact_every)
-
-    def versions(self) -> list[Version]:
-        """Claimed versions, oldest first."""
-        found = []
-        for entry in files.entries(self.spark, f"{self.path}/_claims"):
-            folder = files.read_small(self.spark, entry.path) if entry.name.isdigit() else ""
-            if match := self._FOLDER.match(folder):
-                found.append(Version(int(match[1]), match[2], int(match[3]), f"{self.path}/{folder}", entry.modified_ms))
-        return sorted(found)
-
-    def current(self) -> tuple[Version | None, list[Version]]:
-        """The newest base and the deltas after it."""
-        versions = self.versions()
-        at = max((i for i, v in enumerate(versions) if v.kind == "base"), default=None)
-        return (None, []) if at is None else (versions[at], versions[at + 1:])
-
-    def _table_name(self, version: Version) -> str:
+        return BucketedTable(spark, self.path, self.key, self.buckets)
+
+    def _folders(self) -> list[tuple[int, str]]:
+        """Number and path of every folder, complete or not, oldest first."""
+        named = [(self._FOLDER.match(e.name), e.path) for e in files.entries(self.spark, self.path)]
+        return sorted((int(m[1]), path) for m, path in named if m)
+
+    def current(self) -> str | None:
+        """The newest complete folder."""
+        return next((path for _, path in reversed(self._folders()) if files.exists(self.spark, f"{path}/_SUCCESS")), None)
+
+    def _table_name(self, folder: str) -> str:
         # named in full, since the session's default catalog may be another one
-        folder = hashlib.sha1(version.path.encode()).hexdigest()[:16]
-        return f"spark_catalog.default.tidemark_{folder}_v{version.number}"
+        return f"spark_catalog.default.tidemark_{hashlib.sha1(folder.encode()).hexdigest()[:16]}"
 
     def read(self) -> DataFrame | None:
-        """The current rows, or None before the first version."""
-        base, deltas = self.current()
-        if base is None:
+        """The current rows, or None before the first merge."""
+        folder = self.current()
+        if folder is None:
             return None
-        rows = self.read_version(base)
-        changed = self.changed_since(deltas)
-        return rows if changed is None else self._overlaid(rows, changed)
-
-    def read_version(self, version: Version) -> DataFrame:
-        """The rows of one version: a base, or what a delta changed."""
-        if version.kind == "delta":
-            return self.spark.read.parquet(version.path)
-        name = self._table_name(version)
+        name = self._table_name(folder)
         if not self.spark.catalog.tableExists(name):
-            columns = self.spark.read.parquet(version.path).schema.toDDL()
+            columns = self.spark.read.parquet(folder).schema.toDDL()
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-                f"CLUSTERED BY (`{self.key}`) INTO {version.buckets} BUCKETS LOCATION '{version.path}'"
+                f"CLUSTERED BY (`{self.key}`) INTO {self._FOLDER.search(folder)[2]} BUCKETS LOCATION '{folder}'"
             )
         return self.spark.table(name)
 
-    def changed_since(self, deltas: Sequence[Version]) -> DataFrame | None:
-        """The newest row of every key in the given deltas."""
-        parts = [self.read_version(v).withColumn("_version", F.lit(v.number)) for v in deltas]
-        if not parts:
-            return None
-        columns = [c for c in parts[0].columns if c != "_version"]
-        newest = reduce(DataFrame.unionByName, parts).groupBy(self.key).agg(
-            F.max_by(F.struct(*columns), "_version").alias("_row"))
-        return newest.select("_row.*")
-
-    def _overlaid(self, base: DataFrame, changed: DataFrame) -> DataFrame:
-        """base with the rows of changed in place of its own, or added. The hash side is the small one."""
-        t = base.alias("t")
-        s = changed.withColumn("_in_s", F.lit(True)).hint("shuffle_hash").alias("s")
-        joined = t.join(s, F.col(f"t.{self.key}") == F.col(f"s.{self.key}"), "full")
-        return joined.select(*[
-            F.when(F.col("_in_s"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in base.columns])
-
     def align(self, rows: DataFrame) -> DataFrame:
-        """Rows hash partitioned the way the next base will be bucketed."""
+        """Rows hash partitioned the way the table is bucketed."""
         return rows.repartition(self.buckets, self.key)
 
-    def replace(self, df: DataFrame, after: int | None = None) -> Version:
-        """Write df as the next base; df may read the current version."""
-        version = self._next("base", after)
-        (
-            df.write.format("parquet")
-            .bucketBy(self.buckets, self.key)
-            .option("path", version.path)
-            .saveAsTable(self._table_name(version))
-        )
-        return self._claim(version)
-
-    def append_delta(self, df: DataFrame, after: int | None = None) -> Version:
-        """Write whole rows that replace those of their keys."""
-        version = self._next("delta", after)
-        sized_files(df).write.parquet(version.path)
-        return self._claim(version)
-
-    def _next(self, kind: str, after: int | None) -> Version:
-        """A folder for the version after the given one, by default the newest."""
-        if after is None:
-            after = max((v.number for v in self.versions()), default=-1)
-        folder = f"v={after + 1:012d}-{kind}-buckets={self.buckets}-{uuid.uuid4().hex[:8]}"
-        return Version(after + 1, kind, self.buckets, f"{self.path}/{folder}", int(time.time() * 1000))
-
-    def _claim(self, version: Version) -> Version:
-        marker = f"{self.path}/_claims/{version.number:012d}"
-        mine = files.create_new(self.spark, marker, version.path.rsplit("/", 1)[-1])
-        if not mine or any(v.number > version.number for v in self.versions()):
-            if mine:
-                files.delete(self.spark, marker)
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(version)}")
-            files.delete(self.spark, version.path)
-            raise ConflictException(f"ConflictException: version {version.number} of {self.path} was committed by another writer")
-        return version
-
-    def history(self) -> DataFrame:
-        """Versions as a table history: table, snapshot_id, committed_at."""
-        rows = [(self.path, v.number, v.committed_ms) for v in self.versions()]
-        return self.spark.createDataFrame(rows, "table string, snapshot_id long, ms long").select(
-            "table", "snapshot_id", F.timestamp_millis("ms").alias("committed_at")
-        )
-
-    def drop_versions(self, numbers: Sequence[int]) -> int:
-        """Delete versions by number; the current base and its deltas always stay."""
-        base, _ = self.current()
-        dropped = 0
-        for version in self.versions():
-            if base is not None and version.number < base.number and version.number in numbers:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(version)}")
-                files.delete(self.spark, f"{self.path}/_claims/{version.number:012d}")
-                dropped += files.delete(self.spark, version.path)
-        return dropped
-
-
-def upsert_table(table: VersionedTable, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> Version:
-    """Merge incoming rows, of one batch or several, into a versioned table.
-
-    Only incoming rows and deltas are shuffled, and the base is neither exchanged nor sorted. Both sides
-    hold one row per key, so no key can make a task larger than its bucket. A merge that loses the race
-    for its version raises a conflict and leaves nothing behind.
+    def replace(self, df: DataFrame) -> None:
+        """Write df as the table's rows; df may read the current ones."""
+        before, folders = self.current(), self._folders()
+        number = folders[-1][0] + 1 if folders else 0
+        folder = f"{self.path}/base={number:012d}-buckets={self.buckets}"
+        df.write.format("parquet").bucketBy(self.buckets, self.key).option("path", folder).saveAsTable(self._table_name(folder))
+        for _, path in folders:
+            if path != before:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
+                files.delete(self.spark, path)
+
+
+def upsert_table(table: BucketedTable, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> bool:
+    """Merge incoming rows, of one batch or several, into a bucketed table; False if that changes nothing.
+
+    Only incoming rows are shuffled: the stored ones are met bucket by bucket, without exchange or sort. Both
+    sides hold one row per key, so no key can make a task larger than its bucket.
     """
     folded = merge_latest(None, incoming, table.key, groups) if SEQUENCE in incoming.columns else incoming
-    base, deltas = table.current()
-    if base is None:
-        return table.replace(merge_latest(None, table.align(folded), table.key, groups), after=-1)
-    after = (deltas or [base])[-1].number
-    changed = table.changed_since(deltas)
-    stored = table.read_version(base)
-    rows = changed_rows(stored, changed, table.align(folded), table.key, groups)
-    if len(deltas) + 1 < table.compact_every:
-        return table.append_delta(rows, after)
-    # the changed rows are newer than any delta, and all deltas together newer than the base
-    newest = rows if changed is None else rows.unionByName(changed.join(rows.select(table.key), table.key, "left_anti"))
-    return table.replace(table._overlaid(stored, table.align(newest)), after)
+    rows = table.align(folded)
+    stored = table.read()
+    if stored is None:
+        table.replace(merge_latest(None, rows, table.key, groups))
+        return True
+    if changed_rows(stored, rows, table.key, groups).isEmpty():
+        return False
+    table.replace(merge_by_join(stored, rows.hint("shuffle_hash"), table.key, groups))
+    return True
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:

@@ -23,7 +23,7 @@ from tidemark.operators.latest import (
     latest_valid,
 )
 from tidemark.operators.merge import fold_batches, merge_by_join, merge_pending
-from tidemark.operators.sinks import VersionedTable, append_batch, file_schema, upsert_table
+from tidemark.operators.sinks import BucketedTable, append_batch, file_schema, upsert_table
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.plans.device_view import RENAME_MAP, device_rows, edge_rows, load_table
 from tidemark.session import configure, configure_state_store, shared_dir
@@ -273,8 +273,8 @@ def cadence_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same batches merged into a bucketed table, one version after the other."""
-    table = VersionedTable(spark, shared_dir(spark, "silver"), KEY)
+    """The same batches merged into a bucketed table, one after the other."""
+    table = BucketedTable(spark, shared_dir(spark, "silver"), KEY)
     for batch in batches(spark, sf_dir):
         upsert_table(table, combine_one_pass(batch, KEY, LATEST_VALID_GROUPS), LATEST_VALID_GROUPS)
     return plain_times(table.read())
@@ -536,9 +536,9 @@ def silver_merge_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_table_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same batches through the stored table, whose third delta is compacted."""
+    """The same batches through the stored table."""
     rows = edge_silver(spark, sf_dir)
-    table = VersionedTable(spark, shared_dir(spark, "silver"), KEY, compact_every=3)
+    table = BucketedTable(spark, shared_dir(spark, "silver"), KEY, buckets=3)
     for r in event_ranges(spark, sf_dir):
         part = rows.where(F.col("event_id").between(*r)).drop("event_id")
         upsert_table(table, combine_one_pass(part, KEY, LATEST_VALID_GROUPS), LATEST_VALID_GROUPS)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,30 +45,6 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(location, True)
 
 
-def create_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file, or return False if it exists: of several callers one succeeds."""
-    fs, location = _locate(spark, path)
-    try:
-        stream = fs.create(location, False)
-    except Py4JJavaError as e:
-        if fs.exists(location):
-            return False
-        raise e
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    return True
-
-
-def read_small(spark: SparkSession, path: str) -> str:
-    """A file of a few bytes, without a Spark job."""
-    fs, location = _locate(spark, path)
-    stream = fs.open(location)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     """One small text file (a contract or a rename map), whole."""
     row = spark.read.text(path, wholetext=True).first()

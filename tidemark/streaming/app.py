@@ -11,7 +11,7 @@ from tidemark.contracts import load_contract
 from tidemark.operators.maintenance import SILVER_EVERY
 from tidemark.session import build_session
 from tidemark.sources.streams import MAX_OFFSETS_PER_TRIGGER, STARTING_OFFSETS, file_stream, kafka_stream
-from tidemark.streaming.jobs import INGEST_TRIGGER, SILVER_TRIGGER, start_ingest, start_silver
+from tidemark.streaming.jobs import INGEST_TRIGGER, SILVER_TRIGGER, quiet_merge, start_ingest, start_silver
 from tidemark.streaming.lake import SILVER_INTERVAL_S, CatalogLake, Lake
 from tidemark.streaming.policy import BatchTimes, supervise
 
@@ -105,7 +105,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         args.checkpoint,
     )
     if combined:
-        supervise(ingest)
+        supervise(ingest, tick=quiet_merge(lake))
         lake.merge_pending()  # the last batches may not have been due
     elif args.until_caught_up:
         supervise(ingest)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
@@ -49,10 +50,12 @@ def ingest_batch(
     Bronze goes first and its failure ends the query. The batch then leaves its
     newest row per key behind as pending. With silver_every, silver runs on every
     nth batch over all that is pending, and earlier once the oldest pending row has
-    waited longer than the lake's silver interval, so no batch is lost between two
-    runs and none waits without limit. An empty batch merges on the same terms. A
-    lost commit race leaves it for the next run, any other failure ends the query.
+    waited longer than the lake's silver interval. An empty batch merges on the same
+    terms. While nothing arrives Spark starts no batch, so it is quiet_merge, called
+    by supervise, that bounds the wait then. A lost commit race leaves the rows for
+    the next run, any other failure ends the query.
     """
+    started_s = int(time.time())
 
     def process(decoded: DataFrame, batch_id: int) -> None:
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
@@ -67,7 +70,7 @@ def ingest_batch(
                 return
             lake.write_bronze(decoded, batch_id, counts)
             if pending:
-                lake.add_pending(decoded, batch_id)
+                lake.add_pending(decoded, batch_id, started_s)
             if silver_every is None:
                 return
             if not silver_due(batch_id, silver_every) and not lake.pending_is_old():
@@ -79,7 +82,30 @@ def ingest_batch(
         finally:
             decoded.unpersist()
 
-    return process
+    def alone(decoded: DataFrame, batch_id: int) -> None:
+        with lake.lock:
+            process(decoded, batch_id)
+
+    return alone
+
+
+def quiet_merge(lake: Lake) -> Callable[[], None]:
+    """A call for supervise to repeat: merges pending rows that have waited too long while no batch runs."""
+
+    def tick() -> None:
+        if lake.lock.acquire(blocking=False):  # a running batch looks after the pending rows itself
+            try:
+                if lake.pending_is_old():
+                    merged = lake.merge_pending()
+                    logger.info("[Silver] quiet source: upserted (%d pending files)", merged)
+            except Exception as e:
+                if not is_transient(e):
+                    raise
+                logger.warning("[Silver] quiet source: transient commit conflict, kept for the next run: %s", e)
+            finally:
+                lake.lock.release()
+
+    return tick
 
 
 def merge_silver(lake: Lake, decoded: DataFrame, batch_id: int) -> None:

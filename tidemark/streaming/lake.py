@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -21,14 +22,13 @@ from tidemark.operators.maintenance import (
     OLDER_THAN_HOURS,
     RETAIN_LAST,
     expire_call,
-    expire_versions,
 )
 from tidemark.operators.merge import SEQUENCE, fold_structs, merge_latest
 from tidemark.operators.sinks import (
     BATCH_KEY,
     BRONZE_PROPERTIES,
     SILVER_PROPERTIES,
-    VersionedTable,
+    BucketedTable,
     append_batch,
     append_table,
     create_table,
@@ -68,6 +68,7 @@ class Lake:
     older_than_hours: int = OLDER_THAN_HOURS
     silver_interval_s: int = SILVER_INTERVAL_S
     latest_groups: Sequence[ColumnGroup] = field(init=False)
+    lock: threading.RLock = field(init=False, repr=False, compare=False, default_factory=threading.RLock)
 
     def __post_init__(self):
         self.root = self.root.rstrip("/")
@@ -89,12 +90,12 @@ class Lake:
         return f"{self.root}/checkpoints/{name}"
 
     @property
-    def latest(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/silver/latest", self.contract.key, self.buckets)
+    def latest(self) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.root}/silver/latest", self.contract.key, self.buckets)
 
     @property
-    def latest_valid(self) -> VersionedTable:
-        return VersionedTable(
+    def latest_valid(self) -> BucketedTable:
+        return BucketedTable(
             self.spark, f"{self.root}/silver/latest_valid", self.contract.key, self.buckets
         )
 
@@ -166,7 +167,7 @@ class Lake:
             self._store_silver(table, structs.select(self.contract.key, *columns, *order), groups)
 
     def _store_silver(self, table: str, incoming: DataFrame, groups: Sequence[ColumnGroup]) -> None:
-        stored: VersionedTable = getattr(self, table)
+        stored: BucketedTable = getattr(self, table)
         upsert_table(stored.bound(incoming.sparkSession), incoming, groups)
 
     def upsert_decoded(self, decoded: DataFrame) -> None:
@@ -183,14 +184,16 @@ class Lake:
         schema = self.newest(rows).schema
         return T.StructType([T.StructField(f.name, f.dataType) for f in schema]).add(SEQUENCE, T.LongType())
 
-    def add_pending(self, decoded: DataFrame, batch_id: int) -> None:
+    def add_pending(self, decoded: DataFrame, batch_id: int, started_s: int = 0) -> None:
         """Keep a batch's newest rows, one per key, until silver merges them.
 
         The folder is flat and holds only what is not merged yet. A batch kept
         twice after a restart is harmless: merging rows again changes nothing.
+        Batches are in the order of the start of their query, then of their
+        numbers, which begin again at 0 with a fresh checkpoint.
         """
         structs = self.newest(with_local_clocks(good_rows(decoded), self.contract))
-        numbered = structs.withColumn(SEQUENCE, F.lit(batch_id).cast("long"))
+        numbered = structs.withColumn(SEQUENCE, F.lit((started_s << 31) + batch_id).cast("long"))
         sized_files(numbered).write.mode("append").parquet(self.pending_path)
 
     def _waiting(self, spark: SparkSession) -> list[files.Entry]:
@@ -227,11 +230,8 @@ class Lake:
         return len(waiting)
 
     def expire(self) -> int:
-        """Drop old versions of both silver tables."""
-        return sum(
-            expire_versions(t, self.retain_last, self.older_than_hours)
-            for t in (self.latest, self.latest_valid)
-        )
+        """Folders keep no history; tables of a catalog do."""
+        return 0
 
 
 @dataclass

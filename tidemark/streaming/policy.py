@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections import deque
+from collections.abc import Callable
 
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -56,11 +57,16 @@ class BatchTimes(StreamingQueryListener):
             logger.error("query %s failed: %s", event.id, event.exception)
 
 
-def supervise(*queries: StreamingQuery) -> None:
-    """Wait until any query ends; report its error, stop the others, raise."""
+def supervise(*queries: StreamingQuery, tick: Callable[[], None] | None = None) -> None:
+    """Wait until any query ends; report its error, stop the others, raise.
+
+    tick is called every second or so in between; its failure counts as a query's.
+    """
     try:
         while all(q.isActive for q in queries):
             queries[0].awaitTermination(1)
+            if tick is not None:
+                tick()
         for query in queries:
             error = query.exception()
             if error is not None:
