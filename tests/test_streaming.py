@@ -4,12 +4,14 @@ import os
 import threading
 import time
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.contracts import LATEST_VALID_GROUPS
+from tidemark.operators import compaction
 from tidemark.operators.bronze import with_local_clocks
 from tidemark.operators.decode import decode, good_rows
 from tidemark.operators.latest import combine_one_pass
@@ -17,6 +19,7 @@ from tidemark.operators.merge import merge_sql
 from tidemark.operators.opslog import parse_batches
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.session import configure_state_store
+from tidemark.sources import files
 from tidemark.sources.streams import file_options, file_stream, kafka_options
 from tidemark.streaming import app
 from tidemark.streaming.jobs import expire_silver, quiet_merge, start_ingest, start_silver, start_stateful
@@ -454,3 +457,65 @@ def test_a_fresh_checkpoint_does_not_reorder_waiting_batches(spark, lake):
     lake.add_pending(decoded(payload(1, 1, voltage=60.0)), 0, started_s=1_700_000_100)
     lake.merge_pending()
     assert rows(lake.latest_valid.read(), "voltage") == [(50.0,)]
+
+
+def leaves(lake):
+    return sorted(str(p.relative_to(lake.bronze_path)) for p in Path(lake.bronze_path).glob("year=*/month=*/day=*/batch_key=*"))
+
+
+def test_closed_days_are_compacted(spark, lake, landing):
+    """Fifty batches over three days: one folder a closed day, the open one as it was, and the same rows."""
+    for n in range(50):
+        decoded = decode(spark.createDataFrame([(payload(1, 1440 * (n % 3) + n),), (payload(2, 1440 * (n % 3)),)], "value string"), CONTRACT)
+        lake.write_bronze(decoded, n, {"rows": 2, "refused": 0})
+    lake.write_bronze(decode(spark.createDataFrame([(payload(3, 0, ts=None),)], "value string"), CONTRACT), 50, {"rows": 1, "refused": 0})
+    before, found = rows(lake.read_bronze().drop("batch_key")), leaves(lake)
+    assert len(found) == 51
+    assert lake.compact_bronze(date(2024, 1, 3)) == 2
+    assert rows(lake.read_bronze().drop("batch_key")) == before
+    after = leaves(lake)
+    assert len([f for f in after if "day=1/" in f]) == len([f for f in after if "day=2/" in f]) == 1
+    assert [f for f in after if "day=3/" in f or "HIVE" in f] == [f for f in found if "day=3/" in f or "HIVE" in f]
+    assert lake.compact_bronze(date(2024, 1, 3)) == 0  # nothing left to gain
+    # a late row makes a closed day worth it again
+    lake.write_bronze(decode(spark.createDataFrame([(payload(9, 5),)], "value string"), CONTRACT), 51, {"rows": 1, "refused": 0})
+    assert lake.compact_bronze(date(2024, 1, 3)) == 1 and lake.read_bronze().count() == 102
+    assert {p.name for p in Path(lake.bronze_path).parent.iterdir()} == {"iot", "iot_aside"} and not list(Path(f"{lake.bronze_path}_aside").iterdir())
+
+
+def test_compaction_leaves_a_day_that_changes_and_recovers(spark, lake, monkeypatch):
+    for n in range(3):
+        lake.write_bronze(decode(spark.createDataFrame([(payload(n, n),)], "value string"), CONTRACT), n, {"rows": 1, "refused": 0})
+    real, calls = compaction.leaf_files, []
+
+    def one_more(session, folder):
+        calls.append(folder)
+        return real(session, folder) | ({"late"} if len(calls) == 2 else set())
+
+    monkeypatch.setattr(compaction, "leaf_files", one_more)
+    assert lake.compact_bronze(date(2024, 1, 2)) == 0 and lake.read_bronze().count() == 3 and len(leaves(lake)) == 3
+    monkeypatch.setattr(compaction, "leaf_files", real)
+    moved, rename = [], files.rename
+
+    def second_fails(session, source, target):
+        moved.append(source)
+        if len(moved) == 2:
+            raise OSError("stopped between the renames")
+        rename(session, source, target)
+
+    monkeypatch.setattr(files, "rename", second_fails)
+    with pytest.raises(OSError):
+        lake.compact_bronze(date(2024, 1, 2))
+    monkeypatch.setattr(files, "rename", rename)
+    assert leaves(lake) == []
+    assert compaction.recover(spark, lake.bronze_path) == 1 and lake.read_bronze().count() == 3
+    assert lake.compact_bronze(date(2024, 1, 2)) == 1 and lake.read_bronze().count() == 3 and len(leaves(lake)) == 1
+
+
+def test_plan_takes_days_with_more_files_than_bytes_need(spark):
+    sizes = spark.createDataFrame(
+        [(2024, 1, 1, "a", "f1", 100), (2024, 1, 1, "b", "f2", 100), (2024, 1, 2, "a", "f3", 900), (2024, 1, 2, "b", "f4", 800),
+         (2024, 1, 3, "a", "f5", 10), (2024, 1, 9, "a", "f6", 1), (2024, 1, 9, "b", "f7", 1), (None, None, None, "a", "f8", 1)],
+        "year int, month int, day int, batch_key string, file string, bytes long")
+    plan = compaction.compaction_plan(sizes, date(2024, 1, 9), target_bytes=1000)
+    assert rows(plan, "day", "n_files", "bytes", "n_target") == [(1, 2, 200, 1)]

@@ -7,10 +7,12 @@ transform names a column of its own.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.files import read_text
@@ -171,3 +173,77 @@ def check_drift(schema: T.StructType, contract: Contract) -> None:
         unknown = sorted(set(alarms_type.fieldNames()) - set(contract.rename_map))
         if unknown:
             raise ContractDrift(f"alarm fields without an output name: {unknown}")
+
+
+# Types that hold all values of the ones before them in the same line.
+WIDENING = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("tinyint", "smallint", "int", "double"), ("date", "timestamp"))
+
+
+def wider_type(one: T.DataType, other: T.DataType, path: str = "") -> T.DataType:
+    """The least type that holds the values of both, field by field and element by element."""
+    if one == other:
+        return one
+    if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+        return wider_schema(one, other, path)
+    if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(wider_type(one.elementType, other.elementType, f"{path}[]"))
+    names = one.simpleString(), other.simpleString()
+    for line in WIDENING:
+        if all(n in line for n in names):
+            return max((one, other), key=lambda t: line.index(t.simpleString()))
+    raise ContractDrift(f"{path or 'value'}: no type holds both {names[0]} and {names[1]}")
+
+
+def wider_schema(old: T.StructType, new: T.StructType, path: str = "") -> T.StructType:
+    """The new contract's fields in order, widened where the old ones need it, then the fields it dropped; all nullable."""
+    known = {f.name: f.dataType for f in old.fields}
+    fields = [
+        T.StructField(f.name, wider_type(known[f.name], f.dataType, f"{path}.{f.name}".lstrip(".")) if f.name in known else f.dataType)
+        for f in new.fields
+    ]
+    return T.StructType([*fields, *[T.StructField(f.name, f.dataType) for f in old.fields if f.name not in new.fieldNames()]])
+
+
+def contract_changes(old: T.StructType, new: T.StructType, path: str = "") -> list[tuple[str, str, str | None, str | None]]:
+    """(field, change, old type, new type) of every field that is added, dropped, widened or narrowed; nested ones by path."""
+    out = []
+    known, wanted = ({f.name: f.dataType for f in s.fields} for s in (old, new))
+    for name in [*wanted, *[n for n in known if n not in wanted]]:
+        a, b, at = known.get(name), wanted.get(name), f"{path}{name}"
+        if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+            out += contract_changes(a, b, f"{at}.")
+        elif a is None or b is None:
+            out.append((at, "added" if a is None else "dropped", a and a.simpleString(), b and b.simpleString()))
+        elif a != b:
+            out.append((at, "widened" if wider_type(a, b, at) == b else "narrowed", a.simpleString(), b.simpleString()))
+    return out
+
+
+def _conformed(value: Column, kind: T.DataType, wanted: T.DataType) -> Column:
+    if kind == wanted:
+        return value
+    if isinstance(wanted, T.StructType):
+        have = {f.name: f.dataType for f in kind.fields}
+        made = F.struct(*[
+            (_conformed(value.getField(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ])
+        return F.when(value.isNotNull(), made)
+    if isinstance(wanted, T.ArrayType) and isinstance(wanted.elementType, (T.StructType, T.ArrayType)):
+        return F.transform(value, lambda x: _conformed(x, kind.elementType, wanted.elementType))
+    return value.cast(wanted)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of an older contract in the shape of a wider one: one projection; missing fields are NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        (_conformed(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ])
+
+
+def evolved(generations: Sequence[DataFrame]) -> DataFrame:
+    """Rows written under successive contracts, oldest first, as one table of the least contract above all of them."""
+    schema = reduce(wider_schema, [g.schema for g in generations])
+    return reduce(DataFrame.unionByName, [conform(g, schema) for g in generations])

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contracts import LATEST_VALID_GROUPS, Contract, whole_row_group
+from tidemark.contracts import LATEST_VALID_GROUPS, Contract, evolved, whole_row_group
 from tidemark.functions.alarms import alarms_paths, alarms_struct
 from tidemark.functions.clocks import date_parts, local_time, minutes_between
 from tidemark.functions.validity import bms_flag, iot_flag
-from tidemark.operators import digest, lifetimes, maintenance, opslog, parity, runs, traces, trend
+from tidemark.operators import compaction, digest, lifetimes, maintenance, opslog, parity, runs, traces, trend
 from tidemark.operators.bronze import PARTITIONS, to_bronze, with_local_clocks
 from tidemark.operators.decode import BAD_REASON, decode_counts, decode_json
 from tidemark.operators.latest import (
@@ -212,6 +212,35 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(flat_alarms(spark.read.schema(schema).parquet(path).drop("batch_key")))
 
 
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze appended batch by batch, then all days but the last rewritten as one batch folder each."""
+    path = shared_dir(spark, "bronze")
+    stored = [
+        to_bronze(rows, CONTRACT).withColumn("batch_id", F.lit(n).cast("long"))
+        for n, rows in enumerate(arriving(spark, sf_dir))
+    ]
+    for n in range(N_BATCHES):
+        append_batch(stored[n], path, f"b{n}", PARTITIONS)
+    schema = file_schema(stored[0].schema, PARTITIONS)
+    last = spark.read.schema(schema).parquet(path).agg(F.max(F.make_date(*PARTITIONS))).first()[0]
+    if last is not None:
+        compaction.compact(spark, path, schema, last)
+    return plain_times(flat_alarms(spark.read.schema(schema).parquet(path).drop("batch_key")))
+
+
+def bronze_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of bronze under two contracts: the older lacks a column, has one that went, and narrower numbers."""
+    rows = to_bronze(contract_rows(spark, sf_dir), CONTRACT)
+    newer = F.col("soc") % 2 == 0
+    old = rows.where(~newer).withColumns({
+        "soc": F.col("soc").cast("int"), "lat": F.col("lat").cast("float"), "firmware": F.col("deviceID").cast("string"),
+        "alarms": F.struct(F.col("alarms.alarmK").alias("alarmK"))}).drop("temperature")
+    paths = [shared_dir(spark, name) for name in ("older", "newer")]
+    for df, path in zip((old, rows.where(newer)), paths):
+        df.write.parquet(path)
+    return plain_times(flat_alarms(evolved([spark.read.parquet(p) for p in paths])))
+
+
 # ---- latest state
 
 def validity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -616,6 +645,8 @@ _QUERIES: dict[str, Query] = {
     "alarms_struct": alarms_struct_rows,
     "bronze_full": bronze_full,
     "bronze_table": bronze_table,
+    "bronze_compacted": bronze_compacted,
+    "bronze_evolved": bronze_evolved,
     "validity_flags": validity_flags,
     "latest_per_device": latest_per_device,
     "latest_row_number": latest_row_number,

@@ -197,6 +197,10 @@ def oracle_sql() -> dict[str, str]:
         'NULL::VARCHAR AS "underTemp" FROM dev',
         "bronze_full": _BRONZE,
         "bronze_table": DEVICE_CTE + f"{_BRONZE_BODY}, {_BATCH}::BIGINT AS batch_id FROM dev",
+        "bronze_compacted": DEVICE_CTE + f"{_BRONZE_BODY}, {_BATCH}::BIGINT AS batch_id FROM dev",
+        "bronze_evolved": f"SELECT * REPLACE (CASE WHEN soc % 2 = 0 THEN temperature END AS temperature, "
+        f'CASE WHEN soc % 2 = 0 THEN "overVoltage" END AS "overVoltage", CASE WHEN soc % 2 = 0 THEN "underTemp" END AS "underTemp"), '
+        f'CASE WHEN soc % 2 <> 0 THEN "deviceID"::VARCHAR END AS firmware FROM ({_BRONZE})',
         "validity_flags": DEVICE_CTE + flags,
         "latest_per_device": _LATEST,
         "latest_row_number": _SILVER_CTE

@@ -45,6 +45,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(location, True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; an error if the file system refuses."""
+    fs, location = _locate(spark, source)
+    if not fs.rename(location, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """One small text file (a contract or a rename map), whole."""
     row = spark.read.text(path, wholetext=True).first()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import LATEST_VALID_GROUPS, ColumnGroup, Contract, whole_row_group
+from tidemark.operators import compaction
 from tidemark.operators.bronze import PARTITIONS, bronze_to_events, to_bronze, with_local_clocks
 from tidemark.operators.decode import BAD_REASON, good_rows, refused_rows
 from tidemark.operators.latest import newest_structs
@@ -124,6 +125,14 @@ class Lake:
             return self.spark.createDataFrame([], self.bronze_schema())
         return reader.parquet(*present)
 
+    def compact_bronze(self, before: date, target_bytes: int = compaction.TARGET_BYTES) -> int:
+        """Rewrite closed days, those before a date, to files of a good size; returns how many.
+
+        It takes turns with the batches of this process. Another process must not write those days meanwhile.
+        """
+        with self.lock:
+            return compaction.compact(self.spark, self.bronze_path, self.bronze_schema(), before, target_bytes)
+
     def count_batch(self, decoded: DataFrame) -> dict[str, int]:
         """Rows, refused payloads and rows without a key; fills the cache of a persisted batch."""
         refused = F.col(BAD_REASON).isNotNull()
