@@ -170,6 +170,18 @@ def test_contamination(spark, make, block_words):
         assert tuple(r)[1:] == hits(text[r.doc_id], windows)
 
 
+def test_blocks_hold_what_they_may(spark, make):
+    """Every piece is in one block, and no block has more words than allowed."""
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(1 + i * 7 % 90))) for i in range(60)] + [(99, "one " * 500), (100, None)]
+    pieces, n = decontaminate.item_pieces(spark.createDataFrame(items, "item_id long, text string"), 10, 100)
+    blocks = list(decontaminate.item_blocks(pieces, n))
+    assert n == len(blocks) > 20 and max(sum(len(w) for _, w in b) for b in blocks) <= 100
+    windows = lambda w: {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))}
+    assert set().union(*(windows(w) for b in blocks for _, w in b)) == set().union(*(windows(t.split()) for _, t in items if t))
+    assert decontaminate.contamination(make([]), spark.createDataFrame(items, "item_id long, text string"), block_words=100).collect() == []
+    assert decontaminate.contamination(make([]), spark.createDataFrame([], "item_id long, text string")).collect() == []
+
+
 def test_contamination_of_given_tables(spark, sf_dir, run, documents):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     windows = windows_of(items)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tidemark.llm.common import free_name, stored
+from tidemark.operators.ordered import running_total
 from tidemark.llm.licenses import WORD_BYTES
 
 WINDOW = 10
@@ -177,21 +178,28 @@ class Matcher:
 
 
 def item_pieces(benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
-    """(item, w), and the number of blocks they make. Longer items are cut into pieces that overlap by a window."""
-    step = block_words - window + 1
+    """(item, w, block), and the number of blocks. Longer items are cut into pieces that overlap by a window.
+
+    Blocks follow the running number of words along the pieces' hashes. Pieces have at most half of block_words
+    and blocks begin at every half, so none holds more than block_words.
+    """
+    half = max(window, block_words // 2)
     split = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.coalesce("text", F.lit(""))).alias("w"))
     pieces = split.where(F.size("w") > 0).select("item", F.explode(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)), F.lit(step)),
-        lambda i: F.slice("w", i + 1, block_words))).alias("w")).distinct()
-    total = pieces.agg(F.sum(F.size("w"))).first()[0] or 0
-    return pieces, -(-total // block_words) or 1
+        F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)), F.lit(half - window + 1)),
+        lambda i: F.slice("w", i + 1, half))).alias("w")).distinct()
+    if (pieces.agg(F.sum(F.size("w"))).first()[0] or 0) <= block_words:
+        return pieces.withColumn("block", F.lit(0)), 1
+    placed = pieces.select("item", "w", F.size("w").cast("long").alias("words"), F.xxhash64("item", "w").alias("h"), F.lit(0).alias("all"))
+    along = running_total(placed, ["all"], "h", ["item", "w"], {"upto": F.col("words")}, [1 << 56])
+    numbered = stored(along.select("item", "w", F.expr(f"int((upto - words) div {half})").alias("block")), "items")
+    return numbered, 1 + numbered.agg(F.max("block")).first()[0]
 
 
 def item_blocks(pieces: DataFrame, n: int) -> Iterator[list[tuple[str | None, list[str]]]]:
-    """Bounded parts of the test set, as names and words."""
+    """Bounded parts of the test set, one at a time, as names and words."""
     for block in range(n):
-        rows = pieces.where(F.pmod(F.xxhash64("item", "w"), F.lit(n)) == block) if n > 1 else pieces
-        yield [(r["item"], r["w"]) for r in rows.collect()]
+        yield [(r["item"], r["w"]) for r in pieces.where(F.col("block") == block).collect()]
 
 
 MATCH_SCHEMA = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
@@ -230,16 +238,15 @@ def _joined(spans: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, spans, items): hit word ranges and the items whose windows a document holds."""
-    blocks = item_blocks(*item_pieces(benchmark, window, max(block_words, 2 * window)))
-    first, rest = next(blocks), list(blocks)
-    if not rest:
-        return _matches(docs, "doc_id", "text", first, window)
+    pieces, n = item_pieces(benchmark, window, max(block_words, 2 * window))
+    if n == 1:
+        return _matches(docs, "doc_id", "text", next(item_blocks(pieces, n)), window)
     keyed = docs.select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("k"), "doc_id", "text")
     hits = None
-    for block in [first, *rest]:
-        own = _matches(keyed, "k", "text", block, window).where(F.size("spans") > 0).drop("n_words")
+    for block in item_blocks(pieces, n):  # written block by block, so that one is held at a time
+        own = stored(_matches(keyed, "k", "text", block, window).where(F.size("spans") > 0).drop("n_words").distinct(), "hits")
         hits = own if hits is None else hits.union(own)
-    hits = hits.distinct().groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"),
+    hits = hits.groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     none = F.expr(f"cast(array() as {MATCH_SCHEMA.split('spans ')[1].split(', items')[0]})")
     return (keyed.select("k", "doc_id", F.size(words(F.coalesce("text", F.lit("")))).cast("long").alias("n_words"))
@@ -263,7 +270,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     if n == 1:
         kept = _cleaned(docs, next(item_blocks(pieces, n)), window, max_coverage)
     else:
-        kept = _cleaned_by_all(docs, stored(pieces, "items"), n, window, max_coverage)
+        kept = _cleaned_by_all(docs, pieces, n, window, max_coverage)
     return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)) if "n_chars" in kept.columns else kept
 
 
