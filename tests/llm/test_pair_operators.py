@@ -172,7 +172,7 @@ def test_removals_of_given_documents(run, documents):
 
 
 def test_levels_merge_like_a_counter(make):
-    index = substrings.SuffixIndex(12)
+    index = substrings.AnchorIndex(12)
     docs = passages(n=40)
     seen = []
     for i in range(5):

@@ -1,10 +1,11 @@
-"""Removal of byte strings that repeat anywhere, with a logarithmic family of sparse suffix arrays.
+"""Removal of byte strings that repeat anywhere, with a logarithmic family of sorted anchor hashes.
 
 A string of `length` bytes counts as repeated if it also starts elsewhere, in the same text or another.
-Suffixes are indexed at anchors only: in every window of `length` bytes the part of ANCHOR bytes with
-the least hash, so equal windows have equal anchors at equal places. Texts arrive in batches. A batch
-is sorted into suffix arrays by anchor, one per bucket; a merge scan against all existing levels finds
-the anchors that repeat; and levels of equal size are merged, as a binary counter carries, so n batches
+This takes the place of suffix arrays; no suffix is ordered by its bytes. Indexed are 64-bit hashes of
+anchors: in every window of `length` bytes the part of ANCHOR bytes with the least hash, so equal windows
+have equal anchors at equal places. Texts arrive in batches. A batch's hashes are sorted by bucket; they are
+joined with all existing levels to find the anchors that repeat; and levels of equal size become one, sorted
+again, as a binary counter carries, so n batches
 leave at most log2(n) + 1 levels. Only texts with repeated anchors are looked at again: the windows
 around those anchors are brought together and compared by 64-bit hashes of all their bytes, which
 settles each byte exactly (but for hash collisions between windows that share an anchor).
@@ -124,8 +125,8 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text)).alias("key"))
 
 
-class SuffixIndex:
-    """Levels of sparse suffix arrays, each a table of packed sorted arrays by bucket."""
+class AnchorIndex:
+    """Levels of anchor hashes, each a table of packed sorted arrays by bucket."""
 
     FIELDS = "kind string, bucket int, token binary, owner binary, keys binary"
 
@@ -146,9 +147,9 @@ class SuffixIndex:
         hot, keep = self.hot, not last
 
         def scan(table: pa.Table) -> pa.Table:
-            return _merge_scan(table, merged, hot, keep)
+            return _scan_levels(table, merged, hot, keep)
 
-        done = stored(rows.groupBy("bucket").applyInArrow(scan, self.FIELDS), "suffixes")
+        done = stored(rows.groupBy("bucket").applyInArrow(scan, self.FIELDS), "anchors")
         for i in range(level):
             del self.levels[i]
         if keep:
@@ -183,7 +184,7 @@ class SuffixIndex:
         return texts.select("key", "text").mapInArrow(run, self.FIELDS)
 
 
-def _merge_scan(table: pa.Table, merged: set[str], hot: int, keep: bool) -> pa.Table:
+def _scan_levels(table: pa.Table, merged: set[str], hot: int, keep: bool) -> pa.Table:
     kinds = table.column("kind").to_pylist()
     bucket = table.column("bucket")[0].as_py()
     tokens, keys = ([np.frombuffer(b, np.uint64) for b in table.column(c).to_pylist()] for c in ("token", "keys"))
@@ -352,7 +353,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
         F.col("doc_id").isNull().alias("z"), "doc_id")).alias("x"))
     size = facts.agg(F.sum("n_bytes")).first()[0] or 0
     n_buckets = max(12, -(-size // (length - anchor) * 2 // BUCKET_ROWS))
-    index = SuffixIndex(n_buckets, length, anchor, hot)
+    index = AnchorIndex(n_buckets, length, anchor, hot)
     flags = None
     for i in range(batches):
         share = rows.where(F.octet_length("text") >= length).where(F.pmod(F.crc32("key"), F.lit(batches)) == i)
