@@ -20,6 +20,7 @@ from tidemark.operators.opslog import parse_batches
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.session import configure_state_store
 from tidemark.sources import files
+from tidemark.sources.state import read_state, state_operators
 from tidemark.sources.streams import file_options, file_stream, kafka_options
 from tidemark.streaming import app
 from tidemark.streaming.jobs import expire_silver, quiet_merge, start_ingest, start_silver, start_stateful
@@ -519,3 +520,19 @@ def test_plan_takes_days_with_more_files_than_bytes_need(spark):
         "year int, month int, day int, batch_key string, file string, bytes long")
     plan = compaction.compaction_plan(sizes, date(2024, 1, 9), target_bytes=1000)
     assert rows(plan, "day", "n_files", "bytes", "n_target") == [(1, 2, 200, 1)]
+
+
+def test_state_is_read_back_at_any_batch(spark, lake, landing):
+    configure_state_store(spark)
+    for minute in range(3):
+        landing.add(payload(1, minute), payload(minute + 10, minute))
+    run(start_stateful(lake, landing.stream(), lambda df, n: df.count(), trigger=ONCE))
+    operators = state_operators(spark, lake.checkpoint("stateful")).first()
+    assert operators.operatorName == "stateStoreSave" and operators.minBatchId == 0
+    assert [lake.read_state(batch_id=n).count() for n in range(3)] == [2, 3, 4]
+    assert rows(lake.read_state(batch_id=0).where(f"{KEY} = 1").select("row.ts")) != rows(lake.read_state().where(f"{KEY} = 1").select("row.ts"))
+    # silver lost, or never written: the checkpoint has what it takes
+    lake.upsert(lake.read_state())
+    assert rows(lake.latest_valid.read()) == landing.expected()
+    with pytest.raises(ValueError, match="4 values"):
+        read_state(spark, lake.checkpoint("stateful"), ["row"])

@@ -394,6 +394,14 @@ def stream_stateful_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(table.read())
 
 
+def state_readback_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stateful query knows after all events, read from its checkpoint; the query itself writes nothing."""
+    configure_state_store(spark)
+    lake = new_lake(spark)
+    _run(start_stateful(lake, payload_stream(spark, sf_dir, lake), lambda changed, batch_id: changed.count(), trigger=ONCE))
+    return plain_times(lake.read_state().select(KEY, *[f"g{i}.*" for i in range(len(LATEST_VALID_GROUPS))]))
+
+
 # ---- upkeep and operations data
 
 def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -666,6 +674,7 @@ _QUERIES: dict[str, Query] = {
     "stream_chain_valid": stream_chain_valid,
     "stream_bronze_valid": stream_bronze_valid,
     "stream_stateful_valid": stream_stateful_valid,
+    "state_readback_valid": state_readback_valid,
     "snapshot_expire_select": snapshot_expire_select,
     "maintenance_schedule": maintenance_schedule,
     "snapshot_growth": snapshot_growth,

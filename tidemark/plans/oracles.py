@@ -222,6 +222,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_chain_valid": _COMBINED,
         "stream_bronze_valid": _COMBINED_FLAT,
         "stream_stateful_valid": _COMBINED,
+        "state_readback_valid": _COMBINED,
         "snapshot_expire_select": """
             SELECT "table", snapshot_id, committed_at FROM (
               SELECT event_type AS "table", event_id AS snapshot_id, ts AS committed_at,

@@ -42,6 +42,7 @@ from tidemark.operators.sinks import (
     upsert_table,
 )
 from tidemark.sources import files
+from tidemark.sources.state import read_state
 
 logger = logging.getLogger("tidemark")
 
@@ -165,6 +166,11 @@ class Lake:
         named.update({f"g{i}": g for i, g in enumerate(self.valid_groups)})
         return newest_structs(events, self.contract.key, named)
 
+    def read_state(self, checkpoint: str = "stateful", batch_id: int | None = None) -> DataFrame:
+        """Newest structs per key as the stateful query holds them after a batch: what upsert can write to silver."""
+        names = ["row", *[f"g{i}" for i in range(len(self.valid_groups))]]
+        return read_state(self.spark, self.checkpoint(checkpoint), names, batch_id)
+
     def upsert(self, structs: DataFrame) -> None:
         """Merge newest structs (one row per key and `_seq`) into both silver tables."""
         order = [SEQUENCE] if SEQUENCE in structs.columns else []
