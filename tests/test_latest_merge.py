@@ -197,3 +197,12 @@ def test_skipping_batches_would_lose_devices(spark):
     dropped = fold_batches(parts[:1], KEY, LATEST_VALID_GROUPS)
     assert rows(kept, KEY, "ts") == [(1, at(3)), (2, at(2))]
     assert rows(dropped, KEY, "ts") == [(1, at(1))]
+
+
+def test_a_tiebreak_column_decides_equal_clocks(spark):
+    data = [(1, 5, 9, 1), (1, 5, 1, 2), (1, 4, 9, 9), (2, None, 1, 1), (2, None, 2, None), (3, 1, None, 1), (3, 1, 0, 1), (None, 9, 9, 9)]
+    df = spark.createDataFrame(data, "k long, ts long, v long, n long")
+    want = [(1, 5, 1, 2), (2, None, 1, 1), (3, 1, 0, 1)]
+    assert rows(latest_per_key(df, "k", tiebreak="n")) == want
+    assert rows(latest_by_row_number(df.where("k < 3"), "k", tiebreak="n")) == want[:2]
+    assert rows(latest_per_key(df, "k"), "k", "v") == [(1, 9), (2, 2), (3, 0)]

@@ -40,21 +40,25 @@ def _newest(schema: T.StructType, clock: str, columns: Sequence[tuple[str, str]]
     return F.max_by(whole, rank if test is None else F.when(F.expr(test), rank))
 
 
-def latest_per_key(df: DataFrame, key: str, clock: str = "ts") -> DataFrame:
+def latest_per_key(df: DataFrame, key: str, clock: str = "ts", tiebreak: str | None = None) -> DataFrame:
     """One row per key, the one with the largest clock. Columns: key, clock, rest.
 
-    A single group that holds every column. Rows without a key belong to no key and are left out.
+    A single group that holds every column. Rows without a key belong to no key and are left out. Equal clocks go
+    to the largest tiebreak, where one is given, and then to the larger other columns in order; NULLs are smallest.
     """
-    rest = {c: c for c in df.columns if c not in (key, clock)}
-    return newest_structs(df, key, {"_newest": ColumnGroup(clock, rest, None, clock)}).select(key, "_newest.*")
+    others = [c for c in df.columns if c not in (key, clock)]
+    first = [] if tiebreak in (None, key, clock) else [tiebreak]
+    ordered = {c: c for c in (*first, *others)}
+    newest = newest_structs(df, key, {"_newest": ColumnGroup(clock, ordered, None, clock)})
+    return newest.select(key, *[F.col("_newest").getField(c).alias(c) for c in (clock, *others)])
 
 
-def latest_by_row_number(df: DataFrame, key: str, clock: str = "ts") -> DataFrame:
+def latest_by_row_number(df: DataFrame, key: str, clock: str = "ts", tiebreak: str | None = None) -> DataFrame:
     """The same by ranking rows; Spark limits each group to one row before the shuffle.
 
-    Equal clocks go to any of their rows here.
+    Equal clocks go to the largest tiebreak, or without one to any of their rows here.
     """
-    newest_first = Window.partitionBy(key).orderBy(F.col(clock).desc())
+    newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in (clock, tiebreak) if c])
     names = [clock, *[c for c in df.columns if c not in (key, clock)]]
     return (
         df.where(F.col(key).isNotNull())

@@ -97,7 +97,8 @@ def parse_behind(lines: DataFrame) -> DataFrame:
 def behind_trend(behind: DataFrame) -> DataFrame:
     """Per hour: slow batches, how long they took, the largest task, and whether the mean time rose.
 
-    The window runs over one row per hour.
+    The window runs over one row per hour of a day, so the first hour of a day never counts as rising; whether
+    the times rise over all hours is trend_verdict's question.
     """
     hourly = behind.groupBy(F.date_trunc("hour", "logged_at").alias("hour")).agg(
         F.count("took_ms").alias("n_behind"),

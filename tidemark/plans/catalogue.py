@@ -561,6 +561,11 @@ def latest_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(latest_per_key(edge_silver(spark, sf_dir).drop("event_id"), KEY))
 
 
+def latest_tiebreak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clocks of the same hour tie, and the larger event id decides."""
+    return plain_times(latest_per_key(edge_silver(spark, sf_dir), KEY, tiebreak="event_id"))
+
+
 def silver_combined_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(combine_one_pass(edge_silver(spark, sf_dir), KEY, LATEST_VALID_GROUPS))
 
@@ -694,6 +699,7 @@ _QUERIES: dict[str, Query] = {
     "table_inventory": inventory,
     "decode_clock_edges": decode_clock_edges,
     "latest_edges": latest_edges,
+    "latest_tiebreak": latest_tiebreak,
     "silver_combined_edges": silver_combined_edges,
     "silver_merge_edges": silver_merge_edges,
     "silver_table_edges": silver_table_edges,

@@ -335,6 +335,9 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN "pushedAt" {_FAR} THEN {_local('pushedAt')} END AS pushed_local, NULL::VARCHAR AS reason
             FROM edge""",
         "latest_edges": _EDGE_LATEST,
+        "latest_tiebreak": _EDGE_CTE.replace("AS batch, ", "AS batch, event_id, ", 1) + f"""
+            SELECT {', '.join(map(_q, _COLUMNS))}, event_id FROM es
+            QUALIFY row_number() OVER (PARTITION BY "deviceID" ORDER BY ts DESC NULLS LAST, event_id DESC) = 1""",
         "silver_combined_edges": _EDGE_COMBINED,
         "silver_merge_edges": _EDGE_MERGED,
         "silver_table_edges": _EDGE_MERGED,
