@@ -23,7 +23,7 @@ from tidemark.sources import files
 from tidemark.sources.state import read_state, state_operators
 from tidemark.sources.streams import file_options, file_stream, kafka_options
 from tidemark.streaming import app
-from tidemark.streaming.jobs import expire_silver, quiet_merge, start_ingest, start_silver, start_stateful
+from tidemark.streaming.jobs import expire_silver, quiet_merge, start_ingest, start_seeded, start_silver, start_stateful
 from tidemark.streaming.lake import CatalogLake, Lake
 from tidemark.streaming.policy import BatchTimes, expiry_due, is_transient, silver_due, supervise
 
@@ -468,8 +468,8 @@ def test_closed_days_are_compacted(spark, lake, landing):
     """Fifty batches over three days: one folder a closed day, the open one as it was, and the same rows."""
     for n in range(50):
         decoded = decode(spark.createDataFrame([(payload(1, 1440 * (n % 3) + n),), (payload(2, 1440 * (n % 3)),)], "value string"), CONTRACT)
-        lake.write_bronze(decoded, n, {"rows": 2, "refused": 0})
-    lake.write_bronze(decode(spark.createDataFrame([(payload(3, 0, ts=None),)], "value string"), CONTRACT), 50, {"rows": 1, "refused": 0})
+        lake.write_bronze(decoded, n)
+    lake.write_bronze(decode(spark.createDataFrame([(payload(3, 0, ts=None),)], "value string"), CONTRACT), 50)
     before, found = rows(lake.read_bronze().drop("batch_key")), leaves(lake)
     assert len(found) == 51
     assert lake.compact_bronze(date(2024, 1, 3)) == 2
@@ -479,14 +479,14 @@ def test_closed_days_are_compacted(spark, lake, landing):
     assert [f for f in after if "day=3/" in f or "HIVE" in f] == [f for f in found if "day=3/" in f or "HIVE" in f]
     assert lake.compact_bronze(date(2024, 1, 3)) == 0  # nothing left to gain
     # a late row makes a closed day worth it again
-    lake.write_bronze(decode(spark.createDataFrame([(payload(9, 5),)], "value string"), CONTRACT), 51, {"rows": 1, "refused": 0})
+    lake.write_bronze(decode(spark.createDataFrame([(payload(9, 5),)], "value string"), CONTRACT), 51)
     assert lake.compact_bronze(date(2024, 1, 3)) == 1 and lake.read_bronze().count() == 102
     assert {p.name for p in Path(lake.bronze_path).parent.iterdir()} == {"iot", "iot_aside"} and not list(Path(f"{lake.bronze_path}_aside").iterdir())
 
 
 def test_compaction_leaves_a_day_that_changes_and_recovers(spark, lake, monkeypatch):
     for n in range(3):
-        lake.write_bronze(decode(spark.createDataFrame([(payload(n, n),)], "value string"), CONTRACT), n, {"rows": 1, "refused": 0})
+        lake.write_bronze(decode(spark.createDataFrame([(payload(n, n),)], "value string"), CONTRACT), n)
     real, calls = compaction.leaf_files, []
 
     def one_more(session, folder):
@@ -536,3 +536,66 @@ def test_state_is_read_back_at_any_batch(spark, lake, landing):
     assert rows(lake.latest_valid.read()) == landing.expected()
     with pytest.raises(ValueError, match="4 values"):
         read_state(spark, lake.checkpoint("stateful"), ["row"])
+
+
+def test_batches_are_counted_while_they_are_written(spark, lake, landing, monkeypatch):
+    """No counting job for a batch with good rows; one without is counted afterwards; a replay counts once."""
+    counted, count = [], Lake.count_batch
+    monkeypatch.setattr(Lake, "count_batch", lambda self, decoded: counted.append(1) or count(self, decoded))
+    landing.add(payload(1, 1), payload(2, 1), payload(None, 3), "broken {")
+    landing.add(payload(1, 2), payload(2, 1, ts=10**18), "")
+    ingest(lake, landing)
+    assert counted == []
+    landing.add("broken {", "broken [")
+    ingest(lake, landing)
+    assert len(counted) <= 1
+    done = lake.read_progress()
+    found = rows(done.select("batch_id", "silver", "outcomes.*"))
+    assert [r[:6] for r in found] == [(0, True, 2, 1, 0, 1), (1, False, 1, 0, 1, 0), (2, True, 0, 0, 0, 2)]
+    assert found[1][6] == 1 and rows(spark.read.parquet(lake.quarantine_path).groupBy("reason").count()) == [
+        ("clock out of range", 1), ("corrupt", 3), ("empty", 1)]
+    again = done.where("batch_id = 1").first()
+    for day_later in (0, 86_400_000):
+        lake.record_progress(spark, 1, {"good": 7}, again["started_ms"] + day_later, False)
+    manual = lake.read_progress().where("outcomes.good = 7")
+    assert manual.count() == 1 and lake.read_progress().count() == 4
+    assert Lake(spark, f"{lake.root}/none", CONTRACT).read_progress().count() == 0
+
+
+def test_state_starts_from_silver(spark, lake, landing):
+    """A fresh checkpoint knows keys it has not seen, keeps the stored struct on equal clocks, and survives a restart."""
+    configure_state_store(spark)
+    first = [payload(1, 5, voltage=51.0), payload(2, 1), payload(4, 1, voltage=None, lat=None, lon=None)]
+    lake.upsert_decoded(decode(spark.createDataFrame([(t,) for t in first], "value string"), CONTRACT))
+    landing.texts += first
+    seen = {}
+
+    def sink(changed, batch_id):
+        seen.setdefault(batch_id, []).extend(r[0] for r in changed.select(KEY).collect())
+
+    # device 1: equal and older clocks; 2: newer; 3: new; 4: valid for the first time; none for a row without key
+    landing.add(payload(1, 5, voltage=99.0), payload(1, 4), payload(2, 7, voltage=52.0), payload(None, 9))
+    landing.add(payload(3, 1), payload(4, 2), payload(2, 6))
+    ingest(lake, landing, every=None)
+    run(start_seeded(lake, sink, ONCE))
+    held = lake.read_seeded()
+    valid = [f"g{i}.*" for i in range(len(LATEST_VALID_GROUPS))]
+    expected = [r for r in landing.expected() if r[0] != 1]
+    assert [r for r in rows(held.select(KEY, *valid)) if r[0] != 1] == expected
+    assert rows(held.where(f"{KEY} = 1").select("g1.voltage")) == [(51.0,)]
+    assert sorted({k for keys in seen.values() for k in keys}) == [2, 3, 4]
+    landing.add(payload(3, 2, voltage=53.0))
+    ingest(lake, landing, every=None)
+    seen.clear()
+    run(start_seeded(lake, sink, ONCE))
+    assert [k for keys in seen.values() for k in keys] == [3]
+    assert rows(lake.read_seeded().where(f"{KEY} = 3").select("g1.voltage")) == [(53.0,)] and lake.read_seeded().count() == 4
+
+
+def test_state_without_silver_starts_empty(spark, lake, landing):
+    configure_state_store(spark)
+    landing.add(payload(1, 1), payload(2, 1, lon=0.0))
+    ingest(lake, landing, every=None)
+    run(start_seeded(lake, lambda changed, batch_id: lake.upsert(changed), ONCE))
+    assert rows(lake.latest_valid.read()) == landing.expected()
+    assert lake.latest.read().count() == 2

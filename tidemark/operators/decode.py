@@ -14,6 +14,9 @@ from tidemark.functions.clocks import in_calendar
 
 BAD_PAYLOAD = "_bad_payload"
 BAD_REASON = "_bad_reason"
+# What may become of a row; the last three are reasons of refusal.
+OUTCOMES = ("good", "no key", "empty", "corrupt", "clock out of range")
+REFUSALS = OUTCOMES[2:]
 _CORRUPT = "_corrupt_text"
 _PAYLOAD = "_payload"
 
@@ -119,9 +122,16 @@ def refused_rows(decoded: DataFrame) -> DataFrame:
     )
 
 
+def outcome(contract: Contract) -> Column:
+    """What became of a decoded row: good, good without a key, or the reason of refusal."""
+    return F.coalesce(F.col(BAD_REASON), F.when(F.col(contract.key).isNull(), "no key").otherwise("good"))
+
+
+def outcome_counts(contract: Contract) -> list[Column]:
+    """One aggregate per outcome, to be observed while rows pass."""
+    return [F.count_if(outcome(contract) == name).alias(name) for name in OUTCOMES]
+
+
 def decode_counts(decoded: DataFrame, contract: Contract) -> DataFrame:
-    """Rows per outcome: good, good without a key, or the reason of refusal."""
-    outcome = F.coalesce(
-        F.col(BAD_REASON), F.when(F.col(contract.key).isNull(), "no key").otherwise("good")
-    )
-    return decoded.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n_rows"))
+    """Rows per outcome."""
+    return decoded.groupBy(outcome(contract).alias("outcome")).agg(F.count("*").alias("n_rows"))

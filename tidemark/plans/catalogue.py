@@ -14,7 +14,7 @@ from tidemark.functions.clocks import date_parts, local_time, minutes_between
 from tidemark.functions.validity import bms_flag, iot_flag
 from tidemark.operators import compaction, digest, lifetimes, maintenance, opslog, parity, runs, traces, trend
 from tidemark.operators.bronze import PARTITIONS, to_bronze, with_local_clocks
-from tidemark.operators.decode import BAD_REASON, decode_counts, decode_json
+from tidemark.operators.decode import BAD_REASON, OUTCOMES, decode_counts, decode_json
 from tidemark.operators.latest import (
     combine_by_joins,
     combine_one_pass,
@@ -22,14 +22,14 @@ from tidemark.operators.latest import (
     latest_per_key,
     latest_valid,
 )
-from tidemark.operators.merge import fold_batches, merge_by_join, merge_pending
+from tidemark.operators.merge import SEQUENCE, fold_batches, merge_by_join, merge_pending
 from tidemark.operators.sinks import BucketedTable, append_batch, file_schema, upsert_table
 from tidemark.plans.device_view import DEVICE_CONTRACT as CONTRACT
 from tidemark.plans.device_view import RENAME_MAP, device_rows, edge_rows, load_table
 from tidemark.session import configure, configure_state_store, shared_dir
 from tidemark.sources.streams import file_stream
 from tidemark.sources.tables import table_inventory
-from tidemark.streaming.jobs import start_ingest, start_silver, start_stateful
+from tidemark.streaming.jobs import start_ingest, start_seeded, start_silver, start_stateful
 from tidemark.streaming.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -321,14 +321,14 @@ def new_lake(spark: SparkSession) -> Lake:
     return Lake(spark, shared_dir(spark, "lake"), CONTRACT)
 
 
-def payload_stream(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
-    """All events as payload files, read back as a stream of a few micro-batches."""
+def payload_stream(spark: SparkSession, sf_dir: str, lake: Lake, damaged: bool = False, skip: int = 0) -> DataFrame:
+    """Events as payload files, read back as a stream of a few micro-batches; all of them, or without the first batches."""
     landing = f"{lake.root}/landing"
     ranges = event_ranges(spark, sf_dir)
     number = F.coalesce(*[
         F.when(F.col("event_id") <= high, F.lit(n)) for n, (_, high) in enumerate(ranges)
     ])
-    payloads = with_payload(spark, sf_dir).select(number.alias("batch"), "value")
+    payloads = with_payload(spark, sf_dir, damaged).where(F.col("event_id") >= ranges[skip][0]).select(number.alias("batch"), "value")
     payloads.hint("rebalance", "batch").write.partitionBy("batch").parquet(landing)
     return file_stream(spark, landing, "value string", max_files_per_trigger=FILES_PER_TRIGGER)
 
@@ -402,6 +402,30 @@ def state_readback_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(lake.read_state().select(KEY, *[f"g{i}.*" for i in range(len(LATEST_VALID_GROUPS))]))
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by outcome over all batches of a stream with damaged payloads, from what each batch observed."""
+    lake = new_lake(spark)
+    _run(start_ingest(lake, payload_stream(spark, sf_dir, lake, damaged=True), silver_every=2, trigger=ONCE))
+    sums = lake.read_progress().agg(*[F.sum(F.col("outcomes")[o]).alias(o) for o in OUTCOMES])
+    by_outcome = F.explode(F.create_map(*[x for o in OUTCOMES for x in (F.lit(o), F.col(o))])).alias("outcome", "n_rows")
+    return sums.select(by_outcome).where("n_rows > 0")
+
+
+def stream_seeded_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver holds the first batches; only the others are streamed, into state that starts from silver.
+
+    The result is the state itself, whose keys without a new event are known from silver alone.
+    """
+    configure_state_store(spark)
+    lake = new_lake(spark)
+    half = N_BATCHES // 2 + 1
+    for n, rows in enumerate(batches(spark, sf_dir)[:half]):
+        lake.upsert(lake.newest(rows).withColumn(SEQUENCE, F.lit(n)))
+    _run(start_ingest(lake, payload_stream(spark, sf_dir, lake, skip=half), silver_every=None, trigger=ONCE))
+    _run(start_seeded(lake, lambda changed, batch_id: changed.count(), trigger=ONCE))
+    return plain_times(lake.read_seeded().select(KEY, *[f"g{i}.*" for i in range(len(LATEST_VALID_GROUPS))]))
+
+
 # ---- upkeep and operations data
 
 def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -680,6 +704,8 @@ _QUERIES: dict[str, Query] = {
     "stream_bronze_valid": stream_bronze_valid,
     "stream_stateful_valid": stream_stateful_valid,
     "state_readback_valid": state_readback_valid,
+    "stream_progress": stream_progress,
+    "stream_seeded_valid": stream_seeded_valid,
     "snapshot_expire_select": snapshot_expire_select,
     "maintenance_schedule": maintenance_schedule,
     "snapshot_growth": snapshot_growth,

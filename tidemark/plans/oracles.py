@@ -111,6 +111,9 @@ _EDGE_MERGED = _EDGE_CTE + ', d AS (SELECT DISTINCT "deviceID", batch FROM es)'
     f"CASE WHEN {n}w.ts IS NULL THEN -batch ELSE batch END) = 1)"
     for n, (columns, test) in _GROUPS.items()) + (
     f' SELECT k."deviceID", {_EDGE_OUT} FROM k LEFT JOIN b USING ("deviceID") LEFT JOIN i USING ("deviceID")')
+_OUTCOMES = """
+SELECT CASE WHEN event_type = 'error' THEN 'corrupt' ELSE 'good' END AS outcome, count(*) AS n_rows FROM events GROUP BY 1
+"""
 _LATE = _COMBINED.replace("FROM dev)", 'FROM dev WHERE event_id % 13 <> 0)')
 _WARNINGS = """
 WITH w AS (SELECT date_trunc('second', ts) AS logged_at, event_type,
@@ -184,9 +187,8 @@ def oracle_sql() -> dict[str, str]:
               ELSE props END AS p FROM events)""",
         "decode_device_rows": DEVICE_CTE
         + f"SELECT event_id, {whole}, CASE WHEN event_type = 'error' THEN 'corrupt' END AS reason FROM dev",
-        "decode_outcomes": """
-            SELECT CASE WHEN event_type = 'error' THEN 'corrupt' ELSE 'good' END AS outcome,
-              count(*) AS n_rows FROM events GROUP BY 1""",
+        "decode_outcomes": _OUTCOMES,
+        "stream_progress": _OUTCOMES,
         "bronze_latency": DEVICE_CTE + f"SELECT event_id, {_LATENCIES} FROM dev",
         "bronze_time_parts": DEVICE_CTE + f"SELECT event_id, {_local('ts')} AS ts, {_PARTS} FROM dev",
         "silver_times": _SILVER_CTE + "SELECT event_id, " + ", ".join(map(_q, _EPOCHS)) + " FROM s",
@@ -223,6 +225,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_bronze_valid": _COMBINED_FLAT,
         "stream_stateful_valid": _COMBINED,
         "state_readback_valid": _COMBINED,
+        "stream_seeded_valid": _COMBINED,
         "snapshot_expire_select": """
             SELECT "table", snapshot_id, committed_at FROM (
               SELECT event_type AS "table", event_id AS snapshot_id, ts AS committed_at,

@@ -56,3 +56,13 @@ def read_text(spark: SparkSession, path: str) -> str:
     """One small text file (a contract or a rename map), whole."""
     row = spark.read.text(path, wholetext=True).first()
     return "" if row is None else row[0]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small text file, in place of an earlier one; no Spark job."""
+    fs, location = _locate(spark, path)
+    out = fs.create(location, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()

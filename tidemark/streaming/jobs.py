@@ -16,6 +16,7 @@ from tidemark.operators.decode import decode, good_rows
 from tidemark.operators.maintenance import SILVER_EVERY
 from tidemark.sources.files import ensure_folder
 from tidemark.sources.streams import file_options, file_stream
+from tidemark.streaming import seeded
 from tidemark.streaming.lake import Lake
 from tidemark.streaming.policy import expiry_due, is_transient, silver_due
 
@@ -47,7 +48,8 @@ def ingest_batch(
 ) -> Callable[[DataFrame, int], None]:
     """One decoded micro-batch to bronze and, if silver is wanted, on to silver.
 
-    Bronze goes first and its failure ends the query. The batch then leaves its
+    Bronze goes first and its failure ends the query; its rows are counted on the
+    way, and kept as progress once the batch is done. The batch then leaves its
     newest row per key behind as pending. With silver_every, silver runs on every
     nth batch over all that is pending, and earlier once the oldest pending row has
     waited longer than the lake's silver interval. An empty batch merges on the same
@@ -60,25 +62,25 @@ def ingest_batch(
     def process(decoded: DataFrame, batch_id: int) -> None:
         decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = lake.count_batch(decoded)
-            if not counts["rows"]:
+            began_ms = int(time.time() * 1000)
+            counts = lake.write_bronze(decoded, batch_id)
+            if not any(counts.values()):
                 logger.info("Batch %d: empty, skipping.", batch_id)
                 if silver_every is not None and lake.pending_since() is not None and (
                     silver_due(batch_id, silver_every) or lake.pending_is_old()
                 ):
                     merge_silver(lake, decoded, batch_id)
                 return
-            lake.write_bronze(decoded, batch_id, counts)
             if pending:
                 lake.add_pending(decoded, batch_id, started_s)
-            if silver_every is None:
-                return
-            if not silver_due(batch_id, silver_every) and not lake.pending_is_old():
+            due = silver_every is not None and (silver_due(batch_id, silver_every) or lake.pending_is_old())
+            if due:
+                merge_silver(lake, decoded, batch_id)
+                if expiry_due(batch_id, silver_every):
+                    expire_silver(lake, batch_id)
+            elif silver_every is not None:
                 logger.info("[Silver] Batch %d: skipped (cadence 1-in-%d)", batch_id, silver_every)
-                return
-            merge_silver(lake, decoded, batch_id)
-            if expiry_due(batch_id, silver_every):
-                expire_silver(lake, batch_id)
+            lake.record_progress(decoded.sparkSession, batch_id, counts, began_ms, due)
         finally:
             decoded.unpersist()
 
@@ -148,6 +150,13 @@ def start_ingest(
     return _start(decoded, callback, lake.checkpoint(checkpoint), trigger, f"tidemark-{checkpoint}")
 
 
+def pending_stream(lake: Lake, **limits) -> DataFrame:
+    """The rows that ingest keeps for silver, as a stream; files go once they are merged."""
+    ensure_folder(lake.spark, lake.pending_path)
+    options = {"cleanSource": "delete", **file_options(**{"ignore_missing_files": False, **limits})}
+    return lake.spark.readStream.schema(lake.pending_schema()).options(**options).parquet(lake.pending_path)
+
+
 def start_silver(
     lake: Lake,
     trigger: Mapping = SILVER_TRIGGER,
@@ -167,12 +176,7 @@ def start_silver(
     query; its files are listed at every trigger.
     """
     if source == "pending":
-        ensure_folder(lake.spark, lake.pending_path)
-        options = {"cleanSource": "delete", **file_options(**{"ignore_missing_files": False, **limits})}
-        stream = (
-            lake.spark.readStream.schema(lake.pending_schema()).options(**options).parquet(lake.pending_path)
-        )
-        upsert = lake.upsert
+        stream, upsert = pending_stream(lake, **limits), lake.upsert
     else:
         ensure_folder(lake.spark, lake.bronze_path)
         stream = file_stream(
@@ -228,3 +232,36 @@ def start_stateful(
         .trigger(**trigger)
         .start()
     )
+
+
+def start_seeded(
+    lake: Lake,
+    sink: Callable[[DataFrame, int], None],
+    trigger: Mapping = SILVER_TRIGGER,
+    checkpoint: str = "seeded",
+    **limits,
+) -> StreamingQuery:
+    """Keyed state that starts from silver: a fresh checkpoint needs neither a replay nor a merge with stored rows.
+
+    It takes the place of start_silver behind ingest, whose pending rows are folded to one per key and batch, so
+    that a key with a third of all events reaches its task as one row a batch. The sink receives changed keys with
+    all their groups. Silver is read once, in the first batch of a checkpoint.
+    """
+    structs = seeded.newest_states(
+        pending_stream(lake, **limits), lake.stored_structs(), lake.contract.key, lake.clocks())
+
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        changed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sink(changed, batch_id)
+        finally:
+            changed.unpersist()
+
+    return (
+        structs.writeStream.outputMode("update")
+        .foreachBatch(publish)
+        .queryName(f"tidemark-{checkpoint}")
+        .option("checkpointLocation", lake.checkpoint(checkpoint))
+        .trigger(**trigger)
+        .start()
+    )

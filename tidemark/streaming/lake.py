@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import threading
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import LATEST_VALID_GROUPS, ColumnGroup, Contract, whole_row_group
 from tidemark.operators import compaction
 from tidemark.operators.bronze import PARTITIONS, bronze_to_events, to_bronze, with_local_clocks
-from tidemark.operators.decode import BAD_REASON, good_rows, refused_rows
-from tidemark.operators.latest import newest_structs
+from tidemark.operators.decode import OUTCOMES, REFUSALS, good_rows, outcome_counts, refused_rows
+from tidemark.operators.latest import latest_per_key, newest_structs
 from tidemark.operators.maintenance import (
     OLDER_THAN_HOURS,
     RETAIN_LAST,
@@ -43,11 +44,18 @@ from tidemark.operators.sinks import (
 )
 from tidemark.sources import files
 from tidemark.sources.state import read_state
+from tidemark.streaming import seeded
 
 logger = logging.getLogger("tidemark")
 
 # Fixed value: how long a pending row may wait for silver, as the separate silver trigger has it.
 SILVER_INTERVAL_S = 300
+# The outcomes are a struct, since maps have no order by which the last of several lines could be found.
+PROGRESS = T.StructType([
+    *[T.StructField(n, t) for n, t in (("batch_key", T.StringType()), ("batch_id", T.LongType()), ("day", T.DateType()),
+                                       ("started_ms", T.LongType()), ("took_ms", T.LongType()), ("silver", T.BooleanType()))],
+    T.StructField("outcomes", T.StructType([T.StructField(o, T.LongType()) for o in OUTCOMES])),
+])
 
 
 def batch_key(spark: SparkSession, batch_id: int) -> str:
@@ -135,29 +143,58 @@ class Lake:
             return compaction.compact(self.spark, self.bronze_path, self.bronze_schema(), before, target_bytes)
 
     def count_batch(self, decoded: DataFrame) -> dict[str, int]:
-        """Rows, refused payloads and rows without a key; fills the cache of a persisted batch."""
-        refused = F.col(BAD_REASON).isNotNull()
-        return decoded.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(refused).alias("refused"),
-            F.count_if(~refused & F.col(self.contract.key).isNull()).alias("without_key"),
-        ).first().asDict()
-
-    def write_bronze(self, decoded: DataFrame, batch_id: int, counts: dict[str, int]) -> None:
-        """Append a decoded micro-batch; refused payloads go to quarantine."""
+        """Rows of a batch by outcome, in a job of their own."""
+        return decoded.agg(*outcome_counts(self.contract)).first().asDict()
+
+    def write_bronze(self, decoded: DataFrame, batch_id: int) -> dict[str, int]:
+        """Append a decoded micro-batch; refused payloads go to quarantine. Returns its rows by outcome.
+
+        They are counted while bronze is written, which also fills the cache of a persisted batch. A batch
+        without a good row is planned away together with its counters, and counted afterwards. A stage that
+        runs again after a lost executor may be counted again; that a count is zero stays right.
+        """
         key = batch_key(decoded.sparkSession, batch_id)
-        stored = to_bronze(good_rows(decoded), self.contract).select(
+        seen = Observation()
+        good = good_rows(decoded.observe(seen, *outcome_counts(self.contract)))
+        stored = to_bronze(good, self.contract).select(
             "*", F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("ingest_ts")
         )
-        if counts["rows"] > counts["refused"]:
-            self._store_bronze(stored, key)
-        if counts["refused"]:
+        self._store_bronze(stored, key)
+        counts = seen.get or self.count_batch(decoded)
+        if any(counts[r] for r in REFUSALS):
             append_batch(refused_rows(decoded), self.quarantine_path, key)
-        logger.info("[Bronze] Batch %d: written (%s)", batch_id, counts)
+        if any(counts.values()):
+            logger.info("[Bronze] Batch %d: written (%s)", batch_id, counts)
+        return counts
 
     def _store_bronze(self, rows: DataFrame, key: str) -> None:
         append_batch(rows, self.bronze_path, key, PARTITIONS, self.bronze_files)
 
+    # ---- progress
+
+    @property
+    def progress_path(self) -> str:
+        return f"{self.root}/progress"
+
+    def record_progress(
+        self, spark: SparkSession, batch_id: int, counts: Mapping[str, int], started_ms: int, silver: bool
+    ) -> None:
+        """Keep what a batch did as one line in a file of its own, written without a Spark job.
+
+        A batch that is replayed leaves another line if the day has changed since; read_progress takes the last.
+        """
+        key, now_ms = batch_key(spark, batch_id), int(time.time() * 1000)
+        line = {"batch_key": key, "batch_id": batch_id, "started_ms": started_ms, "took_ms": now_ms - started_ms,
+                "silver": silver, "outcomes": dict(counts)}
+        day = datetime.fromtimestamp(started_ms / 1000, timezone.utc).date()
+        files.write_text(spark, f"{self.progress_path}/day={day}/{key}.json", json.dumps(line) + "\n")
+
+    def read_progress(self) -> DataFrame:
+        """One row per batch: its key and number, the day, start and duration, rows by outcome, and whether silver ran."""
+        if not files.exists(self.spark, self.progress_path):
+            return self.spark.createDataFrame([], PROGRESS)
+        return latest_per_key(self.spark.read.schema(PROGRESS).json(self.progress_path), "batch_key", "started_ms")
+
     # ---- silver
 
     def newest(self, events: DataFrame) -> DataFrame:
@@ -171,6 +208,26 @@ class Lake:
         names = ["row", *[f"g{i}" for i in range(len(self.valid_groups))]]
         return read_state(self.spark, self.checkpoint(checkpoint), names, batch_id)
 
+    def clocks(self) -> dict[str, str]:
+        """Struct of newest columns to the clock that it advances on."""
+        return {"row": self.latest_groups[0].clock, **{f"g{i}": g.clock for i, g in enumerate(self.valid_groups)}}
+
+    def read_seeded(self, checkpoint: str = "seeded", batch_id: int | None = None) -> DataFrame:
+        """Newest structs per key as the seeded query holds them after a batch."""
+        schema = T.StructType([f for f in self.pending_schema() if f.name != SEQUENCE])
+        return seeded.read_states(self.spark, self.checkpoint(checkpoint), schema, self.contract.key, batch_id)
+
+    def stored_structs(self) -> DataFrame:
+        """What both silver tables hold, as newest structs per key; no rows before the first merge."""
+        valid, latest = self.latest_valid.read(), self.latest.read()
+        schema = T.StructType([f for f in self.pending_schema() if f.name != SEQUENCE])
+        if valid is None or latest is None:
+            return self.spark.createDataFrame([], schema)
+        key = self.contract.key
+        both = latest.select(key, F.struct(*self.latest_groups[0].outputs).alias("row")).join(
+            valid.select(key, *[F.struct(*g.outputs).alias(f"g{i}") for i, g in enumerate(self.valid_groups)]), key, "full")
+        return both.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
     def upsert(self, structs: DataFrame) -> None:
         """Merge newest structs (one row per key and `_seq`) into both silver tables."""
         order = [SEQUENCE] if SEQUENCE in structs.columns else []
