@@ -172,7 +172,7 @@ def test_removals_of_given_documents(run, documents):
 
 
 def test_levels_merge_like_a_counter(make):
-    index = substrings.AnchorIndex(12)
+    index = substrings.SuffixIndex(12)
     docs = passages(n=40)
     seen = []
     for i in range(5):
@@ -182,6 +182,23 @@ def test_levels_merge_like_a_counter(make):
     assert seen == [[0], [1], [0, 1], [2], [0, 2]]
 
 
+def test_levels_hold_suffixes_in_order_and_bound_frequent_ones(make):
+    """Each bucket is sorted by content; of what many texts share, hot + 1 places stay, and all texts are flagged."""
+    index, passage = substrings.SuffixIndex(3, hot=4), "The same long passage stands here. " * 8
+    docs, flagged = [(i, f"{i:03d}{passage}{i * 7919:06d}") for i in range(60)], collections.defaultdict(set)
+    for i in range(4):
+        share = substrings.prepared(make([d for d in docs if d[0] % 4 == i]))
+        for r in index.add(share.select("key", "text")).collect():
+            flagged[r.key] |= set(zip(np.frombuffer(r.token, np.uint64).tolist(), np.frombuffer(r.hot, bool).tolist(), strict=True))
+    assert len(flagged) == 60 and len({t for found in flagged.values() for t, hot in found if hot}) >= 1
+    held = index.levels[2].collect()
+    for r in held:
+        contents = [r.suffix[k:k + 64] for k in range(0, len(r.suffix), 64)]
+        assert contents == sorted(contents) and max(collections.Counter(contents).values()) <= 5
+    every = set.intersection(*flagged.values())
+    assert every and all(hot for _, hot in every)
+
+
 def test_strip_keeps_columns_and_whole_characters(make, spark):
     passage = "é" * 150
     docs = [(1, "x" + passage + "1"), (2, "y" + passage + "2"), (3, None), (4, "short"), (5, "z" * 250), (6, "z" * 250)]

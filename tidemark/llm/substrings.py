@@ -1,18 +1,19 @@
-"""Removal of byte strings that repeat anywhere, with a logarithmic family of sorted anchor hashes.
+"""Removal of byte strings that repeat anywhere, by a logarithmic family of sparse suffix arrays.
 
 A string of `length` bytes counts as repeated if it also starts elsewhere, in the same text or another.
-This takes the place of suffix arrays; no suffix is ordered by its bytes. Indexed are 64-bit hashes of
-anchors: in every window of `length` bytes the part of ANCHOR bytes with the least hash, so equal windows
-have equal anchors at equal places. Texts arrive in batches. A batch's hashes are sorted by bucket; they are
-joined with all existing levels to find the anchors that repeat; and levels of equal size become one, sorted
-again, as a binary counter carries, so n batches
-leave at most log2(n) + 1 levels. Only texts with repeated anchors are looked at again: the windows
-around those anchors are brought together and compared by 64-bit hashes of all their bytes, which
-settles each byte exactly (but for hash collisions between windows that share an anchor).
+The suffixes that are indexed begin at anchors: in every window of `length` bytes the part of ANCHOR bytes
+with the least hash, so equal windows have equal anchors at equal places. A level of the index holds, by
+bucket, its suffixes in the order of their first ANCHOR bytes. Texts arrive in batches. A batch's suffixes
+are sorted by content and merge-scanned with all existing levels, which are in order already: neighbours
+that share all ANCHOR bytes are long matches. Levels of equal size are merged into one by the same scan, as
+a binary counter carries, so n batches leave at most log2(n) + 1 levels. Only texts with such matches are
+looked at again: the windows around those anchors are brought together and compared by 64-bit hashes of all
+their bytes, which settles each byte exactly (but for hash collisions between windows that share an anchor).
 
 Skew: equal texts are indexed once, and their number alone tells that they repeat whole. The windows of
 an anchor that occurs more than HOT times are dealt by their own hash, each sent once per task, so no
-task gathers what many texts share.
+task gathers what many texts share. Of such an anchor a level keeps HOT + 1 places, since all texts that
+hold it are flagged by then; one batch's places of it meet in one bucket.
 
 Edge cases: a NULL text is empty; texts shorter than `length` have no windows and stay whole; NULL ids
 pass through and repeated rows repeat each other. A cut may split a character: kept bytes are compared
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,10 +36,10 @@ from pyspark.sql.types import StructType
 from tidemark.llm.common import free_name, stored
 
 LENGTH = 200
-BATCHES = 4
+BATCHES = 3
 ANCHOR = 64
 HOT = 5000
-BUCKET_ROWS = 2_500_000
+BUCKET_ROWS = 600_000
 BUCKET_BYTES = 6_000_000
 SEGMENT = 1 << 21
 
@@ -82,9 +84,9 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(rolling: Rolling, raw: bytes, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(hash, first, last, twice): each anchor hash with the range of window starts it stands for, and
-    whether it lies at several places there, as in texts with a short period."""
-    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))]
+    """(hash, first, last, twice, place): each anchor hash with the range of window starts it stands for, whether
+    it lies at several places there, as in texts with a short period, and the first of its places."""
+    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))]
     place = np.uint64((1 << 22) - 1)  # a segment's positions, put below the leading bits of the hash
     for base in range(0, max(0, len(raw) - length + 1), SEGMENT):
         part = np.frombuffer(raw, np.uint8)[base:base + SEGMENT + length - 1]
@@ -93,7 +95,7 @@ def anchors(rolling: Rolling, raw: bytes, length: int, anchor: int) -> tuple[np.
         least = h[at]
         first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         last = np.concatenate((first[1:], [len(least)])) - 1
-        out.append((least[first], first + base, last + base, at[first] != at[last]))
+        out.append((least[first], first + base, last + base, at[first] != at[last], at[first].astype(np.int64) + base))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -125,10 +127,10 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text)).alias("key"))
 
 
-class AnchorIndex:
-    """Levels of anchor hashes, each a table of packed sorted arrays by bucket."""
+class SuffixIndex:
+    """Levels of suffixes, each a table of arrays by bucket in the order of the suffixes' contents."""
 
-    FIELDS = "kind string, bucket int, token binary, owner binary, keys binary"
+    FIELDS = "kind string, bucket int, suffix binary, owner binary, keys binary"
 
     def __init__(self, n_buckets: int, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT):
         self.n_buckets, self.length, self.anchor, self.hot = n_buckets, length, anchor, hot
@@ -144,17 +146,18 @@ class AnchorIndex:
         rows = self._arrays(texts)
         for i, held in self.levels.items():
             rows = rows.union(held.withColumn("kind", F.lit(str(i))))
-        hot, keep = self.hot, not last
+        anchor, hot, keep = self.anchor, self.hot, not last
 
         def scan(table: pa.Table) -> pa.Table:
-            return _scan_levels(table, merged, hot, keep)
+            return _merge_scan(table, merged, anchor, hot, keep)
 
-        done = stored(rows.groupBy("bucket").applyInArrow(scan, self.FIELDS), "anchors")
+        done = stored(rows.groupBy("bucket").applyInArrow(scan, self.FIELDS), "suffixes")
         for i in range(level):
             del self.levels[i]
         if keep:
             self.levels[level] = done.where("kind = 'level'")
-        return done.where("kind = 'flag'").select(F.col("keys").alias("key"), "token", F.col("owner").alias("hot"))
+        return done.where("kind = 'flag'").select(
+            F.col("keys").alias("key"), F.col("suffix").alias("token"), F.col("owner").alias("hot"))
 
     def _arrays(self, texts: DataFrame) -> DataFrame:
         n_buckets, length, anchor = self.n_buckets, self.length, self.anchor
@@ -162,67 +165,99 @@ class AnchorIndex:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rolling = Rolling()
             for batch in batches:
-                token, owner, keys, seen = [], [], [], set()
+                token, suffix, owner, keys, seen = [], [], [], [], set()
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if key not in seen:
                         seen.add(key)
-                        h, _, _, twice = anchors(rolling, text.encode("utf-8", "surrogatepass"), length, anchor)
-                        h = np.concatenate((h, h[twice]))
+                        raw = text.encode("utf-8", "surrogatepass")
+                        h, _, _, twice, place = anchors(rolling, raw, length, anchor)
+                        h, place = np.concatenate((h, h[twice])), np.concatenate((place, place[twice]))
                         if len(h):
                             token.append(h)
+                            suffix.append(sliding_window_view(np.frombuffer(raw, np.uint8), anchor)[place])
                             owner.append(np.full(len(h), len(keys), np.int32))
                             keys.append(key)
                 if not keys:
                     continue
-                t, who, k = np.concatenate(token), np.concatenate(owner), np.frombuffer(b"".join(keys), np.uint64).reshape(-1, 2)
+                t, c, who = np.concatenate(token), np.concatenate(suffix), np.concatenate(owner)
+                k = np.frombuffer(b"".join(keys), np.uint64).reshape(-1, 2)
                 for b, at in _by_bucket(n_buckets, (t >> np.uint64(17)) % np.uint64(n_buckets)):
                     here, local = np.unique(who[at], return_inverse=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(["new"]), pa.array([b], pa.int32()), *_packed(t[at], local.astype(np.int32), k[here])],
-                        names=["kind", "bucket", "token", "owner", "keys"])
+                        [pa.array(["new"]), pa.array([b], pa.int32()), *_packed(c[at], local.astype(np.int32), k[here])],
+                        names=["kind", "bucket", "suffix", "owner", "keys"])
 
         return texts.select("key", "text").mapInArrow(run, self.FIELDS)
 
 
-def _scan_levels(table: pa.Table, merged: set[str], hot: int, keep: bool) -> pa.Table:
+def _merged_order(suffix: np.ndarray, runs: list[np.ndarray]) -> np.ndarray:
+    """Row numbers by content, from runs of row numbers that are each in that order."""
+    order = runs[0]
+    for run in runs[1:]:
+        at = np.searchsorted(suffix[run], suffix[order], side="right") + np.arange(len(order))
+        both = np.empty(len(order) + len(run), np.int64)
+        from_run = np.ones(len(both), bool)
+        from_run[at] = False
+        both[at], both[from_run] = order, run
+        order = both
+    return order
+
+
+def _hashes(suffix: np.ndarray, anchor: int) -> np.ndarray:
+    """The anchor hashes of suffixes."""
+    rolling, out = Rolling(), [np.zeros(0, np.uint64)]
+    for i in range(0, len(suffix), 5000):
+        raw = np.frombuffer(suffix[i:i + 5000].tobytes(), np.uint8)
+        out.append(rolling.at(rolling.sums(raw), np.arange(0, len(raw), anchor), anchor))
+    return np.concatenate(out)
+
+
+def _merge_scan(table: pa.Table, merged: set[str], anchor: int, hot: int, keep: bool) -> pa.Table:
+    """One bucket: the new suffixes sorted, merged with the levels, and neighbours compared."""
     kinds = table.column("kind").to_pylist()
     bucket = table.column("bucket")[0].as_py()
-    tokens, keys = ([np.frombuffer(b, np.uint64) for b in table.column(c).to_pylist()] for c in ("token", "keys"))
-    owners = [np.frombuffer(b, np.int32) for b in table.column("owner").to_pylist()]
+    suffixes, keys, owners = ([np.frombuffer(b, kind) for b in table.column(c).to_pylist()] for c, kind in (
+        ("suffix", f"S{anchor}"), ("keys", np.uint64), ("owner", np.int32)))
     shift = np.cumsum([0] + [len(k) // 2 for k in keys])
     distinct, code = _codes(np.concatenate(keys).reshape(-1, 2))
     source = np.repeat(np.arange(len(kinds)), np.diff(shift))
     chosen = np.full(len(distinct), len(kinds))
     np.minimum.at(chosen, code, source)  # a text that several tasks have seen counts once
     taken = chosen[code] == source
-    token = np.concatenate(tokens)
     row = np.concatenate([o + s for o, s in zip(owners, shift[:-1], strict=True)])
     once = taken[row]
-    token, who = token[once], code[row[once]]
-    new, carried = (np.array([test(k) for k in kinds])[source[row[once]]] for test in (
-        lambda k: k == "new", lambda k: k == "new" or k in merged))
-    order = np.argsort(token, kind="stable")
-    token, who, new, carried = token[order], who[order], new[order], carried[order]
-    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1]))) if len(token) else np.zeros(0, np.int64)
-    count = np.diff(np.concatenate((starts, [len(token)])))
-    hit = (count > 1) & (np.add.reduceat(new.astype(np.int64), starts) > 0 if len(starts) else np.zeros(0, bool))
+    suffix, who, piece = np.concatenate(suffixes)[once], code[row[once]], source[row[once]]
+    del suffixes
+    is_new = np.array([k == "new" for k in kinds])
+    kind_of = np.where(is_new, -1, np.arange(len(kinds)))[piece]  # a level is one piece of a bucket
+    fresh = np.flatnonzero(kind_of < 0)
+    order = _merged_order(suffix, [fresh[np.argsort(suffix[fresh], kind="stable")],
+                                   *(np.flatnonzero(kind_of == i) for i in np.flatnonzero(~is_new).tolist())])
+    suffix, who, piece = suffix[order], who[order], piece[order]
+    starts = np.flatnonzero(np.concatenate(([True], suffix[1:] != suffix[:-1]))) if len(suffix) else np.zeros(0, np.int64)
+    count = np.diff(np.concatenate((starts, [len(suffix)])))
+    hit = (count > 1) & (np.add.reduceat(is_new[piece].astype(np.int64), starts) > 0 if len(starts) else np.zeros(0, bool))
     flagged = np.repeat(hit, count)
-    many = np.repeat(count > hot, count)[flagged]
-    t, w = token[flagged], who[flagged]
+    t, w = np.repeat(_hashes(suffix[starts[hit]], anchor), count[hit]), who[flagged]
+    many = np.repeat(count[hit] > hot, count[hit])
     order = np.argsort(w, kind="stable")
     t, w, many = t[order], w[order], many[order]
     cuts = np.flatnonzero(np.concatenate((np.diff(w, prepend=-1) != 0, [True])))
     spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-    out = {"kind": ["flag"] * len(spans), "token": [t[a:b].tobytes() for a, b in spans],
+    out = {"kind": ["flag"] * len(spans), "suffix": [t[a:b].tobytes() for a, b in spans],
            "owner": [many[a:b].tobytes() for a, b in spans], "keys": [distinct[w[a]].tobytes() for a, _ in spans]}
     if keep:
+        carried = np.array([k == "new" or k in merged for k in kinds])[piece]
+        so_far = np.cumsum(carried)
+        before = (so_far - carried)[starts] if len(starts) else so_far
+        carried &= so_far - np.repeat(before, count) <= hot + 1  # beyond that all texts that hold it are flagged as hot
         here, local = np.unique(who[carried], return_inverse=True)
-        for name, value in (("kind", "level"), ("token", token[carried].tobytes()),
+        for name, value in (("kind", "level"), ("suffix", suffix[carried].tobytes()),
                             ("owner", local.astype(np.int32).tobytes()), ("keys", distinct[here].tobytes())):
             out[name].append(value)
     n = len(out["kind"])
     return pa.table({"kind": pa.array(out["kind"], pa.string()), "bucket": pa.array([bucket] * n, pa.int32()),
-                     **{c: pa.array(out[c], pa.binary()) for c in ("token", "owner", "keys")}})
+                     **{c: pa.array(out[c], pa.binary()) for c in ("suffix", "owner", "keys")}})
 
 
 WINDOWS = "bucket int, kind int, token binary, owner binary, keys binary, start binary, size binary, content binary"
@@ -254,7 +289,7 @@ def _windows(texts: DataFrame, n_buckets: int, length: int, anchor: int) -> Data
                     raw = text.encode("utf-8", "surrogatepass")
                     flags = np.frombuffer(b"".join(token), np.uint64)
                     often = flags[np.frombuffer(b"".join(many), bool)]
-                    h, first, last, _ = anchors(rolling, raw, length, anchor)
+                    h, first, last, _, _ = anchors(rolling, raw, length, anchor)
                     flagged = np.isin(h, flags)
                     h, first, last = h[flagged], first[flagged], last[flagged]
                     is_hot = np.isin(h, often)
@@ -353,7 +388,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
         F.col("doc_id").isNull().alias("z"), "doc_id")).alias("x"))
     size = facts.agg(F.sum("n_bytes")).first()[0] or 0
     n_buckets = max(12, -(-size // (length - anchor) * 2 // BUCKET_ROWS))
-    index = AnchorIndex(n_buckets, length, anchor, hot)
+    index = SuffixIndex(n_buckets, length, anchor, hot)
     flags = None
     for i in range(batches):
         share = rows.where(F.octet_length("text") >= length).where(F.pmod(F.crc32("key"), F.lit(batches)) == i)
