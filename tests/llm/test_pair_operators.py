@@ -1,6 +1,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 
 from llm_helpers import LOWER, documents, make, run, tokens  # noqa: F401
