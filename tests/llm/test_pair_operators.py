@@ -54,6 +54,24 @@ def test_components_equal_brute_force(make, group_size):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(docs)
 
 
+@pytest.mark.parametrize("hot", [5, 40])
+def test_shingles_of_many_documents_are_dealt_into_shares(make, monkeypatch, hot):
+    docs, dealt, stored = near_copies(), [], jaccard.stored
+
+    def watched(df, label):
+        out = stored(df, label)
+        if label == "hot":
+            dealt.append(out)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", watched)
+    got = jaccard.near_duplicates(make(docs).repartition(3), group_size=15, frequent=400, hot=hot).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == classes(docs)
+    of_token = dealt[0].groupBy("token").count().agg({"count": "max"}).first()[0]
+    of_task = dealt[0].groupBy("token", "share").count().agg({"count": "max"}).first()[0]
+    assert of_task <= 2 * hot and (of_token > of_task or hot == 40)
+
+
 def test_given_documents(run, documents):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in run("op9_ngram_jaccard_join").collect()}
     assert got == classes(documents.items())

@@ -7,7 +7,9 @@
    documents meets in a few groups. The matrix holds, for each of those leading shingles, the
    groups it occurs in. How many leading shingles of a query a group's union holds bounds what the query
    can share with any member; the group is a candidate if that reaches what a link needs. Of two groups
-   the one that comes first, by size where that is large, asks the other.
+   the one that comes first, by size where that is large, asks the other. A shingle of more than `hot`
+   documents is taken out of the buckets: its documents are dealt into shares, each of which meets
+   one row per group, the least and the greatest size there, so no task holds all of them.
 3. Each group is brought together with its queries. Its whole token union bounds the overlap again;
    only groups that reach it are opened and compared set by set. Inside a group
    links are searched from document to document until no set is left, so a cluster costs one pass.
@@ -40,6 +42,7 @@ from tidemark.llm.components import components
 WIDTH = 5
 FREQUENT = 200_000
 GROUP_SIZE = 1000
+HOT = 50_000
 CHOICES, POPULAR, POPULAR_KEYS = 6, 3, 100_000
 QUERY_BLOCK = 4000
 BUCKET_ROWS = 2_500_000
@@ -193,10 +196,62 @@ def _members(leads: DataFrame, popular) -> DataFrame:
     return leads.select("key", "lead").mapInArrow(run, "key binary, grp long")
 
 
-def _buckets(docs: DataFrame, frequent, popular, n_buckets: int, width: int) -> DataFrame:
-    """Leading shingles of all documents as packed arrays, by bucket of the shingle."""
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are in an ascending array."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def _hot_rows(docs: DataFrame, frequent, popular, hot, width: int) -> DataFrame:
+    """(token, share, shares, key, grp, n, weight): the sets led by hot shingles, dealt into shares.
+
+    hot holds the hot shingles in order and the number of shares of each.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, often = Shingler(width), np.asarray(frequent.value, dtype=np.uint64)
+        known, (tokens, shares) = dict(popular.value), hot.value
+        for batch in batches:
+            rows = []
+            for text in batch.column(0).to_pylist():
+                s = shingler.shingles(text)
+                lead = leading(s, often)
+                led = lead[_among(lead, tokens)]
+                if len(led):
+                    key, grp = set_key(s), group_of(group_choices(lead, often), known)
+                    place = int.from_bytes(key[:7], "little")
+                    of = shares[np.searchsorted(tokens, led)].tolist()
+                    rows += [(t, place % k, k, key, grp, len(s), known.get(grp, 0))
+                             for t, k in zip(led.view(np.int64).tolist(), of, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+                (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
+                names=["token", "share", "shares", "key", "grp", "n", "weight"])
+
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        run, "token long, share int, shares int, key binary, grp long, n long, weight long").dropDuplicates(["token", "key"])
+
+
+def _hot_matrix(rows: DataFrame) -> DataFrame:
+    """(key, grp, shared, need) as _matrix_rows gives them, of hot shingles.
+
+    A group is known by its least and greatest size, so what a link needs is at most what it is by all sizes.
+    """
+    groups = rows.groupBy("token", "grp").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("weight").alias("heavy"), F.max("shares").alias("shares")).select(
+            "token", "grp", "lo", "hi", "heavy", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+    met = rows.select("token", "share", "key", F.col("grp").alias("own"), "n", "weight").join(groups, ["token", "share"]).where(
+        "heavy > weight or heavy = weight and grp > own").select(
+            "key", "grp", "n", F.expr("greatest(lo, (4 * n + 4) div 5)").alias("lo"), F.expr("least(hi, 5 * n div 4)").alias("hi")).where("lo <= hi")
+    needs = [f"(4 * (n + {y}) + 8) div 9 - greatest(n - n div 5 - 1, {y} - {y} div 5 - 1)"
+             for y in ("lo", *(f"greatest(lo, hi - {back})" for back in range(5)))]
+    return met.select("key", "grp", F.lit(1).cast("long").alias("shared"), F.least(*map(F.expr, needs)).alias("need"))
+
+
+def _buckets(docs: DataFrame, frequent, popular, hot, n_buckets: int, width: int) -> DataFrame:
+    """Leading shingles of all documents but the hot ones, as packed arrays by bucket of the shingle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, often = Shingler(width), np.asarray(frequent.value, dtype=np.uint64)
+        apart = hot.value[0]
         known = dict(popular.value)
         for batch in batches:
             tokens, owner, keys, facts, seen = [], [], [], [], set()
@@ -206,8 +261,9 @@ def _buckets(docs: DataFrame, frequent, popular, n_buckets: int, width: int) ->
                 if key is not None and key not in seen:
                     seen.add(key)
                     lead = leading(s, often)
-                    tokens.append(lead)
-                    owner.append(np.full(len(lead), len(keys), dtype=np.int32))
+                    led = lead[~_among(lead, apart)]
+                    tokens.append(led)
+                    owner.append(np.full(len(led), len(keys), dtype=np.int32))
                     keys.append(key)
                     grp = group_of(group_choices(lead, often), known)
                     facts.append((grp, len(s), known.get(grp, 0)))
@@ -412,20 +468,26 @@ def _each(n: str):
 
 
 def similarity_links(docs: DataFrame, first: DataFrame, width: int = WIDTH, frequent: int = FREQUENT,
-                     group_size: int = GROUP_SIZE) -> DataFrame:
+                     group_size: int = GROUP_SIZE, hot: int = HOT) -> DataFrame:
     """Links (a, b) between keys of different sets, at least one across any two parts of a component."""
     spark = docs.sparkSession
     often = first.where("token is not null").groupBy("token").agg(F.sum("count").alias("c")).orderBy(
-        F.desc("c"), "token").limit(frequent).select("token").toArrow().column("token").to_numpy()
-    shared = spark.sparkContext.broadcast(np.sort(often.astype(np.int64).view(np.uint64)))
+        F.desc("c"), "token").limit(frequent).toArrow()
+    token, times = (often.column(c).to_numpy().astype(np.int64) for c in ("token", "c"))
+    order = np.argsort(token.view(np.uint64))
+    token, times = token.view(np.uint64)[order], times[order]
+    shared = spark.sparkContext.broadcast(token)
+    apart = spark.sparkContext.broadcast((token[times > hot], -(-times[times > hot] // hot)))
     total = first.agg(F.sum("n")).first()[0] or 0
     leads = stored(_leads(docs, shared, width), "leads")
     counts = leads.select(F.explode("lead").alias("t")).groupBy("t").count().where(F.col("count") >= POPULAR).orderBy(
         F.desc("count"), "t").limit(POPULAR_KEYS).toArrow()
     popular = spark.sparkContext.broadcast(list(zip(counts.column("t").to_pylist(), counts.column("count").to_pylist(), strict=True)))
     members = stored(_members(leads, popular), "members")
-    matrix = _buckets(docs, shared, popular, max(12, -(-total // 5 // BUCKET_ROWS)), width).groupBy("bucket").applyInArrow(
+    matrix = _buckets(docs, shared, popular, apart, max(12, -(-total // 5 // BUCKET_ROWS)), width).groupBy("bucket").applyInArrow(
         _matrix_rows, "key binary, grp long, shared long, need long")
+    if len(apart.value[0]):
+        matrix = matrix.union(_hot_matrix(stored(_hot_rows(docs, shared, popular, apart, width), "hot")))
     asks = stored(matrix.groupBy("key", "grp").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where(
         "shared >= need").select("key", "grp"), "asks")
     active = stored(members.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.min("key").alias("pivot")).join(
@@ -463,10 +525,10 @@ def similarity_links(docs: DataFrame, first: DataFrame, width: int = WIDTH, freq
     return links.union(_links(docs, first, against.union(still), width))
 
 
-def _found(docs: DataFrame, width: int, frequent: int, group_size: int) -> DataFrame:
+def _found(docs: DataFrame, width: int, frequent: int, group_size: int, hot: int = HOT) -> DataFrame:
     """(doc_id, h, n_shingles, component_id, least_h) of every document; least_h is the least h of the component's smallest id."""
     first = stored(first_pass(docs, width), "shingles")
-    roots = components(similarity_links(docs, first, width, frequent, group_size))
+    roots = components(similarity_links(docs, first, width, frequent, group_size, hot))
     rows = first.where("token is null")
     keys = rows.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("least")).join(
         roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
@@ -477,9 +539,10 @@ def _found(docs: DataFrame, width: int, frequent: int, group_size: int) -> DataF
             F.col("component_id")).alias("component_id"), "least_h")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT, group_size: int = GROUP_SIZE) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT, group_size: int = GROUP_SIZE,
+                    hot: int = HOT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    return _found(docs, width, frequent, group_size).select("doc_id", "n_shingles", "component_id")
+    return _found(docs, width, frequent, group_size, hot).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
