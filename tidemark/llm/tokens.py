@@ -3,8 +3,10 @@
 Offline, every vocabulary string is encoded alone; those that come back as one token are proven
 single. When counting, a text is cut into pre-tokens; proven ones count 1 without any merging, and
 only the rest are merged, once per distinct string and cache. Special strings inside a text follow
-the library's default (one id each). Texts with characters outside well-settled blocks, whose class
-could differ between Unicode versions, are handed to the library whole, so results are always its own.
+the library's default (one id each); a text that holds one goes to the library whole. Around characters
+outside well-settled blocks, whose class could differ between Unicode versions, the stretch between the
+nearest safe cuts goes to the library, so results are always its own. A cut is safe before a single
+space between two settled characters that are no spaces: a pre-token ends and another starts there, whatever is beyond.
 
 Edge cases: a NULL text counts as empty (0 bytes, 0 tokens); NULL ids pass through; repeated rows
 repeat their result. Any other columns of the input are ignored.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the published pre-token pattern of this family of byte-level vocabularies.
 PRE_TOKEN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Code points whose class no Unicode version disputes; a text with any other goes to the library whole.
+# Code points whose class no Unicode version disputes.
 SETTLED = [*range(0x09, 0x0E), *range(0x20, 0x7F), *range(0xA1, 0x250), *range(0x3B1, 0x3CA),
            *range(0x400, 0x460), *range(0x2010, 0x2028)]
 
@@ -43,6 +45,8 @@ def _ranges(points: Iterable[int]) -> str:
 _LETTERS = _ranges(p for p in SETTLED if unicodedata.category(chr(p))[0] == "L")
 _NUMBERS = _ranges(p for p in SETTLED if unicodedata.category(chr(p))[0] == "N")
 UNSETTLED = re.compile(f"[^{_ranges(SETTLED)}]")
+_SOLID = _ranges(p for p in SETTLED if not chr(p).isspace())
+SAFE = re.compile(f"(?<=[{_SOLID}]) (?=[{_SOLID}])")
 # The pattern spelled out for settled text, where the standard module is twice as fast.
 SETTLED_CUT = re.compile(PRE_TOKEN.replace(r"[^\s\p{L}\p{N}]", f"[^\\s{_LETTERS}{_NUMBERS}]")
                          .replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")).findall
@@ -123,6 +127,24 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(byte_of[c] for c in t): i for t, i in vocab.items()} if settled else None
 
 
+def stretches(text: str) -> Iterator[tuple[bool, str]]:
+    """The text in parts that are cut at safe places: (whether all of it is settled, part)."""
+    at = 0
+    while found := UNSETTLED.search(text, at):
+        start = text.rfind(" ", at + 1, found.start())
+        while start > at and not SAFE.match(text, start):
+            start = text.rfind(" ", at + 1, start)
+        if start > at:
+            yield True, text[at:start]
+            at = start
+        safe = SAFE.search(text, found.end())
+        end = safe.start() if safe else len(text)
+        yield False, text[at:end]
+        at = end
+    if at < len(text):
+        yield True, text[at:]
+
+
 class TokenCounter:
     """Counts tokens of texts; keep one per process, its cache is bounded."""
 
@@ -132,8 +154,13 @@ class TokenCounter:
         self.merged = dict(self.single)
 
     def count(self, text: str) -> int:
-        if not self.merger.plain(text):
+        if self.merger.plain(text):
+            return self._settled(text)
+        if self.merger.special.search(text):
             return len(self.merger.whole(text))
+        return sum(self._settled(part) if settled else len(self.merger.whole(part)) for settled, part in stretches(text))
+
+    def _settled(self, text: str) -> int:
         pieces = SETTLED_CUT(text)
         known = self.merged
         try:
