@@ -2,8 +2,8 @@
 evaluates the tags' and/or/with expressions.
 
 Phrases are sequences of words (letters and digits in lower case, anything outside ASCII included),
-so any run of other characters may stand between them. A tag names an expression up to the end of
-its line; one that does not parse gives no label. Phrases and tags are matched in whole texts by two
+so any run of other characters may stand between them. A tag names an expression up to the next tag or the
+end of its line; one that does not parse gives no label, nor do `none` and `noassertion`. Phrases and tags are matched in whole texts by two
 automata that each pass a text once.
 
 Edge cases: a NULL text counts as empty; NULL ids pass through; repeated rows repeat their result;
@@ -45,6 +45,8 @@ TAGS = ("spdx-license-identifier:", "license-identifier:")
 # Identifiers that permit use without conditions on derived works.
 PERMISSIVE = frozenset({"mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "unlicense", "cc0-1.0",
                         "cc-by-4.0", "bsl-1.0", "zlib"})
+# What a tag says where it names no licence.
+NO_LICENCE = frozenset({"none", "noassertion"})
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 # every ASCII character that is no word character becomes a space, A-Z become a-z
 WORD_BYTES = bytes(
@@ -94,19 +96,21 @@ def evaluate(rpn: list[str], permitted=PERMISSIVE) -> tuple[frozenset[str], bool
     or: one side is enough; and: both are needed; with: the right side is an exception that belongs
     to the licence on its left, named licence-with-exception, and permitted as that licence is.
     """
-    stack: list[tuple[frozenset[str], bool]] = []
+    stack: list[tuple[set[str], bool]] = []
     for t in rpn:
         if t not in PRECEDENCE:
-            stack.append((frozenset({t}), t in permitted))
+            stack.append(({t}, t in permitted))
             continue
         right, left = stack.pop(), stack.pop()
         if t == "with":
             if len(left[0]) != 1 or len(right[0]) != 1:
                 return None
-            stack.append((frozenset({f"{min(left[0])}-with-{min(right[0])}"}), left[1]))
+            stack.append(({f"{min(left[0])}-with-{min(right[0])}"}, left[1]))
         else:
-            stack.append((left[0] | right[0], left[1] or right[1] if t == "or" else left[1] and right[1]))
-    return stack[0]
+            few, many = sorted((left[0], right[0]), key=len)
+            many |= few
+            stack.append((many, left[1] or right[1] if t == "or" else left[1] and right[1]))
+    return frozenset(stack[0][0]), stack[0][1]
 
 
 class Scanner:
@@ -148,20 +152,25 @@ class Scanner:
                     out["first_word"] = word if out["first_word"] is None else min(word, out["first_word"])
                     out["last_word"] = word if out["last_word"] is None else max(word, out["last_word"])
         lowered = raw.lower().decode("latin-1")
-        last = -1
-        for end, _ in self.tags.iter(lowered):
-            if end == last:  # a tag that ends another tag is one place
-                continue
-            last = end
-            stop = lowered.find("\n", end + 1)
-            line = lowered[end + 1:stop if stop >= 0 else len(lowered)]
-            expression = re.sub(r"\s*(\*/|-->)\s*$", "", line).strip()
+        ends: dict[int, int] = {}
+        for end, size in self.tags.iter(lowered):  # a tag that ends another tag is one place
+            ends[end + 1] = max(size, ends.get(end + 1, 0))
+        following = len(raw)
+        for start in reversed(ends):
+            stop = lowered.find("\n", start, following)
+            expression = raw[start:stop if stop >= 0 else following].decode("utf-8", "replace").lower().strip()
+            for closing in ("*/", "-->"):
+                if expression.endswith(closing):
+                    expression = expression[:-len(closing)].rstrip()
+                    break
             rpn = postfix(expression)
             value = evaluate(rpn) if rpn else None
             out["tags"].append((expression, value is not None, bool(value and value[1])))
-            if value:
-                out["labels"] |= value[0]
+            following = start - ends[start]
+            if value and value[0] - NO_LICENCE:
+                out["labels"] |= value[0] - NO_LICENCE
                 out["score"] = 1.0
+        out["tags"].reverse()
         return out
 
 
