@@ -266,6 +266,32 @@ def test_token_counts_of_odd_texts(library, make):
         assert merger.packed(t or "") == np.asarray(ids, "<u4").tobytes()
 
 
+def test_only_stretches_around_disputed_characters_go_to_the_library(library):
+    rng = random.Random(3)
+    single = tokens.proven_single(library)
+    counter = tokens.TokenCounter(vocabulary("byte_bpe_50k.json"), single)
+    parts = [*"aé  \n\u00a0€😀日\u3000'", "'ll", "word", " word", " next", " 12", " €", "  ", " x"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        cut = list(tokens.stretches(text))
+        assert "".join(p for _, p in cut) == text
+        assert all(settled == (not tokens.UNSETTLED.search(p)) and p for settled, p in cut)
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+    text = "plain words here " * 1000 + "costs 5€ now " + "and more of them " * 1000 + "one"
+    assert [p for settled, p in tokens.stretches(text) if not settled] == [" 5€ now"]
+    for many in ("€" * 200_000, " " * 200_000 + "€", "€ " * 100_000):  # nothing to cut at; linear
+        assert counter.count(many) == len(library.encode(many, add_special_tokens=False).ids)
+
+
+def test_tables_without_rows(spark, make):
+    empty = make([])
+    assert tokens.count_tokens(empty, vocabulary("byte_bpe_50k.json")).collect() == []
+    assert licenses.scan_licenses(empty).collect() == []
+    items = spark.createDataFrame([("a", "some words of an item")], "item_id string, text string")
+    assert decontaminate.contamination(empty, items).collect() == [] and decontaminate.decontaminate(empty, items).collect() == []
+    assert langid.predict(empty, langid.fit(spark.createDataFrame([("le chat", "fr")], "text string, lang string"))).collect() == []
+
+
 def test_packing(run, documents, library):
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in run("op6_packing").collect():
@@ -369,6 +395,20 @@ def test_license_scan(run, documents, make):
     assert found[14].labels == ["gpl-2.0-with-linux-syscall-note"] and found[14].tags[0].permitted is False
 
 
+def test_license_tags_of_odd_lines(make):
+    tag = "SPDX-License-Identifier:"
+    odd = [(1, f"{tag} MIT\u00a0\nx"), (2, f"{tag} Größe\u00a0à"), (3, f"{tag} NONE"), (4, f"{tag} noassertion"), (5, f"{tag} MIT {tag} ISC -->"),
+           (6, f"{tag} à"), (7, f"{tag} " * 20_000), (8, f"{tag}{' ' * 300_000}MIT{' ' * 300_000}x"), (9, f"{tag} " + " or ".join(f"l{i}" for i in range(40_000))),
+           (10, f"{tag}\u2003ISC"), (11, f"{tag} {'(' * 100_000}MIT{')' * 100_000}")]
+    found = {r.doc_id: r for r in licenses.scan_licenses(make(odd)).collect()}
+    assert [found[i].labels for i in (1, 2, 3, 4, 5, 6, 10, 11)] == [["mit"], [], [], [], ["isc", "mit"], [], ["isc"], ["mit"]]
+    assert found[2].tags[0].expression == "größe\u00a0à" and found[6].tags[0].expression == "à"
+    assert [(t.valid, t.permitted) for t in found[3].tags] == [(True, False)] and found[3].score == found[4].score == 0.0
+    assert [t.expression for t in found[5].tags] == ["mit", "isc"] and found[5].score == 1.0
+    assert len(found[7].tags) == 20_000 and found[7].labels == [] and not found[8].tags[0].valid
+    assert len(found[9].labels) == 40_000
+
+
 # ---- languages
 
 def test_held_out_languages(run, spark, sf_dir):
@@ -388,3 +428,24 @@ def test_language_edges(spark, make):
     assert langid.family("pt-BR") == "romance" and langid.family("tlh") == "tlh"
     assert ("family", "germanic", "romance") in langid._pairs(["de", "en", "es", "fr"])
     assert rows(none.groupBy("score").count()) == [(0.0, len(EDGE))]
+
+
+def test_many_labels_make_few_machines(spark, make):
+    names = [f"x{i:04d}" for i in range(500)] + ["de", "en", "fr"]
+    pairs = langid._pairs(names)
+    assert len(pairs) < 10 * len(names)
+    paths = langid.paths(names)
+    assert len(set(paths.values())) == len(names) and paths["de"][-2:] == ("germanic", "de")
+    between = {(level, *sorted(p)) for level, *p in pairs}
+    for a, b in random.Random(4).sample([(a, b) for a in names for b in names if a < b], 2000):  # one machine tells any two apart
+        d = next(i for i, (x, y) in enumerate(zip(paths[a], paths[b], strict=False)) if x != y)
+        assert (paths[a][:d] or "family", *sorted((paths[a][d], paths[b][d]))) in between
+    rng = random.Random(5)
+    letters = {x: "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6)) for x in names[:40]}
+    say = lambda x: " ".join("".join(rng.choice(letters[x]) for _ in range(5)) for _ in range(30))
+    train = [(say(x), x) for x in letters for _ in range(5)] + [("only once", "rare")]
+    model = langid.fit(spark.createDataFrame(train, "text string, lang string"), per_side=20, max_languages=40)
+    assert sorted(letters) == model[0]
+    test = [(i, x, say(x)) for i, x in enumerate(sorted(letters))]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(make([(i, t) for i, _, t in test]), model).collect()}
+    assert sum(got[i] == x for i, x, _ in test) >= 30

@@ -3,13 +3,17 @@ support vector machines between the languages of that family.
 
 Features are hashed byte n-grams of the letters of a text, square-rooted and scaled to unit length, so
 a text counts whole whatever its length. Every pair of families and every pair of languages within one
-family has its own machine, trained by one task on at most `per_language` labelled texts of each
-language (a documented bound; the texts are those with the least hash of their content). Training is a
-grouped map over pairs; only the weights come to the driver, DIMENSIONS numbers a pair.
+family has its own machine. More than `branch` families, or languages of one family, are first told apart
+in runs of their names, so the number of machines grows in proportion to the number of languages.
+
+The fit is on a bounded sample: the `max_languages` languages with most labelled texts, at most `per_language`
+texts of each, and at most `per_side` on either side of a machine, dealt evenly over the side's languages. The
+texts are those with the least hash of their content. One task trains one machine. The weights come to the driver:
+DIMENSIONS numbers a machine, some 8 * `max_languages` machines at most, which also bounds what is broadcast.
 
 Edge cases: a NULL text, or one without a letter, is `und` with score 0. Without labelled texts
 everything is `und`; with one language everything with a letter is that language, score 1. Languages
-outside the table of families form families of their own. Repeated rows, NULL ids and other columns
+outside the table of families form families of their own; equally frequent languages rank by name. Repeated rows, NULL ids and other columns
 do not matter to a prediction.
 """
 
@@ -26,7 +30,8 @@ from tidemark.llm.common import stored
 
 BITS = 12
 DIMENSIONS = 1 << BITS
-PER_LANGUAGE = 1000
+PER_LANGUAGE, PER_SIDE, MAX_LANGUAGES = 1000, 4000, 512
+BRANCH = 16
 # Families of common languages by ISO 639-1 code.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
@@ -104,39 +109,74 @@ def train_pair(x: np.ndarray, y: np.ndarray, rounds: int = 12, cost: float = 4.0
     return w[:-1], float(w[-1])
 
 
-def _pairs(langs: list[str]) -> list[tuple[str, str, str]]:
-    """(level, a, b): family pairs, and language pairs within a family."""
+def _branches(name: str, names: list[str], branch: int) -> tuple[str, ...]:
+    """name, behind the runs of names that hold it where there are more than `branch`."""
+    if len(names) <= branch:
+        return (name,)
+    size = -(-len(names) // branch)
+    run = names.index(name) // size
+    return (f"#{run}", *_branches(name, names[run * size:(run + 1) * size], branch))
+
+
+def paths(langs: list[str], branch: int = BRANCH) -> dict[str, tuple[str, ...]]:
+    """The decisions that lead to each language: its family, then itself."""
     by_family: dict[str, list[str]] = {}
     for lang in sorted(langs):
         by_family.setdefault(family(lang), []).append(lang)
     names = sorted(by_family)
-    of = lambda level, xs: [(level, a, b) for i, a in enumerate(xs) for b in xs[i + 1:]]
-    return of("family", names) + [p for f in names for p in of("language", by_family[f])]
+    return {lang: (*_branches(f, names, branch), *_branches(lang, by_family[f], branch)) for f in names for lang in by_family[f]}
+
+
+def _level(path: tuple[str, ...], depth: int) -> str | tuple[str, ...]:
+    return path[:depth] or "family"
+
+
+def _sides(langs: list[str]) -> dict:
+    """For each level, its sides and the number of languages on each."""
+    sides: dict = {}
+    for path in paths(langs).values():
+        for depth, side in enumerate(path):
+            at = sides.setdefault(_level(path, depth), {})
+            at[side] = at.get(side, 0) + 1
+    return sides
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], list[tuple[str, str, str, bytes, float]]]:
+def _pairs(langs: list[str]) -> list[tuple]:
+    """(level, a, b): the sides of each machine; the level is "family", or the decisions before it."""
+    return [(level, a, b) for level, sides in _sides(langs).items() for i, a in enumerate(sides) for b in list(sides)[i + 1:]]
+
+
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, per_side: int = PER_SIDE,
+        max_languages: int = MAX_LANGUAGES) -> tuple[list[str], list[tuple]]:
     """Languages and machines (level, a, b, weights, bias) from rows (text, lang)."""
     clean = labelled.where("lang is not null and text is not null and lang <> 'und'")
-    langs = sorted(r["lang"] for r in clean.groupBy("lang").count().collect())
+    langs = sorted(r["lang"] for r in clean.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect())
     # the bound is applied to hashes of texts before any text moves
-    hashed = clean.select("lang", "text", F.xxhash64("text").alias("h"))
-    least = hashed.select("lang", "h").distinct().withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language)
-    limits = least.groupBy("lang").agg(F.max("h").alias("most"))
-    sample = hashed.join(F.broadcast(limits), "lang").where("h <= most").dropDuplicates(["lang", "h"]).select("lang", "text")
-    pairs = _pairs(langs)
+    hashed = clean.where(F.col("lang").isin(langs)).select("lang", "text", F.xxhash64("text").alias("h"))
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    least = hashed.select("lang", "h").distinct().withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_language)
+    limits = least.groupBy("lang").agg(F.max("h").alias("most"))  # a row a language, so bounded by max_languages
+    sample = hashed.join(F.broadcast(limits), "lang").where("h <= most").dropDuplicates(["lang", "h"]).select(
+        "lang", "text", F.row_number().over(by_hash).alias("r"))
+    pairs, sides, path_of = _pairs(langs), _sides(langs), paths(langs)
+    of_side: dict = {}
+    for k, (level, a, b) in enumerate(pairs):
+        of_side.setdefault((level, a), []).append((k, 1))
+        of_side.setdefault((level, b), []).append((k, -1))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            rows = []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                v = features.vector(text)
-                if v is not None:
-                    rows += [(k, 1 if lang == a or family(lang) == a else -1, v.tobytes()) for k, (level, a, b) in enumerate(pairs)
-                             if (family(lang) if level == "family" else lang) in (a, b)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int32(), pa.int32(), pa.binary()))], names=["pair", "side", "v"])
+            for lang, text, r in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                v, path = features.vector(text), path_of[lang]
+                if v is None:
+                    continue
+                due = [x for depth, side in enumerate(path) for x in of_side.get((_level(path, depth), side), ())
+                       if r <= -(-per_side // sides[_level(path, depth)][side])]
+                if due:  # one batch a text: it holds the vector once for each of its machines
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k for k, _ in due], pa.int32()), pa.array([y for _, y in due], pa.int32()),
+                         pa.array([v.tobytes()] * len(due), pa.binary())], names=["pair", "side", "v"])
 
     def train(table: pa.Table) -> pa.Table:
         table = table.sort_by([("side", "ascending"), ("v", "ascending")])  # whatever way rows arrived
@@ -155,30 +195,30 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str
 def predict(docs: DataFrame, model: tuple[list[str], list]) -> DataFrame:
     """(doc_id, lang_pred, score): the score is the weakest logistic margin of the machines that decided."""
     langs, machines = model
-    shared = docs.sparkSession.sparkContext.broadcast(machines)  # pairs of learned languages times DIMENSIONS
+    shared = docs.sparkSession.sparkContext.broadcast(machines)  # bounded by max_languages of the fit
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    by_family: dict[str, list[str]] = {}
-    for lang in langs:
-        by_family.setdefault(family(lang), []).append(lang)
+    sides = {level: list(names) for level, names in _sides(langs).items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        held = [(level, a, b) for level, a, b, _, _ in shared.value]
-        w = np.stack([np.frombuffer(x[3], np.float32) for x in shared.value]) if held else np.zeros((0, DIMENSIONS), np.float32)
-        bias = np.array([x[4] for x in shared.value])
-
-        def vote(level: str, names: list[str], margin: np.ndarray) -> tuple[str, float]:
-            """The name with most wins, then the largest sum of margins; and its weakest margin."""
-            if len(names) == 1:
+        held: dict = {}
+        for level, a, b, w, bias in shared.value:
+            held.setdefault(level, []).append((a, b, np.frombuffer(w, np.float32), bias))
+        held = {level: ([x[:2] for x in rows], np.stack([x[2] for x in rows]), np.array([x[3] for x in rows])) for level, rows in held.items()}
+
+        def vote(level, v: np.ndarray) -> tuple[str, float]:
+            """The side with most wins, then the largest sum of margins; and its weakest margin."""
+            names = sides[level]
+            if level not in held:
                 return names[0], 1.0
+            between, w, bias = held[level]
             wins = {n: [0, 0.0, 1.0] for n in names}
-            for (kind, a, b), m in zip(held, margin.tolist(), strict=True):
-                if kind == level and a in wins and b in wins:
-                    for n, side in ((a, m), (b, -m)):
-                        own = wins[n]
-                        own[0] += side > 0
-                        own[1] += side
-                        own[2] = min(own[2], 1 / (1 + np.exp(-min(max(4 * side, -50), 50))))
+            for (a, b), m in zip(between, (w @ v + bias).tolist(), strict=True):
+                for n, side in ((a, m), (b, -m)):
+                    own = wins[n]
+                    own[0] += side > 0
+                    own[1] += side
+                    own[2] = min(own[2], 1 / (1 + np.exp(-min(max(4 * side, -50), 50))))
             best = max(names, key=lambda n: (wins[n][0], wins[n][1], n))
             return best, float(wins[best][2])
 
@@ -190,11 +230,13 @@ def predict(docs: DataFrame, model: tuple[list[str], list]) -> DataFrame:
                     names.append("und")
                     scores.append(0.0)
                     continue
-                margin = w @ v + bias
-                group, first = vote("family", sorted(by_family), margin)
-                lang, second = vote("language", by_family[group], margin)
-                names.append(lang)
-                scores.append(min(first, second))
+                path: tuple[str, ...] = ()
+                score = 1.0
+                while (path or "family") in sides:
+                    side, margin = vote(path or "family", v)
+                    path, score = (*path, side), min(score, margin)
+                names.append(path[-1])
+                scores.append(score)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
