@@ -39,9 +39,9 @@ LENGTH = 200
 BATCHES = 3
 ANCHOR = 64
 HOT = 5000
-BUCKET_ROWS = 600_000
+BUCKET_ROWS = 300_000
 BUCKET_BYTES = 6_000_000
-SEGMENT = 1 << 21
+SEGMENT = 1 << 18
 
 
 class Rolling:
